@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelrank.llm import bpe, chat, media, url_filter
+from panelrank.llm import bpe, chat, decontaminate, line_dedup, media, url_filter
 from panelrank.llm.common import table
 
 
@@ -16,6 +16,57 @@ def tokenizer(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
     return public_tokenizers.path(name), public_tokenizers.PATTERN
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed_chunks", "n_removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH l AS (
+  SELECT doc_id, generate_subscripts(lines, 1) - 1 AS i, unnest(lines) AS line, len(lines) AS n
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL AND text <> '')),
+v AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS v FROM l),
+c AS (
+  SELECT *, i >= 2 AND (v + 65599 * lag(v, 1, 0) OVER w + 4303228801 * lag(v, 2, 0) OVER w) % 3 = 0 AS c
+  FROM v WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+b AS (SELECT *, c AND NOT lag(c) OVER (PARTITION BY doc_id ORDER BY i) AND i <= n - 3 AS cut FROM c),
+k AS (SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM b),
+chunk AS (SELECT doc_id, k, string_agg(line, chr(10) ORDER BY i) AS t, count(*) AS n FROM k GROUP BY doc_id, k),
+r AS (SELECT *, n > 1 AND row_number() OVER (PARTITION BY t ORDER BY doc_id, k) > 1 AS gone FROM chunk),
+d AS (
+  SELECT doc_id, sum(n) AS n_lines, count(*) FILTER (gone) AS n_removed_chunks, coalesce(sum(n) FILTER (gone), 0) AS n_removed_lines,
+    coalesce(string_agg(t, chr(10) ORDER BY k) FILTER (NOT gone), '') AS kept FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed_chunks, 0)::BIGINT AS n_removed_chunks,
+  coalesce(n_removed_lines, 0)::BIGINT AS n_removed_lines, sha256(coalesce(kept, '')) AS kept_sha256
+FROM (SELECT doc_id FROM documents) LEFT JOIN d USING (doc_id)"""
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents: one row each."""
+    leaks = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.array_join(F.sort_array(F.collect_set("item_id")).cast("array<string>"), ",")
+    return leaks.groupBy("doc_id").agg(F.countDistinct("item_id").alias("n_items"), items.alias("items"), F.count("*").alias("n_leaks"), F.min("start").alias("first_start"), F.max("stop").alias("last_stop"))
+
+
+OP2_SQL = r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda x: x <> '') AS d FROM documents WHERE text IS NOT NULL),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda x: x <> '') AS t FROM benchmark),
+bi AS (SELECT item_id, t, len(t) AS n, least(len(t), 13) AS l FROM b WHERE len(t) >= 8),
+bg AS (SELECT item_id, unnest(range(1, n - 2)) AS j, t FROM bi),
+bq AS (SELECT item_id, j, t[j] AS a, t[j+1] AS b, t[j+2] AS c, t[j+3] AS d FROM bg),
+dg AS (SELECT doc_id, d AS words, unnest(range(1, len(d) - 2)) AS i FROM w),
+dq AS (SELECT doc_id, i, words[i] AS a, words[i+1] AS b, words[i+2] AS c, words[i+3] AS d FROM dg),
+h AS (SELECT DISTINCT doc_id, item_id, i - j AS o FROM dq JOIN bq USING (a, b, c, d)),
+m AS (SELECT h.doc_id, h.item_id, o, n, l, list_transform(range(1, n + 1), lambda k: CASE WHEN k + o >= 1 AND w.d[k + o] = bi.t[k] THEN 1 ELSE 0 END) AS same
+  FROM h JOIN w USING (doc_id) JOIN bi USING (item_id)),
+g AS (SELECT *, list_filter(range(0, n - l + 1), lambda k: list_sum(same[k + 1 : k + l]) >= ceil(l * 0.8)) AS good FROM m)
+SELECT doc_id, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list_distinct(list(item_id))), ',') AS items, count(*) AS n_leaks,
+  min(o + list_min(good))::BIGINT AS first_start, max(o + list_max(good) + l)::BIGINT AS last_stop
+FROM g WHERE len(good) > 0 GROUP BY doc_id"""
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -97,5 +148,5 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_chat_formatting, op5_url_filters, op6_media_columns, op7_byte_bpe)}
-ORACLES = {"op4_chat_formatting": OP4_SQL, "op5_url_filters": OP5_SQL}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op4_chat_formatting, op5_url_filters, op6_media_columns, op7_byte_bpe)}
+ORACLES = {"op1_line_dedup": OP1_SQL, "op2_decontamination": OP2_SQL, "op4_chat_formatting": OP4_SQL, "op5_url_filters": OP5_SQL}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelrank.llm import bpe, chat, decontaminate, line_dedup, media, url_filter
+from panelrank.llm import bpe, chat, decontaminate, line_dedup, media, toxicity, url_filter
 from panelrank.llm.common import table
 
 
@@ -148,5 +148,24 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op4_chat_formatting, op5_url_filters, op6_media_columns, op7_byte_bpe)}
+def held_out(modulus: int):
+    """The contracts' hold-out rule: crc32 of the id as text has the remainder 2."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == 2
+
+
+#: A text with at least this score counts as toxic.
+TOXIC = 0.3
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    return toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), ~held_out(4))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select("doc_id", F.coalesce(held_out(4), F.lit(False)).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op4_chat_formatting, op5_url_filters, op6_media_columns, op7_byte_bpe, op9_toxicity)}
 ORACLES = {"op1_line_dedup": OP1_SQL, "op2_decontamination": OP2_SQL, "op4_chat_formatting": OP4_SQL, "op5_url_filters": OP5_SQL}

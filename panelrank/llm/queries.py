@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelrank.llm import bpe, chat, decontaminate, line_dedup, media, toxicity, url_filter
+from panelrank.llm import bpe, chat, decontaminate, line_dedup, media, substring_dedup, toxicity, url_filter
 from panelrank.llm.common import table
 
 
@@ -67,6 +67,24 @@ SELECT doc_id, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(lis
 FROM g WHERE len(good) > 0 GROUP BY doc_id"""
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP3_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+h AS (SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS h FROM p),
+m AS (SELECT h, min(doc_id) AS least FROM h GROUP BY h),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM h JOIN m USING (h) WHERE least < doc_id),
+gone AS (SELECT doc_id, list(i) AS gone FROM g GROUP BY doc_id),
+k AS (SELECT doc_id, w, i FROM (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM d) ANTI JOIN g USING (doc_id, i)),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS t FROM k GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -167,5 +185,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out(4), F.lit(False)).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op4_chat_formatting, op5_url_filters, op6_media_columns, op7_byte_bpe, op9_toxicity)}
-ORACLES = {"op1_line_dedup": OP1_SQL, "op2_decontamination": OP2_SQL, "op4_chat_formatting": OP4_SQL, "op5_url_filters": OP5_SQL}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_substring_dedup, op4_chat_formatting, op5_url_filters, op6_media_columns, op7_byte_bpe, op9_toxicity)}
+ORACLES = {"op3_substring_dedup": OP3_SQL, "op1_line_dedup": OP1_SQL, "op2_decontamination": OP2_SQL, "op4_chat_formatting": OP4_SQL, "op5_url_filters": OP5_SQL}

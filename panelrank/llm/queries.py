@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelrank.llm import bpe, chat, decontaminate, line_dedup, media, substring_dedup, toxicity, url_filter
+from panelrank.llm import bpe, chat, decontaminate, line_dedup, lm_score, media, substring_dedup, toxicity, url_filter
 from panelrank.llm.common import table
 
 
@@ -185,5 +185,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out(4), F.lit(False)).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_substring_dedup, op4_chat_formatting, op5_url_filters, op6_media_columns, op7_byte_bpe, op9_toxicity)}
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lm_score.score(docs, lm_score.fit(docs, ~held_out(7)))
+    return scored.select("doc_id", F.coalesce(held_out(7), F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_substring_dedup, op4_chat_formatting, op5_url_filters, op6_media_columns, op7_byte_bpe, op9_toxicity, op10_lm_scoring)}
 ORACLES = {"op3_substring_dedup": OP3_SQL, "op1_line_dedup": OP1_SQL, "op2_decontamination": OP2_SQL, "op4_chat_formatting": OP4_SQL, "op5_url_filters": OP5_SQL}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelrank.llm import bpe, chat, decontaminate, line_dedup, lm_score, media, substring_dedup, toxicity, url_filter
+from panelrank.llm import bpe, chat, decontaminate, line_dedup, lm_score, media, ngram_join, substring_dedup, toxicity, url_filter
 from panelrank.llm.common import table
 
 
@@ -171,6 +171,10 @@ def held_out(modulus: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == 2
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 #: A text with at least this score counts as toxic.
 TOXIC = 0.3
 
@@ -191,5 +195,5 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out(7), F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_substring_dedup, op4_chat_formatting, op5_url_filters, op6_media_columns, op7_byte_bpe, op9_toxicity, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_substring_dedup, op4_chat_formatting, op5_url_filters, op6_media_columns, op7_byte_bpe, op8_ngram_jaccard, op9_toxicity, op10_lm_scoring)}
 ORACLES = {"op3_substring_dedup": OP3_SQL, "op1_line_dedup": OP1_SQL, "op2_decontamination": OP2_SQL, "op4_chat_formatting": OP4_SQL, "op5_url_filters": OP5_SQL}

@@ -63,8 +63,8 @@ _hashes = _WordHashes()
 class Chunk:
     """Some documents' words as hashes: `first` and `last` bound each document, `doc` tells each word's document."""
 
-    def __init__(self, texts: list[str]):
-        self.words = [t.encode("utf-8").split() for t in texts]
+    def __init__(self, texts: list[str], lower: bool = False):
+        self.words = [(t.encode("utf-8").lower() if lower else t.encode("utf-8")).split() for t in texts]
         lengths = np.array([len(w) for w in self.words], np.int64)
         self.last = np.cumsum(lengths)
         self.first = self.last - lengths

@@ -9,9 +9,10 @@ share at least l shingles, for any l. A longer prefix costs more rows, and asks
    if enough shingles of its prefix occur in prefixes of other classes. Most classes end here.
 3. For the rest Spark counts each shingle's classes, and orders rare ones first. Now each class chooses the l that
    makes its expected candidates fewest: the classes of its prefix's shingles, summed, over l.
-4. In each prefix shingle's group all members are compared with the least one only, which joins dense groups at linear
-   cost. Groups that still hold several components then give all pairs across components; a pair that shares as many
-   prefix shingles as the smaller l is verified. So no link between different components is lost.
+4. In each prefix shingle's group all members are compared with one only, that with the smallest share of shingles of its
+   own, which joins dense groups at linear cost. Groups that still hold several components then give the pairs across
+   components, less those whose places of the shingle rule a link out; a pair that shares as many prefix shingles as
+   the smaller l is verified. So no link between different components is lost.
 
 Verification counts the shingles common to both whole sets. Shingles are compared by 64-bit hashes. Pairs and links
 stay in Spark; AQE splits hot shingles and representatives, since written tables stand on both sides of those joins.
@@ -119,8 +120,9 @@ def _whole_sets(texts: DataFrame) -> DataFrame:
 
 
 def _adaptive(shared: DataFrame) -> DataFrame:
-    """digest, n, l, token: the shingles of each class's chosen prefix that other classes have too.
+    """digest, n, alone, l, at, token: the shingles of each class's chosen prefix that other classes have too.
 
+    `alone` counts the shingles that no other class has; `at` is the shingle's place in the order, from 0.
     `shared` has digest, n and `known`, the array of (df, token) of its shingles in two classes or more, rare first.
     The others come before them in the order, and take their places of the prefix.
     """
@@ -131,11 +133,18 @@ def _adaptive(shared: DataFrame) -> DataFrame:
     total = lambda k: F.aggregate(F.slice("known", 1, length(k)), F.lit(0).cast("double"), lambda acc, x: acc + x["df"])
     cost = F.transform(options, lambda k: F.struct((total(k) / k).alias("cost"), k.alias("l")))
     chosen = shared.where(length(F.lit(1)) >= 1).withColumn("l", F.array_min(cost)["l"])
-    return chosen.select("digest", "n", "l", F.explode(F.slice("known", 1, length(F.col("l")))["token"]).alias("token"))
+    each = chosen.select("digest", "n", alone.alias("alone"), "l", F.posexplode(F.slice("known", 1, length(F.col("l")))["token"]).alias("at", "token"))
+    return each.withColumn("at", F.col("at") + F.col("alone"))
 
 
-def _sizes_fit(n: Column, m: Column) -> Column:
-    return F.least(n, m) * WHOLE >= F.greatest(n, m) * PART
+def _may_link(x: str, y: str) -> Column:
+    """Whether two classes that share a shingle can have enough in common; x and y end the column names of each.
+
+    Before the shared shingle they can share what neither has alone, from there on the shorter rest.
+    """
+    n, at, alone = ([F.col(c + x), F.col(c + y)] for c in ("n", "at", "alone"))
+    most = F.least(at[0] - alone[0], at[1] - alone[1]) + F.least(n[0] - at[0], n[1] - at[1])
+    return (most * (WHOLE + PART) >= (n[0] + n[1]) * PART) & (F.least(*n) * WHOLE >= F.greatest(*n) * PART)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -167,17 +176,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     known = tokens.join(df, "token").groupBy("digest").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("known"))
     prefix = stored(_adaptive(known), "adaptive")
 
-    leaders = stored(prefix.groupBy("token").agg(F.min(F.struct("digest", "n")).alias("x"), F.count("*").alias("k")).where("k > 1").select("token", F.col("x.digest").alias("a"), F.col("x.n").alias("na")), "leaders")
-    stars = prefix.join(leaders, "token").where((F.col("a") != F.col("digest")) & _sizes_fit(F.col("n"), F.col("na")))
-    stars = stored(stars.select("a", F.col("digest").alias("b")).distinct(), "stars")
+    central = F.struct((F.col("alone") / F.col("n")).alias("by"), "digest", "n", "alone", "at")  # most like the others
+    leaders = prefix.groupBy("token").agg(F.min(central).alias("x"), F.count("*").alias("k")).where("k > 1")
+    leaders = stored(leaders.select("token", F.col("x.digest").alias("a"), *(F.col(f"x.{c}").alias(f"{c}2") for c in ("n", "alone", "at"))), "leaders")
+    stars = prefix.join(leaders, "token").where((F.col("a") != F.col("digest")) & _may_link("", "2"))
+    stars = stored(stars.select(F.least("a", "digest").alias("a"), F.greatest("a", "digest").alias("b")).distinct(), "stars")
     links = stored(_verified(stars, sets), "links")
     labels = components(links)
 
-    labelled = stored(prefix.join(labels, F.col("digest") == F.col("id"), "left").select("token", "digest", "n", "l", F.coalesce("label", "digest").alias("label")), "labelled")
+    labelled = stored(prefix.join(labels, F.col("digest") == F.col("id"), "left").select(*prefix.columns, F.coalesce("label", "digest").alias("label")), "labelled")
     open_ = stored(labelled.groupBy("token").agg(F.min("label").alias("p"), F.max("label").alias("q")).where("p < q").select("token"), "open")
     some = stored(labelled.join(open_, "token"), "some")
-    other = some.select("token", *(F.col(c).alias(f"{c}2") for c in ("digest", "n", "l", "label")))
-    across = some.join(other, "token").where((F.col("label") != F.col("label2")) & (F.col("digest") < F.col("digest2")) & _sizes_fit(F.col("n"), F.col("n2")))
+    other = some.select(F.col("token").alias("token2"), *(F.col(c).alias(f"{c}2") for c in ("digest", "n", "alone", "l", "at", "label")))
+    across = some.join(other, (F.col("token") == F.col("token2")) & (F.col("label") != F.col("label2")) & (F.col("digest") < F.col("digest2")) & _may_link("", "2"))
     counted = across.groupBy(F.col("digest").alias("a"), F.col("digest2").alias("b")).agg(F.count("*").alias("common"), F.min(F.least("l", "l2")).alias("need"))
     pairs = counted.where("common >= need").join(stars, ["a", "b"], "left_anti")
     more = stored(_verified(pairs, sets), "links")

@@ -9,10 +9,10 @@ share at least l shingles, for any l. A longer prefix costs more rows, and asks
    if enough shingles of its prefix occur in prefixes of other classes. Most classes end here.
 3. For the rest Spark counts each shingle's classes, and orders rare ones first. Now each class chooses the l that
    makes its expected candidates fewest: the classes of its prefix's shingles, summed, over l.
-4. In each prefix shingle's group all members are compared with one only, that with the smallest share of shingles of its
-   own, which joins dense groups at linear cost. Groups that still hold several components then give the pairs across
-   components, less those whose places of the shingle rule a link out; a pair that shares as many prefix shingles as
-   the smaller l is verified. So no link between different components is lost.
+4. The classes that show a prefix shingle form a group and are compared with one of them only, that with the smallest
+   share of shingles of its own, which joins dense groups at linear cost. Groups that still hold several components
+   then give the pairs across components, less those that cannot link by what each shares with the representative. A
+   pair that shares as many prefix shingles as the smaller l is verified. So no link between components is lost.
 
 Verification counts the shingles common to both whole sets. Shingles are compared by 64-bit hashes. Pairs and links
 stay in Spark; AQE splits hot shingles and representatives, since written tables stand on both sides of those joins.
@@ -120,11 +120,10 @@ def _whole_sets(texts: DataFrame) -> DataFrame:
 
 
 def _adaptive(shared: DataFrame) -> DataFrame:
-    """digest, n, alone, l, at, token: the shingles of each class's chosen prefix that other classes have too.
+    """digest, n, alone, l, prefix: the shingles of each class's chosen prefix that other classes have too.
 
-    `alone` counts the shingles that no other class has; `at` is the shingle's place in the order, from 0.
     `shared` has digest, n and `known`, the array of (df, token) of its shingles in two classes or more, rare first.
-    The others come before them in the order, and take their places of the prefix.
+    The others, `alone` in number, come before them in the order and take their places of the prefix.
     """
     plain = F.col("n") - F.ceil(F.col("n") * PART / WHOLE)
     alone = F.col("n") - F.size("known")
@@ -133,31 +132,31 @@ def _adaptive(shared: DataFrame) -> DataFrame:
     total = lambda k: F.aggregate(F.slice("known", 1, length(k)), F.lit(0).cast("double"), lambda acc, x: acc + x["df"])
     cost = F.transform(options, lambda k: F.struct((total(k) / k).alias("cost"), k.alias("l")))
     chosen = shared.where(length(F.lit(1)) >= 1).withColumn("l", F.array_min(cost)["l"])
-    each = chosen.select("digest", "n", alone.alias("alone"), "l", F.posexplode(F.slice("known", 1, length(F.col("l")))["token"]).alias("at", "token"))
-    return each.withColumn("at", F.col("at") + F.col("alone"))
+    return chosen.select("digest", "n", alone.alias("alone"), "l", F.slice("known", 1, length(F.col("l")))["token"].alias("prefix"))
 
 
 def _may_link(x: str, y: str) -> Column:
-    """Whether two classes that share a shingle can have enough in common; x and y end the column names of each.
+    """Whether two classes of one group can have enough in common; x and y end the column names of each.
 
-    Before the shared shingle they can share what neither has alone, from there on the shorter rest.
+    `o` is what a class shares with the group's representative. Two classes share at most the smaller of these, and
+    of the rest, without the shingles that a class has alone, the smaller again.
     """
-    n, at, alone = ([F.col(c + x), F.col(c + y)] for c in ("n", "at", "alone"))
-    most = F.least(at[0] - alone[0], at[1] - alone[1]) + F.least(n[0] - at[0], n[1] - at[1])
+    n, o, alone = ([F.col(c + x), F.col(c + y)] for c in ("n", "o", "alone"))
+    most = F.least(*o) + F.least(n[0] - alone[0] - o[0], n[1] - alone[1] - o[1])
     return (most * (WHOLE + PART) >= (n[0] + n[1]) * PART) & (F.least(*n) * WHOLE >= F.greatest(*n) * PART)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of digests whose whole sets are similar enough."""
+def _common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of digests with c, the number of shingles common to both whole sets, and whether they are linked."""
     one = sets.select(F.col("digest").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("digest").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    joined = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", common.alias("c"), (F.col("na") + F.col("nb")).alias("t"))
-    return joined.where(F.col("c") * WHOLE >= (F.col("t") - F.col("c")) * PART).select("a", "b")
+    c = F.size(F.array_intersect("sa", "sb"))
+    joined = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", c.alias("c"), (F.col("na") + F.col("nb")).alias("t"))
+    return joined.select("a", "b", "c", (F.col("c") * WHOLE >= (F.col("t") - F.col("c")) * PART).alias("linked"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id (equal shingle sets), n_links (links of the class to other classes)."""
+    """doc_id, n_shingles, component_id, class_id (equal shingle sets), n_links (links of the class found to other classes)."""
     parts = stored(_prefixes(docs), "prefixes")
     full = parts.where("n > 0")
     classes = stored(full.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min_by(F.struct("n", "least", "prefix"), F.struct(F.col("doc_id").isNull(), "doc_id")).alias("x")).select("digest", "first", "x.*"), "classes")
@@ -174,25 +173,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tokens = sets.select("digest", "n", F.explode("shingles").alias("token"))
     df = stored(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "df")
     known = tokens.join(df, "token").groupBy("digest").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("known"))
-    prefix = stored(_adaptive(known), "adaptive")
+    chosen = stored(_adaptive(known), "adaptive")
+    prefix = chosen.select("digest", "n", "alone", F.explode("prefix").alias("token"))
 
-    central = F.struct((F.col("alone") / F.col("n")).alias("by"), "digest", "n", "alone", "at")  # most like the others
+    central = F.struct((F.col("alone") / F.col("n")).alias("by"), "digest")  # most like the others
     leaders = prefix.groupBy("token").agg(F.min(central).alias("x"), F.count("*").alias("k")).where("k > 1")
-    leaders = stored(leaders.select("token", F.col("x.digest").alias("a"), *(F.col(f"x.{c}").alias(f"{c}2") for c in ("n", "alone", "at"))), "leaders")
-    stars = prefix.join(leaders, "token").where((F.col("a") != F.col("digest")) & _may_link("", "2"))
-    stars = stored(stars.select(F.least("a", "digest").alias("a"), F.greatest("a", "digest").alias("b")).distinct(), "stars")
-    links = stored(_verified(stars, sets), "links")
+    leaders = stored(leaders.select("token", F.col("x.digest").alias("a")), "leaders")
+    groups = stored(prefix.join(leaders, "token").select("a", F.col("digest").alias("b")).distinct(), "groups")
+    stars = stored(_common(groups.where("a <> b"), sets), "stars")
+    links = stars.where("linked").select("a", "b")
     labels = components(links)
 
-    labelled = stored(prefix.join(labels, F.col("digest") == F.col("id"), "left").select(*prefix.columns, F.coalesce("label", "digest").alias("label")), "labelled")
-    open_ = stored(labelled.groupBy("token").agg(F.min("label").alias("p"), F.max("label").alias("q")).where("p < q").select("token"), "open")
-    some = stored(labelled.join(open_, "token"), "some")
-    other = some.select(F.col("token").alias("token2"), *(F.col(c).alias(f"{c}2") for c in ("digest", "n", "alone", "l", "at", "label")))
-    across = some.join(other, (F.col("token") == F.col("token2")) & (F.col("label") != F.col("label2")) & (F.col("digest") < F.col("digest2")) & _may_link("", "2"))
-    counted = across.groupBy(F.col("digest").alias("a"), F.col("digest2").alias("b")).agg(F.count("*").alias("common"), F.min(F.least("l", "l2")).alias("need"))
-    pairs = counted.where("common >= need").join(stars, ["a", "b"], "left_anti")
-    more = stored(_verified(pairs, sets), "links")
-    every = links.unionByName(more)
+    info = chosen.select(F.col("digest").alias("b"), "n", "alone")
+    named = groups.join(stars.drop("linked"), ["a", "b"], "left").join(info, "b").join(labels, F.col("b") == F.col("id"), "left")
+    named = stored(named.select("a", "b", "n", "alone", F.coalesce("c", "n").alias("o"), F.coalesce("label", "b").alias("label")), "members")
+    several = stored(named.groupBy("a").agg(F.min("label").alias("p"), F.max("label").alias("q")).where("p < q").select("a"), "several")
+    open_ = stored(named.join(several, "a"), "open")
+    other = open_.select(F.col("a").alias("a2"), *(F.col(c).alias(f"{c}2") for c in ("b", "n", "alone", "o", "label")))
+    across = open_.join(other, (F.col("a") == F.col("a2")) & (F.col("label") != F.col("label2")) & (F.col("b") < F.col("b2")) & _may_link("", "2"))
+    pairs = across.where((F.col("a") != F.col("b")) & (F.col("a") != F.col("b2"))).select(F.col("b").alias("x"), F.col("b2").alias("y")).distinct()
+    shown = chosen.select(F.col("digest").alias("x"), F.col("l").alias("lx"), F.col("prefix").alias("px"))
+    met = pairs.join(shown, "x").join(shown.withColumnsRenamed({"x": "y", "lx": "ly", "px": "py"}), "y")
+    enough = met.where(F.size(F.array_intersect("px", "py")) >= F.least("lx", "ly")).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    more = stored(_common(enough, sets).where("linked").select("a", "b"), "links")
+    every = links.unionByName(more).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     labels = components(every) if more.head(1) else labels
 
     ends = every.select(F.col("a").alias("digest")).unionByName(every.select(F.col("b").alias("digest"))).groupBy("digest").agg(F.count("*").alias("n_links"))

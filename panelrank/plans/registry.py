@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from panelrank.plans import q_panel
+from panelrank.plans import q_panel, q_returns
 
-MODULES = (q_panel,)
+MODULES = (q_panel, q_returns)
 
 
 def registered() -> tuple[dict, dict]:

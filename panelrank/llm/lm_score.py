@@ -225,7 +225,16 @@ def fit(docs: DataFrame, learn: Column, vocabulary: int = VOCABULARY, rounds: in
     texts = docs.where(F.coalesce(learn, F.lit(False))).select("doc_id", "text")
     counts = stored(count_tokens(texts), "counts")
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.col("n").desc(), "word").limit(vocabulary).toPandas()
+    # the frequent words: whole steps of an eighth of an octave of n, as many as the vocabulary holds
+    step = F.floor(F.log2("n") * 8).cast("int")
+    steps = sorted(counts.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["s"])
+    held, lowest = 0, 1 << 30
+    for r in steps:
+        held += r["n"]
+        if held > vocabulary:
+            break
+        lowest = r["s"]
+    top = counts.where(step >= lowest).toPandas().sort_values(["n", "word"], ascending=[False, True])
     words = Words({bytes(w): i for i, w in enumerate(top["word"])}, top["n"].to_numpy(np.int64), int(sums["n"]), int(sums["v"]))
     classes = _classes(texts, words)
     weights = np.zeros((BUCKETS + 1, CLUSTERS * (len(BINS) + 1) + 2), np.float32)
@@ -235,11 +244,7 @@ def fit(docs: DataFrame, learn: Column, vocabulary: int = VOCABULARY, rounds: in
     n = words.count + 1.0
     in_class = np.log10(n / np.bincount(classes[:-1], n, weights.shape[1])[classes[:-1]]) if len(n) else np.zeros(0)
     rare = words.total - int(words.count.sum()) + words.distinct - len(words.ids) + 1
-    rest = counts
-    if len(top):
-        lowest = top.iloc[-1]
-        last = F.lit(bytes(lowest["word"]))
-        rest = counts.where((F.col("n") < int(lowest["n"])) | ((F.col("n") == int(lowest["n"])) & (F.col("word") > last)))
+    rest = counts.where(step < lowest)
     return Model(words, classes, weights, np.append(in_class, math.log10(rare)), rest)
 
 

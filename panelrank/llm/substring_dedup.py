@@ -35,7 +35,7 @@ ROUNDS, SPAN = 6, 10
 #: Symbols of fewer words are too common to tell much and aren't reported.
 LEAST_WORDS = 5
 #: Characters of text parsed at a time, and words whose hashes a worker remembers.
-CHUNK_CHARS, WORD_MEMORY = 3_000_000, 1_000_000
+CHUNK_CHARS, WORD_MEMORY = 1_000_000, 250_000
 
 _A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
 

@@ -30,6 +30,8 @@ from panelrank.llm.common import lower_ascii
 
 #: Lengths of the stretches whose best mean is a feature.
 STRETCHES = (1, 5, 20)
+#: Weight of the regression's prior, divided by the square of the number of toxic texts it is fitted on.
+FEW = 100.0
 #: Shingle length of the near-copy key.
 SHINGLE = 5
 START = b"\n"
@@ -202,7 +204,9 @@ def _calibrated(model: Model, held: DataFrame) -> Model:
     x, y = np.array(rows["x"].tolist()), rows["toxic"].to_numpy(float)
     model.mean, model.scale = x.mean(0), np.maximum(x.std(0), 1e-6)
     z = np.hstack([(x - model.mean) / model.scale, np.ones((len(x), 1))])
-    ridge = np.diag([0.05] * x.shape[1] + [1e-6]) * max(1.0, len(x) / 500)
+    # the fewer toxic texts there are to fit on, the closer the score stays to their share
+    strength = 0.05 * max(1.0, len(x) / 500) + FEW / y.sum() ** 2
+    ridge = np.diag([strength] * x.shape[1] + [1e-6])
     w = np.zeros(z.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))

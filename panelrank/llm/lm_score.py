@@ -38,7 +38,7 @@ VOCABULARY, ANCHORS, CLUSTERS, CLUSTER_WORDS = 100_000, 32, 8, 5_000
 #: Ranks that split a cluster into classes by frequency.
 BINS = (200, 5_000)
 #: Rows of the weight table, rounds of training, step size and tokens of a mini-batch.
-BUCKETS, ROUNDS, STEP, BATCH = 1 << 15, 2, 0.5, 8_192
+BUCKETS, ROUNDS, STEP, BATCH = 1 << 15, 2, 0.25, 8_192
 #: Counted words that a task holds before it passes them on.
 HELD_WORDS = 400_000
 #: Texts handled together.
@@ -176,7 +176,7 @@ def _train_round(texts: DataFrame, words: Words, classes: np.ndarray, weights: n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, kind, start = shared.value
         own = start.copy()
-        square = np.full(len(own), 1.0, np.float32)
+        square = np.ones_like(own)
         touched = np.zeros(len(own), bool)
         for batch in batches:
             for a in range(0, batch.num_rows, TOGETHER):
@@ -190,18 +190,17 @@ def _train_round(texts: DataFrame, words: Words, classes: np.ndarray, weights: n
                     part = [r[at] for r in rows]
                     error = np.exp(_class_logs(own, part)).astype(np.float32)
                     error[np.arange(len(at)), kind[every[at]]] -= 1
-                    # sum the errors of equal rows, then one step for each row, smaller the more it has moved
+                    # sum the errors of equal rows, then one step for each weight, smaller the more it has moved
                     flat = np.concatenate(part)
                     order = np.argsort(flat, kind="stable")
                     first = np.flatnonzero(np.append(True, np.diff(flat[order]) != 0))
                     row = flat[order][first]
                     change = np.add.reduceat(error[order % len(at)], first, axis=0)
-                    square[row] += np.square(change).mean(1)
-                    own[row] -= STEP / np.sqrt(square[row])[:, None] * change
-                    square[BUCKETS] += np.square(error.sum(0)).mean()
-                    own[BUCKETS] -= STEP / np.sqrt(square[BUCKETS]) * error.sum(0)
+                    row, change = np.append(row, BUCKETS), np.vstack([change, error.sum(0)])
+                    moved = square[row] + np.square(change)
+                    own[row] -= STEP * change / np.sqrt(moved)
+                    square[row] = moved
                     touched[row] = True
-                    touched[BUCKETS] = True
         at = np.flatnonzero(touched)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(own[at, c]) for c in range(n))], ["row", *columns])
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from panelrank.plans import q_merge, q_panel, q_returns
+from panelrank.plans import q_merge, q_models, q_panel, q_returns
 
-MODULES = (q_panel, q_returns, q_merge)
+MODULES = (q_panel, q_returns, q_merge, q_models)
 
 
 def registered() -> tuple[dict, dict]:

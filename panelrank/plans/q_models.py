@@ -50,9 +50,9 @@ def window_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return walkforward.window_summary(walkforward.purged_by_label(rows(spark, sf_dir)), 8_000)
 
 
-@add("m1_medians", ROWS + " SELECT window_id, " + ", ".join(f"round(coalesce(median({c}), 0), 6) AS median_{c}" for c in FEATURES) + " FROM rl WHERE role = 'train' GROUP BY window_id")
+@add("m1_medians", ROWS + " SELECT window_id, " + ", ".join(f"round(coalesce(median({c}), 0), 8) AS median_{c}" for c in FEATURES) + " FROM rl WHERE role = 'train' GROUP BY window_id")
 def medians(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return walkforward.medians(rows(spark, sf_dir), FEATURES).select("window_id", *(F.round(f"median_{c}", 6).alias(f"median_{c}") for c in FEATURES))
+    return walkforward.medians(rows(spark, sf_dir), FEATURES).select("window_id", *(F.round(f"median_{c}", 8).alias(f"median_{c}") for c in FEATURES))
 
 
 @add("m4_gram_sums", ROWS + """, me AS (SELECT window_id, median(roc20) AS m1, median(roc60) AS m2, median(price_sma) AS m3 FROM rl WHERE role = 'train' GROUP BY window_id),

@@ -49,34 +49,39 @@ def _numbers() -> Column:
 
 
 def line_dedup(docs: DataFrame, divisor: int = DIVISOR, chunk_hash=F.xxhash64) -> DataFrame:
-    """The rows of `docs` with `text` cut, and n_lines, n_removed_chunks and n_removed_lines (which replace columns of these names)."""
+    """The rows of `docs` with `text` cut, and n_lines, n_removed_chunks, n_removed_lines and emptied (which replace columns of these names).
+
+    `emptied` tells that every chunk went. Filter by it, not by the text: a filter on the text would be pushed below
+    the columns that it is made of and make them anew for every line.
+    """
     key = ["doc_id", "version"]
     place = F.struct("doc_id", "version", "k")
     many = F.instr("text", "\n") > 0
     keyed = docs.withColumn("version", F.xxhash64("text"))
     slim = keyed.select("doc_id", "text", "version")
     cut = _chunks(slim.where(many), divisor, many)
-    chunks = stored(cut.select(*key, F.posexplode(F.transform(_numbers(), lambda k: chunk_hash(_text_at(k)))).alias("k", "h")), "chunks")
+    size = (F.size("starts") - 1).alias("n_chunks")
+    chunks = stored(cut.select(*key, size, F.posexplode(F.transform(_numbers(), lambda k: chunk_hash(_text_at(k)))).alias("k", "h")), "chunks")
     repeated = stored(chunks.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n"), "repeated")
-    met = chunks.join(repeated, "h").select(*key, "k", "h", "first")
+    met = chunks.join(repeated, "h").select(*key, "n_chunks", "k", "h", "first")
 
     # byte comparison: every place of a repeated hash brings its text; equal texts meet before they are shuffled
     marks = met.groupBy(*key).agg(F.collect_set(F.struct("k", "h")).alias("marks")).withColumnsRenamed({"doc_id": "_doc", "version": "_version"})
     same_doc = (F.col("version") == F.col("_version")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
     held = _chunks(slim.where(many).join(marks, same_doc), divisor, many).select(*key, "lines", "starts", F.explode("marks").alias("m"))
-    texts = held.select(*key, F.col("m.k").alias("k"), F.col("m.h").alias("h"), _text_at(F.col("m.k")).alias("chunk"))
+    texts = held.select(*key, size, F.col("m.k").alias("k"), F.col("m.h").alias("h"), _text_at(F.col("m.k")).alias("chunk"))
     variants = texts.groupBy("h", "chunk").agg(F.count("*").alias("n"))
     clashing = stored(variants.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "clashing")
 
-    flags = met.select(*key, "k", (F.col("first") != place).alias("removed"), "h")
+    flags = met.select(*key, "n_chunks", "k", (F.col("first") != place).alias("removed"), "h")
     if clashing.head(1):
         clashes = stored(texts.join(clashing, "h"), "clashes")
         firsts = clashes.groupBy("h", "chunk").agg(F.min(place).alias("first"))
-        exact = clashes.join(firsts, ["h", "chunk"]).select(*key, "k", (F.col("first") != place).alias("removed"), "h")
+        exact = clashes.join(firsts, ["h", "chunk"]).select(*key, "n_chunks", "k", (F.col("first") != place).alias("removed"), "h")
         flags = flags.join(clashing, "h", "left_anti").unionByName(exact)
-    gone = flags.where("removed").groupBy(*key).agg(F.collect_set("k").alias("gone")).withColumnsRenamed({"doc_id": "_doc", "version": "_version"})
+    gone = flags.where("removed").groupBy(*key).agg(F.collect_set("k").alias("gone"), F.max("n_chunks").alias("_all")).withColumnsRenamed({"doc_id": "_doc", "version": "_version"})
 
-    made = ["n_lines", "n_removed_chunks", "n_removed_lines"]
+    made = ["n_lines", "n_removed_chunks", "n_removed_lines", "emptied"]
     rest = [c for c in docs.columns if c not in ("doc_id", "text", *made)]
     touched = F.col("gone").isNotNull()
     parts = _chunks(keyed.join(gone, same_doc, "left"), divisor, touched)
@@ -90,4 +95,5 @@ def line_dedup(docs: DataFrame, divisor: int = DIVISOR, chunk_hash=F.xxhash64) -
         n_lines.cast("long").alias("n_lines"),
         F.when(touched, F.size("gone")).otherwise(0).cast("long").alias("n_removed_chunks"),
         F.when(touched, lost).otherwise(0).cast("long").alias("n_removed_lines"),
+        F.coalesce(F.size("gone") == F.col("_all"), F.lit(False)).alias("emptied"),
     )

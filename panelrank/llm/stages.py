@@ -19,7 +19,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Cuts repeated chunks of lines; a document of which nothing is left goes."""
     cut = line_dedup.line_dedup(docs)
     changed = F.col("n_removed_chunks") > 0
-    left = cut.where(~changed | (F.length("text") > 0))
+    left = cut.where(~F.col("emptied"))
     return left.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

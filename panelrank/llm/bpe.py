@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Pieces in each of the two generations that a worker remembers; a full one replaces the older.
-PIECE_MEMORY = 250_000
+PIECE_MEMORY = 100_000
 #: Pairs of ids whose compatibility a worker remembers; past this bound the memory starts afresh.
-PAIR_MEMORY = 1_000_000
+PAIR_MEMORY = 200_000
 
 
 class BytePairs:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelrank.llm.common import lower_ascii
+from panelrank.llm.common import stored
 
 #: Lengths of the stretches whose best mean is a feature.
 STRETCHES = (1, 5, 20)
@@ -135,7 +135,7 @@ def _smoothed(n: np.ndarray, total: float, shared: np.ndarray, discount: float)
 
 def fit(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, max_docs: int = 10_000, max_ngrams: int = 150_000, discount: float = 2.0) -> Model:
     """Fits the model on labelled rows (doc_id, toxic) for which `may_learn`, a condition on `labels`, holds."""
-    sample = _sample(docs, labels, F.lit(True) if may_learn is None else may_learn, max_docs).persist()
+    sample = stored(_sample(docs, labels, F.lit(True) if may_learn is None else may_learn, max_docs), "sample")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_docs = sum(sizes.values())
     nothing = Model({}, np.zeros(1), np.zeros(0, np.int64), np.zeros(0), np.zeros(1), np.zeros(1 + len(STRETCHES)), np.ones(1 + len(STRETCHES)), np.zeros(1 + len(STRETCHES)), -30.0)
@@ -144,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, max
         nothing.bias = float(np.log(share / (1 - share)))
         return nothing
     min_df = int(np.clip(n_docs // 600, 3, 12))
-    counted = _counts(sample.where("fold < 3")).persist()
+    counted = stored(_counts(sample.where("fold < 3")), "counted")
     totals = counted.where("first is null").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).first()
     common = F.col("n1") + F.col("n0") >= min_df
     top = (F.col("n1") + F.col("n0")).desc()
@@ -153,7 +153,6 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, max
     uni = counted.where(F.col("first").isNull() & common).join(follows, "word").orderBy(top, "word").limit(max_ngrams).toPandas()
     uni = uni.sort_values("word").reset_index(drop=True)
     bi = counted.where(F.col("first").isNotNull() & common).orderBy(top, "first", "word").limit(max_ngrams).toPandas()
-    counted.unpersist()
 
     words = {bytes(w): i for i, w in enumerate(uni["word"])}
     size, n_words = len(words), kinds["words"]
@@ -184,7 +183,6 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, max
 
     model = Model(words, single, pairs, paired, after, nothing.mean, nothing.scale, nothing.weight, 0.0)
     model = _calibrated(model, sample.where("fold = 3"))
-    sample.unpersist()
     return model
 
 

@@ -11,6 +11,9 @@ is decided text by text. Rows with equal id and text share one decision. Null te
 
 Only hashes and positions are shuffled for the whole table, plus the texts once to compare and once to cut. The
 table of repeated hashes is written, so that Spark can split the join at hot chunks.
+
+A repeated block between different neighbours need not hold a whole chunk. `block_dedup` counts every two lines
+in a row instead, so no repeated block of two lines or more stays whole beyond its first place.
 """
 
 from __future__ import annotations
@@ -97,3 +100,66 @@ def line_dedup(docs: DataFrame, divisor: int = DIVISOR, chunk_hash=F.xxhash64) -
         F.when(touched, lost).otherwise(0).cast("long").alias("n_removed_lines"),
         F.coalesce(F.size("gone") == F.col("_all"), F.lit(False)).alias("emptied"),
     )
+
+
+def _contents(df: DataFrame) -> DataFrame:
+    """Adds `lines`, and of those that hold a letter or digit the numbers, `at`, and the lines themselves, `content`."""
+    lined = df.withColumn("lines", F.split("text", "\n", -1))
+    numbered = lined.withColumn("at", F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("lines", i).rlike(r"[\p{L}\p{N}]")))
+    return numbered.withColumn("content", F.transform("at", lambda i: F.get("lines", i)))
+
+
+def block_dedup(docs: DataFrame, pair_hash=F.xxhash64) -> DataFrame:
+    """The rows of `docs` with `text` cut, and n_removed_lines and emptied (which replace columns of these names).
+
+    Two lines in a row that occur more than once, anywhere, stay at their first place, by (doc_id, text hash,
+    position), and their bytes are compared, as with chunks. Lines without a letter or digit are passed over, and
+    go where the lines before and after them go. Any line stays at its first place. `emptied` tells that no
+    line with a letter or digit is left; filter by it, not by the text.
+    """
+    key = ["doc_id", "version"]
+    place = F.struct("doc_id", "version", "k")
+    many = F.instr("text", "\n") > 0
+    keyed = docs.withColumn("version", F.xxhash64("text"))
+    slim = keyed.select("doc_id", "text", "version").where(many)
+    both = F.zip_with(F.slice("content", 1, F.size("content") - 1), F.slice("content", 2, F.size("content") - 1), lambda x, y: pair_hash(F.concat_ws("\n", x, y)))
+    paired = _contents(slim).where(F.size("content") > 1)
+    pairs = stored(paired.select(*key, F.posexplode(F.when(F.size("content") > 1, both)).alias("k", "h")), "pairs")
+    repeated = stored(pairs.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n"), "repeated")
+    met = pairs.join(repeated, "h").select(*key, "k", "h", "first")
+
+    same_doc = (F.col("version") == F.col("_version")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
+    named = {"doc_id": "_doc", "version": "_version"}
+    marks = met.groupBy(*key).agg(F.collect_set(F.struct("k", "h")).alias("marks")).withColumnsRenamed(named)
+    held = _contents(slim.join(marks, same_doc)).select(*key, "content", F.explode("marks").alias("m"))
+    texts = held.select(*key, F.col("m.k").alias("k"), F.col("m.h").alias("h"), F.concat_ws("\n", F.get("content", F.col("m.k")), F.get("content", F.col("m.k") + 1)).alias("pair"))
+    variants = texts.groupBy("h", "pair").agg(F.count("*").alias("n"))
+    clashing = stored(variants.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "clashing")
+
+    flags = met.select(*key, "k", "first", "h")
+    if clashing.head(1):
+        clashes = stored(texts.join(clashing, "h"), "clashes")
+        firsts = clashes.groupBy("h", "pair").agg(F.min(place).alias("first"))
+        exact = clashes.join(firsts, ["h", "pair"]).select(*key, "k", "first", "h")
+        flags = flags.join(clashing, "h", "left_anti").unionByName(exact)
+    # of equal lines in a row the second is the first pair's own
+    own = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.version") == F.col("version")) & (F.col("first.k") == F.col("k") - 1)
+    lost = F.when(own, F.array(F.col("k") + 1)).otherwise(F.array("k", F.col("k") + 1))
+    later = flags.where(F.col("first") != place).select(*key, F.explode(lost).alias("c"))
+    gone = later.groupBy(*key).agg(F.collect_set("c").alias("gone")).withColumnsRenamed(named)
+
+    made = ["n_removed_lines", "emptied"]
+    rest = [c for c in docs.columns if c not in ("doc_id", "text", *made)]
+    touched = F.col("gone").isNotNull()
+    joined = keyed.join(gone, same_doc, "left")
+    parts = _contents(joined.withColumn("_text", F.col("text")).withColumn("text", F.when(touched, F.col("text"))))
+    between = F.transform("gone", lambda c: F.sequence(F.get("at", c), F.when(F.array_contains("gone", c + 1), F.get("at", c + 1)).otherwise(F.get("at", c))))
+    parts = parts.withColumn("kept", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.flatten(between)))
+    cut = F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")
+    return parts.select(
+        "doc_id",
+        F.when(touched, cut).otherwise(F.col("_text")).alias("text"),
+        *rest,
+        F.when(touched, F.size("lines") - F.size("kept")).otherwise(0).cast("long").alias("n_removed_lines"),
+        F.coalesce(F.size("gone") == F.size("content"), F.lit(False)).alias("emptied"),
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelrank.llm import decontaminate, line_dedup, ngram_join, queries, toxicity
-from panelrank.llm.common import table
+from panelrank.llm.common import stored, table
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,10 +16,10 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts repeated chunks of lines; a document of which nothing is left goes."""
-    cut = line_dedup.line_dedup(docs)
-    changed = F.col("n_removed_chunks") > 0
-    left = cut.where(~F.col("emptied"))
+    """Cuts repeated chunks of lines, then repeated blocks of two lines or more; a document of which nothing is left goes."""
+    chunked = line_dedup.line_dedup(docs).where(~F.col("emptied")).select(*docs.columns, (F.col("n_removed_chunks") > 0).alias("_cut"))
+    left = line_dedup.block_dedup(stored(chunked, "chunked")).where(~F.col("emptied"))
+    changed = F.col("_cut") | (F.col("n_removed_lines") > 0)
     return left.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -7,7 +7,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from panelrank.llm import decontaminate, line_dedup, ngram_join, substring_dedup
+from panelrank.llm import decontaminate, line_dedup, ngram_join, stages, substring_dedup
 from panelrank.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, h long, k int, n long, a string, b string, version string"
@@ -154,6 +154,37 @@ def test_line_dedup(spark, coarse):
     assert set(block) - set(kept) and not set(kept) <= set(block)
 
 
+@pytest.mark.parametrize("coarse", [False, True])
+def test_block_dedup(spark, coarse):
+    """Blocks of two to six lines between different neighbours go, and nothing but them."""
+    rng = random.Random(12)
+    blocks = [lines(rng, n) for n in (2, 3, 4, 5, 6)]
+    blocks.append([blocks[0][0] + " more", "", "--", "a line after marks"])
+    alone = [(lines(rng, 3), lines(rng, 3)) for _ in range(24)]
+    rows = [(i, "\n".join(a + blocks[i % 6] + b)) for i, (a, b) in enumerate(alone)]
+    same = "so it goes"
+    rows += [(30, "\n".join([same] * 4)), (31, "\n".join([same, same, "end"])), (32, None), (33, "one line"), (34, "\n\n"), (35, "\n".join(blocks[1]))]
+    extra = {"pair_hash": lambda c: F.length(c).cast("long") % 3} if coarse else {}
+    out = {r.doc_id: r for r in line_dedup.block_dedup(docs(spark, rows), **extra).collect()}
+    for i, (a, b) in enumerate(alone):
+        assert out[i].text == "\n".join(a + (blocks[i] if i < 6 else []) + b) and out[i].n_removed_lines == (0 if i < 6 else len(blocks[i % 6]))
+    assert [out[i].text for i in (30, 31, 32, 33, 34)] == [f"{same}\n{same}", "end", None, "one line", "\n\n"]
+    assert out[35].emptied and not any(r.emptied for i, r in out.items() if i != 35)
+
+
+def test_line_stage_leaves_no_block(spark):
+    """The pipeline's stage: no two lines of 10 characters or more stay in a document after the first that has them."""
+    rng = random.Random(13)
+    blocks = [lines(rng, n) for n in (2, 3, 4, 5, 6)]
+    rows = [(i, "\n".join(lines(rng, 4) + blocks[i % 5] + lines(rng, 4)), "en", "s", 7) for i in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = stages.without_repeated_lines(spark, table, "").collect()
+    pairs = [p for r in out for p in set(zip(r.text.split("\n"), r.text.split("\n")[1:]))]
+    assert len(out) == 40 and len(pairs) == len(set(pairs))
+    assert {x for r in out for x in r.text.split("\n")} == {x for r in rows for x in r[1].split("\n")}
+    assert all(r.n_chars == len(r.text) for r in out if r.doc_id >= 5)
+
+
 def test_decontaminate(spark):
     rng = random.Random(4)
     item = words(rng, 20)

@@ -13,6 +13,8 @@ share at least l shingles, for any l. A longer prefix costs more rows, and asks
    share of shingles of its own, which joins dense groups at linear cost. Groups that still hold several components
    then give the pairs across components, less those that cannot link by what each shares with the representative. A
    pair that shares as many prefix shingles as the smaller l is verified. So no link between components is lost.
+5. No link leaves a component. So that n_links is whole, all pairs inside each component are verified, in tasks of two
+   blocks of its classes each.
 
 Verification counts the shingles common to both whole sets. Shingles are compared by 64-bit hashes. Pairs and links
 stay in Spark; AQE splits hot shingles and representatives, since written tables stand on both sides of those joins.
@@ -42,6 +44,8 @@ PART, WHOLE = 80, 100
 EXTRA = 10
 #: The largest l that step 3 considers.
 MOST = 8
+#: Classes of a component that step 5 takes as a block.
+BLOCK = 256
 
 
 def shingle_sets(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -155,8 +159,41 @@ def _common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "c", (F.col("c") * WHOLE >= (F.col("t") - F.col("c")) * PART).alias("linked"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id (equal shingle sets), n_links (links of the class found to other classes)."""
+def _block_links(group: pa.Table) -> pa.Table:
+    """digest, n: links of each class of a block to those of the other block, or of its own."""
+    i, j = (group.column(c)[0].as_py() for c in ("i", "j"))
+    block, digest, n = (group.column(c).to_numpy() for c in ("block", "digest", "n"))
+    shingles = group.column("shingles").combine_chunks()
+    flat = np.unique(shingles.flatten().to_numpy(), return_inverse=True)[1]
+    begins = np.append(0, np.cumsum(n))
+    met = np.zeros(len(flat), bool)
+    links = np.zeros(len(n), np.int64)
+    for a in np.flatnonzero(block == i):
+        own = flat[begins[a] : begins[a + 1]]
+        met[own] = True
+        common = np.add.reduceat(met[flat].astype(np.int64), begins[:-1])
+        met[own] = False
+        linked = (common * WHOLE >= (n + n[a] - common) * PART) & (block == j)
+        linked[a] = False
+        links[a] += linked.sum()
+        if i != j:
+            links += linked
+    return pa.table({"digest": digest, "n": links})
+
+
+def _links(labels: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """digest, n_links: the number of classes that each class of a component is linked with."""
+    sizes = stored(labels.groupBy("label").agg(F.count("*").alias("k")), "sizes")
+    sized = stored(labels.join(sizes, "label").select("label", F.col("id").alias("digest"), "k"), "sized")
+    several = sized.where("k > 2").join(sets, "digest").withColumn("blocks", F.ceil(F.col("k") / block).cast("int"))
+    placed = several.withColumn("block", F.pmod("digest", "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = placed.select("label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "digest", "n", "shingles")
+    counted = dealt.groupBy("label", "i", "j").applyInArrow(_block_links, "digest long, n long").groupBy("digest").agg(F.sum("n").alias("n_links"))
+    return stored(sized.where("k = 2").select("digest", F.lit(1).cast("long").alias("n_links")).unionByName(counted), "counted")
+
+
+def near_duplicates(docs: DataFrame, count_links: bool = True, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_shingles, component_id, class_id (equal shingle sets), n_links (classes that the class is linked with) if `count_links`."""
     parts = stored(_prefixes(docs), "prefixes")
     full = parts.where("n > 0")
     classes = stored(full.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min_by(F.struct("n", "least", "prefix"), F.struct(F.col("doc_id").isNull(), "doc_id")).alias("x")).select("digest", "first", "x.*"), "classes")
@@ -199,12 +236,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     every = links.unionByName(more).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     labels = components(every) if more.head(1) else labels
 
-    ends = every.select(F.col("a").alias("digest")).unionByName(every.select(F.col("b").alias("digest"))).groupBy("digest").agg(F.count("*").alias("n_links"))
+    ends = _links(labels, sets, block) if count_links else labels.select(F.col("id").alias("digest"), F.lit(0).alias("n_links"))
     grouped = classes.join(labels, F.col("digest") == F.col("id"), "left").select("digest", "first", F.coalesce("label", "digest").alias("label"))
     least = stored(grouped.groupBy("label").agg(F.min("first").alias("component_id")), "least")
     named = grouped.join(least, "label").join(ends, "digest", "left")
     named = stored(named.select(F.col("digest").alias("_digest"), F.col("first").alias("class_id"), "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "named")
     out = parts.join(named, F.col("digest") == F.col("_digest"), "left")
-    return out.select(
+    out = out.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
     )
+    return out if count_links else out.drop("n_links")

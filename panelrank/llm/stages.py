@@ -25,7 +25,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the least id of each group of linked documents, and those in no group."""
-    found = ngram_join.near_duplicates(docs.select("doc_id", "text"))
+    found = ngram_join.near_duplicates(docs.select("doc_id", "text"), count_links=False)
     gone = found.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_gone"))
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 

@@ -128,6 +128,28 @@ def test_ngram_join_dense_group(spark):
     assert {r.doc_id: r.component_id for r in got.collect()} == label
 
 
+@pytest.mark.parametrize("block", [7, 256])
+def test_ngram_join_counts_every_link(spark, block):
+    """n_links by all pairs, also of texts in one component that have their leader in common."""
+    rng = random.Random(6)
+    rows = []
+    for size, copies in ((60, 50), (120, 3), (120, 2)):
+        base = words(rng, size, 10_000)
+        for _ in range(copies):
+            b = base[:]
+            b[rng.randrange(size)] = f"x{rng.randrange(9)}"
+            if copies == 50 and rng.random() < 0.5:
+                b[rng.randrange(size)] = "y"
+            rows.append((len(rows), " ".join(b)))
+    rows += [(len(rows), rows[0][1]), (len(rows) + 1, " ".join(words(rng, 40, 10_000))), (len(rows) + 2, None)]
+    sets = {i: frozenset(tuple(split(t)[k : k + 5]) for k in range(len(split(t)) - 4)) for i, t in rows}
+    linked = lambda a, b: a != b and bool(a) and 100 * len(a & b) >= 80 * len(a | b)
+    want = {i: sum(linked(a, b) for b in set(sets.values())) for i, a in sets.items()}
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), block=block)
+    assert {r.doc_id: r.n_links for r in got.collect()} == want
+    assert [want[i] for i in (50, 51, 52)] == [2, 2, 2] and want[53] == want[54] == 1
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 60), (60, 80), (7, 200)]
     out = components(spark.createDataFrame(edges, "a long, b long"))

@@ -15,15 +15,35 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Pieces in each of the two generations that a worker remembers; a full one replaces the older.
-PIECE_MEMORY = 100_000
+PIECE_MEMORY = 200_000
 #: Pairs of ids whose compatibility a worker remembers; past this bound the memory starts afresh.
-PAIR_MEMORY = 200_000
+PAIR_MEMORY = 500_000
+#: Longest piece that is remembered.
+PIECE_CHARS = 64
+
+
+class _Pieces(dict):
+    """Ids by piece, made on demand; of two generations the older goes when the newer is full."""
+
+    def __init__(self, encode_piece):
+        self.encode_piece, self.older = encode_piece, {}
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ids = self.older.get(piece) or tuple(self.encode_piece(piece.encode("utf-8")))
+        if len(piece) <= PIECE_CHARS:
+            if len(self) >= PIECE_MEMORY:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
 
 
 class BytePairs:
@@ -55,9 +75,9 @@ class BytePairs:
         for rank in self.parts:
             entry = self.entry[rank]
             self.shorter[rank] = next((r for k in range(len(entry) - 1, 0, -1) if (r := ranks.get(entry[:k])) in self.parts), -1)
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.number = list(map(str, range(len(self.entry))))
+        self.fits: dict[int, bool] = {}
+        self.pieces = _Pieces(self.encode_piece)
 
     def _merged(self, entry: bytes, below: int) -> list[int]:
         """Merges by rank, with entries under `below` only; used on vocabulary entries, which are short."""
@@ -76,7 +96,7 @@ class BytePairs:
         the right one, undone in the reverse order of their merges. If a pair across the edge has a rank that
         comes before the later of the two merges that used up its sides, it would have been merged first.
         """
-        known = self.fits.get((left, right))
+        known = self.fits.get(left << 32 | right)
         if known is not None:
             return known
         a, b, bound, fine = left, right, len(self.entry), True
@@ -95,7 +115,7 @@ class BytePairs:
                 break
         if len(self.fits) >= PAIR_MEMORY:
             self.fits.clear()
-        self.fits[left, right] = fine
+        self.fits[left << 32 | right] = fine
         return fine
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -114,7 +134,7 @@ class BytePairs:
                 if alive[start + length_of[rank]]:
                     if last < 0:
                         break
-                    fit = fits.get((last, rank))
+                    fit = fits.get(last << 32 | rank)
                     if self.compatible(last, rank) if fit is None else fit:
                         break
                 rank = shorter[rank]
@@ -133,21 +153,14 @@ class BytePairs:
 
     def encode(self, text: str, find) -> list[int]:
         """Ids of a text; `find` splits it into pieces, which are encoded separately."""
-        pieces, out = self.pieces, []
-        for piece in find(text):
-            ids = pieces.get(piece)
-            if ids is None:
-                ids = self.older.get(piece) or tuple(self.encode_piece(piece.encode("utf-8")))
-                if len(piece) < 64:
-                    if len(pieces) >= PIECE_MEMORY:
-                        self.older, self.pieces = pieces, {}
-                        pieces = self.pieces
-                    pieces[piece] = ids
-            out += ids
-        return out
+        return list(chain.from_iterable(map(self.pieces.__getitem__, find(text))))
 
     def decode(self, ids) -> bytes:
-        return b"".join([self.entry[i] for i in ids])
+        return b"".join(map(self.entry.__getitem__, ids))
+
+    def decimal(self, ids) -> bytes:
+        """The ids as decimal numbers, one space between."""
+        return " ".join(map(self.number.__getitem__, ids)).encode()
 
 
 @lru_cache(maxsize=4)
@@ -204,3 +217,27 @@ def decode(coded: DataFrame, ranks_path: str, ids: str = "ids", out: str = "byte
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), data], [*kept, out])
 
     return coded.select(*kept).mapInArrow(run, schema)
+
+
+def digests(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns `keep` (default: all but the text) with n_tokens, and ids_sha256 and decoded_sha256: lower-case hex
+    digests of the ids, as decimal numbers with a space between, and of the bytes that decoding these ids gives.
+
+    Encodes, decodes and digests in one pass, so that no id list leaves the worker. Columns of the input with the
+    names of the results are replaced. Null texts count as empty.
+    """
+    made = ["n_tokens", "ids_sha256", "decoded_sha256"]
+    kept = [c for c in (keep if keep is not None else [c for c in docs.columns if c != text]) if c not in made]
+    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(made[0], T.LongType(), False)] + [T.StructField(c, T.StringType(), False) for c in made[1:]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, find = load(ranks_path), splitter(pattern)
+        for batch in batches:
+            rows = []
+            for value in batch.column(text):
+                ids = coder.encode(value.as_py() or "", find)
+                rows.append((len(ids), sha256(coder.decimal(ids)).hexdigest(), sha256(coder.decode(ids)).hexdigest()))
+            columns = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *(pa.array(x, k) for x, k in zip(columns, (pa.int64(), pa.string(), pa.string())))], [*kept, *made])
+
+    return docs.select(*dict.fromkeys([*kept, text])).mapInArrow(run, schema)

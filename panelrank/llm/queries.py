@@ -157,13 +157,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     path, pattern = tokenizer()
-    coded = bpe.decode(bpe.encode(docs, path, pattern, keep=["doc_id"]), path)
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("bytes", 256).alias("decoded_sha256"),
-    )
+    return bpe.digests(docs, path, pattern, keep=["doc_id"])
 
 
 def held_out(modulus: int):

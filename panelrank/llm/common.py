@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 #: Word separators of every contract: space and the control characters 9 to 13.
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
-#: The same class for SQL engines with RE2 syntax.
-WORD_RE = r"[^\x20\x09-\x0D]+"
 
 
 def words_col(text: Column) -> Column:
@@ -27,8 +25,10 @@ def lower_ascii(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`, or a new local one where it is unset."""
+    """The folder that driver and executors share: `spark.checkpoint.dir`. Where it is unset, a local session gets a new one."""
     where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not where:
         where = getattr(spark, "_panelrank_scratch", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark._panelrank_scratch = where
@@ -54,6 +54,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def id_text_rows(batch, id_column: str = "doc_id", text_column: str = "text"):
-    """(ids, texts) of an Arrow batch as Python lists."""
-    return batch.column(id_column).to_pylist(), batch.column(text_column).to_pylist()
+def packed(docs: DataFrame, own: list[str], **more: Column) -> DataFrame:
+    """The columns `own`, those of `more`, computed on `docs`, and all others of `docs` in one struct, `rest`.
+
+    Operators add columns to this without meeting a name of the caller's.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in own]
+    rest = F.struct(*others) if others else F.struct(F.lit(True).alias("none"))
+    return docs.select(*own, *(c.alias(n) for n, c in more.items()), rest.alias("rest"))
+
+
+def unpacked(df: DataFrame, made: dict[str, Column], first: list[str] = ()) -> DataFrame:
+    """The columns `first`, those in `rest`, and `made`, which replaces columns of these names."""
+    fields = [f for f in df.schema["rest"].dataType.names if f not in made and f not in first]
+    if fields == ["none"] and not df.schema["rest"].dataType["none"].nullable:
+        fields = []
+    return df.select(*first, *(F.col("rest").getField(f).alias(f) for f in fields), *(c.alias(n) for n, c in made.items()))

@@ -2,20 +2,23 @@
 
 P(word | history) = P(class | history) * P(word | class). The first factor is a softmax over classes of words; its
 features are the last word, the last two words, and the words two and three places back (skips), hashed to rows of
-one weight table. The second is the relative frequency inside the class, plus one. Words outside the most frequent
-`vocabulary` share one class, in which all words seen, and one place for all unseen, count plus one: so the
-probabilities of all words sum to 1. A text ends with an end token.
-
-Spark counts all tokens of the training texts; what it gathers grows with them. Classes come from the company that
-words keep: counts of frequent words among the three before each, clustered as mixtures. Weights are trained by
-distributed gradient updates: in each round every task takes its part of the training texts through mini-batches
-from the shared weights, and Spark averages each row over the tasks that changed it. Only the counts of the
-`vocabulary` words, the classes and the weights reach the driver, and their sizes are parameters. Counts of rarer
-words join the texts' rare words by a shuffle, where no key is frequent.
+one weight table. The second is a softmax whose only feature is the word itself, so its weights have a closed form:
+the relative frequency inside the class, plus one. Words outside the most frequent `vocabulary` share one class, in
+which all words seen, and one place for all unseen, count plus one: so the probabilities of all words sum to 1. A text
+ends with an end token.
+
+Spark counts all tokens of the training texts; what it gathers grows with them. Texts are then written once as ids,
+which all later passes read. Classes come from the company that words keep: counts of frequent words among the three
+before each, clustered as mixtures. Weights are trained by distributed gradient updates: in each round every task takes
+its part of the training texts through mini-batches from the shared weights, and Spark averages each row over the
+tasks that changed it; so the weights depend a little on how the input is split. Only the counts of the `vocabulary`
+words, the classes and the weights reach the driver, and their sizes are parameters. Counts of rarer words join the
+texts' rare words by a shuffle, where no key is frequent.
 
 Null and blank texts have the end token alone. Rows are independent: repeated rows, ids and nulls in other columns
-make no difference. Texts whose condition is null are not learnt from. Without training texts nothing is known and
-every word counts as unseen.
+make no difference, and columns may have any names; those of the results are replaced. Texts whose condition is null are
+not learnt from. Without training texts nothing is known and every word counts as unseen. Long texts are taken in
+stretches of tokens.
 """
 
 from __future__ import annotations
@@ -24,25 +27,26 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelrank.llm.common import stored
+from panelrank.llm.common import discard, packed, stored, unpacked
 
 END = b"\n"
 #: Words with an id of their own; frequent words that tell the company; clusters; words that fit the clusters.
 VOCABULARY, ANCHORS, CLUSTERS, CLUSTER_WORDS = 100_000, 32, 8, 5_000
 #: Ranks that split a cluster into classes by frequency.
 BINS = (200, 5_000)
-#: Rows of the weight table, rounds of training, step size and tokens of a mini-batch.
+#: Rows of the weight table (16 bits at most), rounds of training, step size and tokens of a mini-batch.
 BUCKETS, ROUNDS, STEP, BATCH = 1 << 15, 2, 0.25, 8_192
 #: Counted words that a task holds before it passes them on.
 HELD_WORDS = 400_000
-#: Texts handled together.
-TOGETHER = 400
+#: Texts encoded together, and tokens handled together.
+TOGETHER, STRETCH = 100, 1 << 17
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -80,45 +84,88 @@ class Words:
     distinct: int
 
     def of(self, text: str | None) -> np.ndarray:
-        rare, get = len(self.ids), self.ids.get
-        return np.fromiter((get(w, rare) for w in tokens(text)), np.int64)
-
+        own = tokens(text)
+        return np.fromiter(map(self.ids.get, own, repeat(len(self.ids))), np.int32, len(own))
 
-def _many(words: Words, texts: list) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of several texts in a row, each after three places of -1, and where each begins."""
-    parts, starts, at = [], [], 0
-    gap = np.full(3, -1)
-    for text in texts:
-        own = words.of(text)
-        parts += [gap, own]
-        starts.append(at + 3)
-        at += 3 + len(own)
-    return np.concatenate(parts) if parts else np.zeros(0, np.int64), np.array(starts, np.int64)
 
+def encode(docs: DataFrame, words: Words) -> DataFrame:
+    """The columns of `docs` without `text`, with ids (of every token), rare (words without an id) and times (how often)."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+    kept = [c for c in docs.columns if c != "text"]
 
-def _company(texts: DataFrame, words: Words) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        no_id, get = len(known.ids), known.ids.get
+        for batch in batches:
+            for a in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(a, TOGETHER)
+                ids, sizes, rare, times, met = [], [0], [], [], [0]
+                for value in part.column("text"):
+                    own = tokens(value.as_py())
+                    one = np.fromiter(map(get, own, repeat(no_id)), np.int32, len(own))
+                    ids.append(one)
+                    sizes.append(len(one))
+                    others = Counter(own[i] for i in np.flatnonzero(one == no_id).tolist())
+                    rare += others.keys()
+                    times += others.values()
+                    met.append(len(rare))
+                where = pa.array(np.cumsum(sizes), pa.int32())
+                lists = [
+                    pa.ListArray.from_arrays(where, pa.array(np.concatenate(ids))),
+                    pa.ListArray.from_arrays(pa.array(met, pa.int32()), pa.array(rare, pa.binary())),
+                    pa.ListArray.from_arrays(pa.array(met, pa.int32()), pa.array(times, pa.int32())),
+                ]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *lists], [*kept, "ids", "rare", "times"])
+
+    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
+    return docs.mapInArrow(run, ", ".join([*fields, "ids array<int>", "rare array<binary>", "times array<int>"]))
+
+
+def _stream(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a batch's texts in a row, each after three places of -1, and where each of these gaps begins."""
+    lists = batch.column("ids")
+    sizes = np.diff(lists.offsets.to_numpy())
+    starts = np.cumsum(np.append(0, sizes + 3))
+    out = np.full(starts[-1], -1, np.int64)
+    own = np.ones(len(out), bool)
+    for back in range(3):
+        own[starts[:-1] + back] = False
+    out[own] = lists.flatten().to_numpy(zero_copy_only=False)
+    return out, starts[:-1]
+
+
+def _stretches(ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Places of real tokens, their ids and the rows of their features, some tokens at a time."""
+    for a in range(3, len(ids), STRETCH):
+        part = ids[a - 3 : a + STRETCH]
+        real = np.flatnonzero(part[3:] >= 0)
+        rows = _features(part)
+        for b in range(0, len(real), BATCH):
+            at = real[b : b + BATCH]
+            yield at + a, part[3:][at], [r[at] for r in rows]
+
+
+def _company(coded: DataFrame, size: int) -> DataFrame:
     """id, anchor, n: how often each frequent word is among the three words before."""
-    shared = texts.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, size = shared.value, len(shared.value.ids)
         found = np.zeros(size * ANCHORS, np.int64)
         for batch in batches:
-            for a in range(0, batch.num_rows, TOGETHER):
-                ids, _ = _many(known, batch.column("text").slice(a, TOGETHER).to_pylist())
-                for back in (1, 2, 3):
-                    good = (ids[back:] >= 0) & (ids[back:] < size) & (ids[:-back] >= 0) & (ids[:-back] < ANCHORS)
-                    np.add.at(found, ids[back:][good] * ANCHORS + ids[:-back][good], 1)
+            ids, _ = _stream(batch)
+            for back in (1, 2, 3):
+                near, far = ids[back:], ids[:-back]
+                at = np.flatnonzero((far >= 0) & (far < ANCHORS) & (near >= 0) & (near < size))
+                np.add.at(found, near[at] * ANCHORS + far[at], 1)
         at = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array((at // ANCHORS).astype(np.int32)), pa.array((at % ANCHORS).astype(np.int32)), pa.array(found[at])], ["id", "anchor", "n"])
 
-    return texts.select("text").mapInArrow(run, "id int, anchor int, n long").groupBy("id", "anchor").agg(F.sum("n").alias("n"))
+    return coded.select("ids").mapInArrow(run, "id int, anchor int, n long").groupBy("id", "anchor").agg(F.sum("n").alias("n"))
 
 
-def _classes(texts: DataFrame, words: Words) -> np.ndarray:
+def _classes(coded: DataFrame, words: Words) -> np.ndarray:
     """Class of each id: cluster by company, split by frequency; then one for the end and one for all other words."""
     size = len(words.ids)
-    company = stored(_company(texts, words), "company")
+    company = stored(_company(coded, size), "company")
     few = company.where(F.col("id") < CLUSTER_WORDS).toPandas()
     table = np.zeros((min(CLUSTER_WORDS, size), ANCHORS))
     table[few["id"], few["anchor"]] = few["n"]
@@ -132,6 +179,7 @@ def _classes(texts: DataFrame, words: Words) -> np.ndarray:
         near[chosen] = np.inf
         chosen.append(int(near.argmin()))
     if not chosen:
+        discard(coded.sparkSession, company)
         return np.zeros(1, np.int64)
     mix = 0.9 * rows[chosen] + 0.1 * background
     for _ in range(15):
@@ -142,6 +190,7 @@ def _classes(texts: DataFrame, words: Words) -> np.ndarray:
     log = np.log(mix)
     weight = lambda c: F.element_at(F.array(*(F.lit(float(x)) for x in log[c])), F.col("anchor") + 1)
     fits = company.groupBy("id").agg(*(F.sum(F.col("n") * weight(c)).alias(f"c{c}") for c in range(len(mix)))).toPandas()  # a row per word at most
+    discard(coded.sparkSession, company)
     cluster = np.zeros(size, np.int64)
     cluster[fits["id"]] = fits[[f"c{c}" for c in range(len(mix))]].to_numpy().argmax(1)
     out = cluster * (len(BINS) + 1) + np.searchsorted(BINS, np.arange(size), side="right")
@@ -154,58 +203,53 @@ def _classes(texts: DataFrame, words: Words) -> np.ndarray:
 def _features(ids: np.ndarray) -> list[np.ndarray]:
     """Rows of the weight table for the token after each three ids; all places from 3 on."""
     one, two, three = ids[2:-1] + 1, ids[1:-2] + 1, ids[:-3] + 1
-    spread = lambda x, salt: ((x * 0x9E3779B1 + salt * 0x85EBCA6B) & 0xFFFFFFFFFFFF) * 0x2545F491 >> 17 & (BUCKETS - 1)
+    spread = lambda x, salt: (((x * 0x9E3779B1 + salt * 0x85EBCA6B) & 0xFFFFFFFFFFFF) * 0x2545F491 >> 17 & (BUCKETS - 1)).astype(np.uint16)
     return [spread(one, 1), spread(two, 2), spread(three, 3), spread(one * 1_000_003 + two, 4)]
 
 
-def _class_logs(weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+def _scores(weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """Sums of the weights of each token's features and of the general ones, by class; far from overflow."""
     z = weights[rows[0]]
     for r in rows[1:]:
-        z = z + weights[r]
-    z = z + weights[BUCKETS]
-    z -= z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+        z += weights[r]
+    z += weights[BUCKETS]
+    return np.clip(z, -60, 60, out=z)
 
 
-def _train_round(texts: DataFrame, words: Words, classes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def _train_round(coded: DataFrame, classes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Weights after one pass of every task over its texts, averaged by row over the tasks that changed it."""
-    spark, n = texts.sparkSession, weights.shape[1]
-    shared = spark.sparkContext.broadcast((words, classes, weights))
+    spark, n = coded.sparkSession, weights.shape[1]
+    shared = spark.sparkContext.broadcast((classes, weights))
     columns = [f"w{c}" for c in range(n)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, kind, start = shared.value
+        kind, start = shared.value
         own = start.copy()
         square = np.ones_like(own)
         touched = np.zeros(len(own), bool)
         for batch in batches:
-            for a in range(0, batch.num_rows, TOGETHER):
-                ids, _ = _many(known, batch.column("text").slice(a, TOGETHER).to_pylist())
-                if len(ids) <= 3:
-                    continue
-                every, rows = ids[3:], _features(ids)
-                real = np.flatnonzero(every >= 0)
-                for b in range(0, len(real), BATCH):
-                    at = real[b : b + BATCH]
-                    part = [r[at] for r in rows]
-                    error = np.exp(_class_logs(own, part)).astype(np.float32)
-                    error[np.arange(len(at)), kind[every[at]]] -= 1
-                    # sum the errors of equal rows, then one step for each weight, smaller the more it has moved
-                    flat = np.concatenate(part)
-                    order = np.argsort(flat, kind="stable")
-                    first = np.flatnonzero(np.append(True, np.diff(flat[order]) != 0))
-                    row = flat[order][first]
-                    change = np.add.reduceat(error[order % len(at)], first, axis=0)
-                    row, change = np.append(row, BUCKETS), np.vstack([change, error.sum(0)])
-                    moved = square[row] + np.square(change)
-                    own[row] -= STEP * change / np.sqrt(moved)
-                    square[row] = moved
-                    touched[row] = True
+            for _, words, part in _stretches(_stream(batch)[0]):
+                error = _scores(own, part)
+                np.exp(error, out=error)
+                error /= error.sum(1, keepdims=True)
+                error[np.arange(len(words)), kind[words]] -= 1
+                # sum the errors of equal rows, then one step for each weight, smaller the more it has moved
+                flat = np.concatenate(part)
+                order = np.argsort(flat, kind="stable")
+                first = np.flatnonzero(np.append(True, np.diff(flat[order]) != 0))
+                row = flat[order[first]].astype(np.int64)
+                change = np.add.reduceat(error[order % len(words)], first, axis=0)
+                row, change = np.append(row, BUCKETS), np.vstack([change, error.sum(0)])
+                moved = square[row] + np.square(change)
+                own[row] -= STEP * change / np.sqrt(moved)
+                square[row] = moved
+                touched[row] = True
         at = np.flatnonzero(touched)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(own[at, c]) for c in range(n))], ["row", *columns])
 
     schema = "row int, " + ", ".join(f"{c} float" for c in columns)
-    new = texts.select("text").mapInArrow(run, schema).groupBy("row").agg(*(F.avg(c).cast("float").alias(c) for c in columns)).toPandas()
+    new = coded.select("ids").mapInArrow(run, schema).groupBy("row").agg(*(F.avg(c).cast("float").alias(c) for c in columns)).toPandas()
+    shared.unpersist()
     out = weights.copy()
     out[new["row"]] = new[columns].to_numpy(np.float32)
     return out
@@ -220,102 +264,99 @@ class Model:
     counts: DataFrame  # word, n of the words without an id
 
 
-def fit(docs: DataFrame, learn: Column, vocabulary: int = VOCABULARY, rounds: int = ROUNDS) -> Model:
-    texts = docs.where(F.coalesce(learn, F.lit(False))).select("doc_id", "text")
-    counts = stored(count_tokens(texts), "counts")
+def _vocabulary(counts: DataFrame, vocabulary: int) -> tuple[Words, DataFrame]:
+    """The most frequent words, about `vocabulary` of them, and the counts of all others.
+
+    Frequencies are taken in steps of an eighth of an octave; of the step that is too large, words of the least hashes.
+    """
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    # the frequent words: whole steps of an eighth of an octave of n, as many as the vocabulary holds
     step = F.floor(F.log2("n") * 8).cast("int")
     steps = sorted(counts.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["s"])
-    held, lowest = 0, 1 << 30
+    held, frequent = 0, F.lit(False)
     for r in steps:
-        held += r["n"]
-        if held > vocabulary:
+        if held + r["n"] > vocabulary:
+            share = int((vocabulary - held) / r["n"] * (1 << 20))
+            frequent = frequent | ((step == r["s"]) & (F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < share))
             break
-        lowest = r["s"]
-    top = counts.where(step >= lowest).toPandas().sort_values(["n", "word"], ascending=[False, True])
+        held += r["n"]
+        frequent = step >= r["s"]
+    top = counts.where(frequent).toPandas().sort_values(["n", "word"], ascending=[False, True])
     words = Words({bytes(w): i for i, w in enumerate(top["word"])}, top["n"].to_numpy(np.int64), int(sums["n"]), int(sums["v"]))
-    classes = _classes(texts, words)
+    return words, counts.where(~frequent)
+
+
+def _learnt(coded: DataFrame, words: Words, others: DataFrame, rounds: int) -> Model:
+    """The model from the training texts' ids; each text has its turn in one round."""
+    classes = _classes(coded, words)
     weights = np.zeros((BUCKETS + 1, CLUSTERS * (len(BINS) + 1) + 2), np.float32)
-    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
+    part = F.pmod(F.xxhash64("ids"), F.lit(rounds))
     for number in range(rounds if len(words.ids) else 0):
-        weights = _train_round(texts.where(part == number), words, classes, weights)
+        weights = _train_round(coded.where(part == number), classes, weights)
     n = words.count + 1.0
     in_class = np.log10(n / np.bincount(classes[:-1], n, weights.shape[1])[classes[:-1]]) if len(n) else np.zeros(0)
     rare = words.total - int(words.count.sum()) + words.distinct - len(words.ids) + 1
-    rest = counts.where(step < lowest)
-    return Model(words, classes, weights, np.append(in_class, math.log10(rare)), rest)
+    return Model(words, classes, weights, np.append(in_class, math.log10(rare)), others)
+
+
+def fit(docs: DataFrame, learn: Column, vocabulary: int = VOCABULARY, rounds: int = ROUNDS) -> Model:
+    """The model of the texts for which `learn`, a condition on `docs`, holds."""
+    texts = docs.where(F.coalesce(learn, F.lit(False))).select("text")
+    words, others = _vocabulary(stored(count_tokens(texts), "counts"), vocabulary)
+    coded = stored(encode(texts, words), "coded")
+    model = _learnt(coded, words, others, rounds)
+    discard(docs.sparkSession, coded)
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """The columns of `docs` without `text`, with n_tokens, n_known, train_tokens, base_score and score."""
-    spark, words = docs.sparkSession, model.words
-    made = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    kept = [c for c in docs.columns if c not in ("text", *made)]
-    shared = spark.sparkContext.broadcast((words, model.classes, model.weights, model.in_class))
+    return _scored(stored(encode(packed(docs, ["text"]), model.words).withColumn("row", F.monotonically_increasing_id()), "coded"), model)
+
+
+def fit_and_score(docs: DataFrame, learn: Column, vocabulary: int = VOCABULARY, rounds: int = ROUNDS) -> DataFrame:
+    """The same as `score(docs, fit(docs, learn))`, with every text encoded once."""
+    marked = packed(docs, ["text"], learn=F.coalesce(learn, F.lit(False)))
+    words, others = _vocabulary(stored(count_tokens(marked.where("learn")), "counts"), vocabulary)
+    coded = stored(encode(marked, words).withColumn("row", F.monotonically_increasing_id()), "coded")
+    return _scored(coded, _learnt(coded.where("learn"), words, others, rounds))
+
+
+def _scored(coded: DataFrame, model: Model) -> DataFrame:
+    spark, words = coded.sparkSession, model.words
+    shared = spark.sparkContext.broadcast((words.count, model.classes, model.weights, model.in_class))
     divisor = math.log10(words.total + words.distinct + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, kind, weights, in_class = shared.value
-        size = len(known.ids)
-        log_count = np.append(np.log10(known.count + 1.0), 0.0)
+        count, kind, weights, in_class = shared.value
+        size = len(count)
+        log_count = np.append(np.log10(count + 1.0), 0.0)
         word_log = np.append(in_class[:-1], -in_class[-1])
         for batch in batches:
-            for a in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(a, TOGETHER)
-                texts = part.column("text").to_pylist()
-                ids, starts = _many(known, texts)
-                every, rows = ids[3:], _features(ids)
-                log = np.zeros(len(every))
-                real = np.flatnonzero(every >= 0)
-                for b in range(0, len(real), BATCH):
-                    at = real[b : b + BATCH]
-                    own = every[at]
-                    log[at] = _class_logs(weights, [r[at] for r in rows])[np.arange(len(at)), kind[own]] / math.log(10) + word_log[own]
-                own = np.where(every >= 0, every, 0)
-                base = np.where(every >= 0, log_count[own] - divisor, 0.0)
-                is_known = (every >= 0) & (every < size)
-                at = starts - 3
-                sums = [np.add.reduceat(x, at) for x in ((every >= 0).astype(np.int64), is_known.astype(np.int64), base, log)]
-                number = part.column("_row").to_pylist()
-                rare_rows, rare_words, rare_n = [], [], []
-                has_rare = np.flatnonzero(sums[0] > sums[1])
-                for i in has_rare:
-                    for w, n in Counter(w for w in tokens(texts[i]) if w not in known.ids).items():
-                        rare_rows.append(number[i])
-                        rare_words.append(w)
-                        rare_n.append(n)
-                r = len(rare_rows)
-                none = lambda kind: pa.nulls(r, kind)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.concat_arrays([part.column("_row"), pa.array(rare_rows, pa.int64())]),
-                        pa.concat_arrays([pa.nulls(len(texts), pa.binary()), pa.array(rare_words, pa.binary())]),
-                        pa.concat_arrays([pa.array(sums[0]), pa.array(rare_n, pa.int64())]),
-                        pa.concat_arrays([pa.array(sums[1]), none(pa.int64())]),
-                        pa.concat_arrays([pa.array(sums[2]), none(pa.float64())]),
-                        pa.concat_arrays([pa.array(sums[3]), none(pa.float64())]),
-                        *(pa.concat_arrays([part.column(c), none(part.column(c).type)]) for c in kept),
-                    ],
-                    ["_row", "_word", "_n", "_known", "_base", "_score", *kept],
-                )
-
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
-    schema = "_row long, _word binary, _n long, _known long, _base double, _score double" + (f", {fields}" if fields else "")
-    numbered = docs.select(*kept, "text").withColumn("_row", F.monotonically_increasing_id())
-    parts = stored(numbered.mapInArrow(run, schema), "parts")
-    rare = parts.where("_word is not null").select("_row", "_word", "_n")
-    met = rare.join(model.counts, F.col("_word") == F.col("word"), "left")
-    extra = met.groupBy("_row").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("_n")).otherwise(0)).alias("more_known"), F.sum(F.col("_n") * F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("more")
+            ids, starts = _stream(batch)
+            log = np.zeros(len(ids))
+            for at, own, rows in _stretches(ids):
+                z = _scores(weights, rows)
+                mine = z[np.arange(len(own)), kind[own]]
+                log[at] = (mine - np.log(np.exp(z, out=z).sum(1))) / math.log(10) + word_log[own]
+            real = ids >= 0
+            base = np.where(real, log_count[ids] - divisor, 0.0)
+            sums = [np.add.reduceat(x, starts) for x in (real.astype(np.int64), (real & (ids < size)).astype(np.int64), base, log)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *map(pa.array, sums)], ["row", "n_tokens", "n_known", "base_score", "score"])
+
+    sums = coded.select("row", "ids").mapInArrow(run, "row long, n_tokens long, n_known long, base_score double, score double")
+    rare = coded.where(F.size("rare") > 0).select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), "x.times")
+    met = rare.join(model.counts, "word", "left")
+    extra = met.groupBy("row").agg(
+        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"), F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("more")
     )
-    whole = parts.where("_word is null").join(extra.withColumnRenamed("_row", "_of"), F.col("_row") == F.col("_of"), "left")
+    rest = coded.drop("ids", "rare", "times", "learn")
+    whole = rest.join(sums, "row").join(extra, "row", "left")
     more = F.coalesce("more", F.lit(0.0))
-    return whole.select(
-        *kept,
-        F.col("_n").alias("n_tokens"),
-        (F.col("_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(words.total).cast("long").alias("train_tokens"),
-        (F.col("_base") + more).alias("base_score"),
-        (F.col("_score") + more).alias("score"),
-    )
+    made = {
+        "n_tokens": F.col("n_tokens"),
+        "n_known": F.col("n_known") + F.coalesce("more_known", F.lit(0)),
+        "train_tokens": F.lit(words.total).cast("long"),
+        "base_score": F.col("base_score") + more,
+        "score": F.col("score") + more,
+    }
+    return unpacked(whole, made)

@@ -185,7 +185,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = lm_score.score(docs, lm_score.fit(docs, ~held_out(7)))
+    scored = lm_score.fit_and_score(docs, ~held_out(7))
     return scored.select("doc_id", F.coalesce(held_out(7), F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -1,13 +1,14 @@
 r"""Line dedup (operator 1) over content-defined chunks of lines. DataFrame functions only.
 
-Lines end at \n. A rolling hash over the hashes of three lines chooses boundaries: the text is cut after a line whose
-rolling hash is 0 modulo `divisor`, unless the line before it was chosen too. The choice looks at four lines only,
-so a change moves the boundaries next to it and no others, and lines that repeat elsewhere are cut alike. No
+Lines end at \n. A rolling hash over the hashes of two lines, mixed by a prime modulus, chooses boundaries: the text is
+cut after a line whose value is 0 modulo `divisor`, unless the line before it was chosen too. The choice looks at three
+lines only, so a change moves the boundaries next to it and no others, and lines that repeat elsewhere are cut alike. No
 chunk has less than two lines, but for texts of one line, which are left alone.
 
 A chunk that occurs more than once, anywhere, stays at its first place, by (doc_id, text hash, position); the others
 are removed, once their bytes are found equal. Hashes find the candidates; a hash that stands for different texts
 is decided text by text. Rows with equal id and text share one decision. Null texts stay null, empty ones empty.
+Columns of any name pass through.
 
 Only hashes and positions are shuffled for the whole table, plus the texts once to compare and once to cut. The
 table of repeated hashes is written, so that Spark can split the join at hot chunks.
@@ -21,11 +22,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelrank.llm.common import stored
+from panelrank.llm.common import packed, stored, unpacked
 
-#: Multiplier of the rolling hash; values of 28 bits times its square stay under 2**63.
-BASE = 65599
-DIVISOR = 3
+#: Multiplier of the rolling hash of 28-bit values, and the prime that mixes it before the divisor sees it.
+BASE, PRIME = 65599, 65521
+DIVISOR = 2
 
 
 def _chunks(df: DataFrame, divisor: int, when: Column) -> DataFrame:
@@ -33,10 +34,10 @@ def _chunks(df: DataFrame, divisor: int, when: Column) -> DataFrame:
     lined = df.withColumn("lines", F.when(when, F.split("text", "\n", -1)))
     valued = lined.withColumn("_v", F.transform("lines", lambda x: F.conv(F.substring(F.md5(x), 1, 7), 16, 10).cast("long")))
     rolled = valued.withColumn(
-        "_c", F.transform("_v", lambda v, i: (i >= 2) & ((v + F.coalesce(F.get("_v", i - 1), F.lit(0)) * BASE + F.coalesce(F.get("_v", i - 2), F.lit(0)) * (BASE * BASE)) % divisor == 0))
+        "_c", F.transform("_v", lambda v, i: (i >= 1) & ((v + F.coalesce(F.get("_v", i - 1), F.lit(0)) * BASE) % PRIME % divisor == 0))
     )
     n = F.size("lines")
-    places = F.when(n >= 5, F.sequence(F.lit(2), n - 3)).otherwise(F.array().cast("array<int>"))
+    places = F.when(n >= 4, F.sequence(F.lit(1), n - 3)).otherwise(F.array().cast("array<int>"))
     cuts = F.filter(places, lambda i: F.get("_c", i) & ~F.get("_c", i - 1))
     starts = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda i: i + 1), F.array(n))
     return rolled.withColumn("starts", F.when(F.col("lines").isNotNull(), starts)).drop("_v", "_c")
@@ -60,7 +61,7 @@ def line_dedup(docs: DataFrame, divisor: int = DIVISOR, chunk_hash=F.xxhash64) -
     key = ["doc_id", "version"]
     place = F.struct("doc_id", "version", "k")
     many = F.instr("text", "\n") > 0
-    keyed = docs.withColumn("version", F.xxhash64("text"))
+    keyed = packed(docs, ["doc_id", "text"], version=F.xxhash64("text"))
     slim = keyed.select("doc_id", "text", "version")
     cut = _chunks(slim.where(many), divisor, many)
     size = (F.size("starts") - 1).alias("n_chunks")
@@ -84,22 +85,19 @@ def line_dedup(docs: DataFrame, divisor: int = DIVISOR, chunk_hash=F.xxhash64) -
         flags = flags.join(clashing, "h", "left_anti").unionByName(exact)
     gone = flags.where("removed").groupBy(*key).agg(F.collect_set("k").alias("gone"), F.max("n_chunks").alias("_all")).withColumnsRenamed({"doc_id": "_doc", "version": "_version"})
 
-    made = ["n_lines", "n_removed_chunks", "n_removed_lines", "emptied"]
-    rest = [c for c in docs.columns if c not in ("doc_id", "text", *made)]
     touched = F.col("gone").isNotNull()
     parts = _chunks(keyed.join(gone, same_doc, "left"), divisor, touched)
     kept = F.transform(F.array_except(_numbers(), "gone"), lambda k: _text_at(k))
     lost = F.aggregate("gone", F.lit(0), lambda acc, k: acc + F.get("starts", k + 1) - F.get("starts", k))
     n_lines = F.when(F.coalesce(F.length("text"), F.lit(0)) == 0, 0).otherwise(F.length("text") - F.length(F.translate("text", "\n", "")) + 1)
-    return parts.select(
-        "doc_id",
-        F.when(touched, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("text"),
-        *rest,
-        n_lines.cast("long").alias("n_lines"),
-        F.when(touched, F.size("gone")).otherwise(0).cast("long").alias("n_removed_chunks"),
-        F.when(touched, lost).otherwise(0).cast("long").alias("n_removed_lines"),
-        F.coalesce(F.size("gone") == F.col("_all"), F.lit(False)).alias("emptied"),
-    )
+    made = {
+        "n_lines": n_lines.cast("long"),
+        "n_removed_chunks": F.when(touched, F.size("gone")).otherwise(0).cast("long"),
+        "n_removed_lines": F.when(touched, lost).otherwise(0).cast("long"),
+        "emptied": F.coalesce(F.size("gone") == F.col("_all"), F.lit(False)),
+    }
+    text = F.when(touched, F.array_join(kept, "\n")).otherwise(F.col("text"))
+    return unpacked(parts.select("doc_id", text.alias("text"), "rest", *(c.alias(n) for n, c in made.items())), {n: F.col(n) for n in made}, ["doc_id", "text"])
 
 
 def _contents(df: DataFrame) -> DataFrame:
@@ -120,7 +118,7 @@ def block_dedup(docs: DataFrame, pair_hash=F.xxhash64) -> DataFrame:
     key = ["doc_id", "version"]
     place = F.struct("doc_id", "version", "k")
     many = F.instr("text", "\n") > 0
-    keyed = docs.withColumn("version", F.xxhash64("text"))
+    keyed = packed(docs, ["doc_id", "text"], version=F.xxhash64("text"))
     slim = keyed.select("doc_id", "text", "version").where(many)
     both = F.zip_with(F.slice("content", 1, F.size("content") - 1), F.slice("content", 2, F.size("content") - 1), lambda x, y: pair_hash(F.concat_ws("\n", x, y)))
     paired = _contents(slim).where(F.size("content") > 1)
@@ -148,18 +146,15 @@ def block_dedup(docs: DataFrame, pair_hash=F.xxhash64) -> DataFrame:
     later = flags.where(F.col("first") != place).select(*key, F.explode(lost).alias("c"))
     gone = later.groupBy(*key).agg(F.collect_set("c").alias("gone")).withColumnsRenamed(named)
 
-    made = ["n_removed_lines", "emptied"]
-    rest = [c for c in docs.columns if c not in ("doc_id", "text", *made)]
     touched = F.col("gone").isNotNull()
     joined = keyed.join(gone, same_doc, "left")
     parts = _contents(joined.withColumn("_text", F.col("text")).withColumn("text", F.when(touched, F.col("text"))))
     between = F.transform("gone", lambda c: F.sequence(F.get("at", c), F.when(F.array_contains("gone", c + 1), F.get("at", c + 1)).otherwise(F.get("at", c))))
     parts = parts.withColumn("kept", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.flatten(between)))
     cut = F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")
-    return parts.select(
-        "doc_id",
-        F.when(touched, cut).otherwise(F.col("_text")).alias("text"),
-        *rest,
-        F.when(touched, F.size("lines") - F.size("kept")).otherwise(0).cast("long").alias("n_removed_lines"),
-        F.coalesce(F.size("gone") == F.size("content"), F.lit(False)).alias("emptied"),
-    )
+    made = {
+        "n_removed_lines": F.when(touched, F.size("lines") - F.size("kept")).otherwise(0).cast("long"),
+        "emptied": F.coalesce(F.size("gone") == F.size("content"), F.lit(False)),
+    }
+    text = F.when(touched, cut).otherwise(F.col("_text"))
+    return unpacked(parts.select("doc_id", text.alias("text"), "rest", *(c.alias(n) for n, c in made.items())), {n: F.col(n) for n in made}, ["doc_id", "text"])

@@ -27,7 +27,7 @@ WITH l AS (
   FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL AND text <> '')),
 v AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS v FROM l),
 c AS (
-  SELECT *, i >= 2 AND (v + 65599 * lag(v, 1, 0) OVER w + 4303228801 * lag(v, 2, 0) OVER w) % 3 = 0 AS c
+  SELECT *, i >= 1 AND (v + 65599 * lag(v, 1, 0) OVER w) % 65521 % 2 = 0 AS c
   FROM v WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 b AS (SELECT *, c AND NOT lag(c) OVER (PARTITION BY doc_id ORDER BY i) AND i <= n - 3 AS cut FROM c),
 k AS (SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM b),
@@ -49,16 +49,15 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP2_SQL = r"""
-WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
-]+'), lambda x: x <> '') AS d FROM documents WHERE text IS NOT NULL),
-b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
-]+'), lambda x: x <> '') AS t FROM benchmark),
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS d
+  FROM documents WHERE text IS NOT NULL),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS t FROM benchmark),
 bi AS (SELECT item_id, t, len(t) AS n, least(len(t), 13) AS l FROM b WHERE len(t) >= 8),
-bg AS (SELECT item_id, unnest(range(1, n - 2)) AS j, t FROM bi),
-bq AS (SELECT item_id, j, t[j] AS a, t[j+1] AS b, t[j+2] AS c, t[j+3] AS d FROM bg),
-dg AS (SELECT doc_id, d AS words, unnest(range(1, len(d) - 2)) AS i FROM w),
-dq AS (SELECT doc_id, i, words[i] AS a, words[i+1] AS b, words[i+2] AS c, words[i+3] AS d FROM dg),
-h AS (SELECT DISTINCT doc_id, item_id, i - j AS o FROM dq JOIN bq USING (a, b, c, d)),
+bg AS (SELECT item_id, unnest(range(1, n - 1)) AS j, t FROM bi),
+bq AS (SELECT item_id, j, t[j] AS a, t[j+1] AS b, t[j+2] AS c FROM bg),
+dg AS (SELECT doc_id, d AS words, unnest(range(1, len(d) - 1)) AS i FROM w),
+dq AS (SELECT doc_id, i, words[i] AS a, words[i+1] AS b, words[i+2] AS c FROM dg),
+h AS (SELECT DISTINCT doc_id, item_id, i - j AS o FROM dq JOIN bq USING (a, b, c)),
 m AS (SELECT h.doc_id, h.item_id, o, n, l, list_transform(range(1, n + 1), lambda k: CASE WHEN k + o >= 1 AND w.d[k + o] = bi.t[k] THEN 1 ELSE 0 END) AS same
   FROM h JOIN w USING (doc_id) JOIN bi USING (item_id)),
 g AS (SELECT *, list_filter(range(0, n - l + 1), lambda k: list_sum(same[k + 1 : k + l]) >= ceil(l * 0.8)) AS good FROM m)
@@ -130,7 +129,7 @@ def spam_type(column, df: DataFrame):
 OP5_SQL = r"""
 WITH p AS (
   SELECT page_id, url, (DATE '2024-01-01' + (page_id % 365)::INT)::DATE AS fetch_date,
-    nullif(regexp_replace(regexp_extract(lower(trim(url)), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1), '^www\.|\.$', ''), '') AS host
+    nullif(regexp_replace(regexp_extract(lower(trim(url)), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/:?#]+)', 1), '^www\.|\.$', ''), '') AS host
   FROM pages),
 d AS (SELECT DISTINCT regexp_extract(host, '[^.]+\.[^.]+\.[^.]+$') AS domain FROM p WHERE length(host) - length(replace(host, '.', '')) >= 2),
 k AS (SELECT domain, ('0x' || substr(md5(domain), 1, 4))::INT AS pick FROM d),
@@ -140,7 +139,7 @@ c AS (
   UNION ALL SELECT domain, 'words', DATE '2024-01-01' + pick % 31, DATE '9999-12-31' FROM k WHERE regexp_matches(domain, 'casino|pills|bets|adult|loan')),
 m AS (
   SELECT page_id, c.domain, c.list, row_number() OVER (PARTITION BY page_id ORDER BY length(c.domain) DESC, c.domain, c.list) AS r, count(*) OVER (PARTITION BY page_id) AS n
-  FROM p JOIN c ON (p.host = c.domain OR ends_with(p.host, '.' || c.domain)) AND p.fetch_date >= c.f AND p.fetch_date < c.t)
+  FROM p JOIN c ON (p.host = c.domain OR ends_with(p.host, '.' || c.domain) AND NOT regexp_matches(p.host, '^\[|^[0-9.]+$')) AND p.fetch_date >= c.f AND p.fetch_date < c.t)
 SELECT p.page_id, p.url, p.fetch_date, p.host, m.domain AS matched_domain, m.list AS matched_list, coalesce(m.n, 0)::BIGINT AS n_matches, m.n IS NOT NULL AS blocked
 FROM p LEFT JOIN m ON p.page_id = m.page_id AND m.r = 1"""
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelrank.llm.common import stored
+from panelrank.llm.common import discard, packed, stored, unpacked
 
 WINDOW = 50
 #: Rounds of naming, and the words that a pair's name may span. Reaches then stay well inside a window.
@@ -200,8 +200,13 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids[found["doc"][one]]), pa.array(h1[one]), pa.array(h2[one]), pa.array(found["first"][one])], ["doc_id", "h1", "h2", "only_first"])
 
     windows = stored(asked.mapInArrow(candidates, "doc_id long, h1 long, h2 int, only_first boolean"), "windows")
+    for done in (symbols, shared):
+        discard(docs.sparkSession, done)
     least = stored(windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most"), "least")
-    return windows.where("not only_first").join(least, ["h1", "h2"]).where("least < doc_id").select("doc_id", "h1", "h2")
+    found = stored(windows.where("not only_first").join(least, ["h1", "h2"]).where("least < doc_id").select("doc_id", "h1", "h2"), "repeats")
+    for done in (windows, least):
+        discard(docs.sparkSession, done)
+    return found
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, removed: DataFrame | None = None) -> DataFrame:
@@ -211,12 +216,12 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, removed: DataFrame |
     """
     found = repeats(docs, window) if removed is None else removed
     lists = found.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2")).alias("x"))
-    lists = lists.select(F.col("doc_id").alias("_doc"), F.col("x.h1").alias("_h1"), F.col("x.h2").alias("_h2"))
-    joined = docs.join(lists, F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
+    lists = lists.select(F.col("doc_id").alias("of"), F.col("x.h1").alias("h1"), F.col("x.h2").alias("h2"))
+    joined = packed(docs, ["doc_id", "text"]).join(lists, F.col("doc_id") == F.col("of"), "left").drop("of")
     none = F.array()
-    joined = joined.withColumns({"_h1": F.coalesce("_h1", none.cast("array<bigint>")), "_h2": F.coalesce("_h2", none.cast("array<int>"))})
-    kept = [c for c in docs.columns if c not in ("text", "n_words", "n_removed")]
-    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
+    joined = joined.withColumns({"h1": F.coalesce("h1", none.cast("array<bigint>")), "h2": F.coalesce("h2", none.cast("array<int>"))})
+    kept = ["doc_id", "rest"]
+    schema = T.StructType([joined.schema[c] for c in kept] + [T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,7 +229,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, removed: DataFrame |
             for part, was in ((p, p.column("text")) for p in _chunked(filled, "text")):
                 chunk = Chunk(was.to_pylist())
                 gone = np.zeros(len(chunk.hash) + 1, np.int64)
-                lists = part.column("_h1")
+                lists = part.column("h1")
                 some = np.diff(lists.offsets.to_numpy()) > 0
                 places = chunk.starts(window)
                 places = places[some[chunk.doc[places]]] if len(places) else places
@@ -232,7 +237,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, removed: DataFrame |
                     h1, h2 = chunk.fingerprints(places, window)
                     sizes = np.diff(lists.offsets.to_numpy())
                     tag = lambda a, b, d: _mix(_mix(a.view(np.uint64) + _A * d.astype(np.uint64)) + b.astype(np.int64).view(np.uint64))
-                    theirs = tag(lists.flatten().to_numpy(zero_copy_only=False), part.column("_h2").flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(sizes)), sizes))
+                    theirs = tag(lists.flatten().to_numpy(zero_copy_only=False), part.column("h2").flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(sizes)), sizes))
                     hit = places[np.isin(tag(h1, h2, chunk.doc[places]), theirs)]
                     np.add.at(gone, hit, 1)
                     np.add.at(gone, hit + window, -1)
@@ -247,4 +252,5 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, removed: DataFrame |
                     [*(part.column(c) for c in kept), pa.array(texts, pa.string()), pa.array([len(w) for w in chunk.words], pa.int64()), pa.array(lost, pa.int64())], schema.names
                 )
 
-    return joined.mapInArrow(cut, schema)
+    cut_docs = joined.mapInArrow(cut, schema)
+    return unpacked(cut_docs, {c: F.col(c) for c in ("text", "n_words", "n_removed")}, ["doc_id"])

@@ -4,7 +4,7 @@ List entries are dated changes (domain, list, date, action 'add' or 'remove'). W
 intervals [valid_from, valid_to): an interval opens at an 'add' and ends at the next change of the same domain and
 list, or never. A capture meets every interval of its host and of the host's parent domains that covers its fetch
 date: an as-of join on the domain with the date as a range. Of several matches the longest domain wins, then the
-list's name.
+list's name. An IP address, of version 6 in brackets, has no parent domains.
 
 Null, empty or unparsable URLs, and captures without a date, match nothing and are allowed. Entries without a
 domain, list or date are ignored. Several changes on one day: 'remove' comes last. Every capture gives one row,
@@ -22,14 +22,14 @@ OPEN_END = "9999-12-31"
 
 def host_of(url: Column) -> Column:
     """The host of a URL in lower case, without user, port and a leading www; null where there is none."""
-    host = F.regexp_extract(F.lower(F.trim(url)), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1)
+    host = F.regexp_extract(F.lower(F.trim(url)), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/:?#]+)", 1)
     return F.nullif(F.regexp_replace(host, r"^www\.|\.$", ""), F.lit(""))
 
 
 def domains_of(host: Column) -> Column:
-    """The host and its parent domains down to two labels."""
+    """The host and its parent domains down to two labels; of an IP address, itself."""
     labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    return F.when(host.rlike(r"^\[|^[0-9.]+$"), F.array(host)).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
 
 
 def intervals(entries: DataFrame) -> DataFrame:

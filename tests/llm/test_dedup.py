@@ -1,5 +1,7 @@
 """Line dedup, substring dedup, n-gram join and decontamination on small hand-made tables and against brute force."""
 
+import itertools
+import math
 import random
 import re
 from collections import defaultdict
@@ -224,14 +226,82 @@ def test_decontaminate(spark):
     assert {(r.doc_id, r.item_id, r.start, r.stop) for r in shuffled.collect()} == found
     kept = decontaminate.decontaminate(table, bench)
     assert kept.columns == table.columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 3, 4, 5, 7]
-
-
-def test_mask_meets_two_substitutions():
-    (mask,) = decontaminate.MASKS
-    for a in range(13):
-        for b in range(a):
-            assert any(all(p + m not in (a, b) for m in mask) for p in range(13 - max(mask)))
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [3, 4, 5, 7]  # the contaminated row of a null id goes too
+
+
+def test_masks_meet_every_allowed_substitution():
+    for length in range(decontaminate.MIN_WORDS, 14):
+        masks = decontaminate.MASKS if length == 13 else decontaminate.SHORT_MASKS
+        for changed in itertools.combinations(range(length), length - math.ceil(0.8 * length)):
+            assert any(not set(changed) & {p + m for m in mask} for mask in masks for p in range(length - max(mask)))
+
+
+def test_short_items_with_substitutions(spark):
+    """Items of 8 to 13 words, each allowed set of substitutions, none more."""
+    rng = random.Random(14)
+    items = {n: words(rng, n, 10_000) for n in range(8, 14)}
+    rows, want = [], set()
+    for n, item in items.items():
+        most = n - math.ceil(0.8 * n)
+        for k in range(most + 2):
+            for changed in itertools.islice(itertools.combinations(range(n), k), 60):
+                w = [f"z{p}" if p in changed else x for p, x in enumerate(item)]
+                rows.append((len(rows), " ".join(words(rng, 3, 10_000) + w + words(rng, 3, 10_000))))
+                if k <= most:
+                    want.add((rows[-1][0], n))
+    bench = spark.createDataFrame([(n, " ".join(x)) for n, x in items.items()], "item_id long, text string")
+    found = decontaminate.find_leaks(docs(spark, rows), bench)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == want and len(want) > 150
+
+
+CLASHING = ["version", "lines", "starts", "h", "h1", "h2", "_doc", "_h1", "rest", "marks", "gone", "k", "row", "n_words", "key", "item", "seed", "emptied"]
+
+
+def test_columns_of_any_name_pass_through(spark):
+    rng = random.Random(15)
+    block = lines(rng, 9)
+    rows = [(i, "\n".join(lines(rng, 3) + block + [f"end {i}"])) for i in range(4)] + [(None, None)]
+    table = spark.createDataFrame([(*r, *(f"{c} {r[0]}" for c in CLASHING)) for r in rows], ", ".join(["doc_id long", "text string", *(f"`{c}` string" for c in CLASHING)]))
+    bench = spark.createDataFrame([(1, block[0])], "item_id long, text string")
+    for out, made in (
+        (line_dedup.line_dedup(table), {"emptied"}),
+        (line_dedup.block_dedup(table), {"emptied"}),
+        (substring_dedup.substring_dedup(table, 8), {"n_words"}),
+        (decontaminate.decontaminate(table, bench.limit(0)), set()),
+    ):
+        got = {r.doc_id: r for r in out.collect()}
+        assert len(got) == 5
+        assert all(r[c] == f"{c} {i}" for i, r in got.items() for c in CLASHING if c not in made)
+    assert substring_dedup.substring_dedup(table, 8).where("n_removed > 0").count() == 3
+
+
+def test_very_long_texts(spark):
+    """Megabytes in one line of one word, of many words, and in many lines."""
+    rng = random.Random(16)
+    many = " ".join(words(rng, 200_000, 5000))
+    rows = [(1, "x" * 3_000_000), (2, many), (3, many + " more"), (4, "\n".join(lines(rng, 20_000))), (5, "\n" * 200_000)]
+    table = docs(spark, rows)
+    cut = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.substring_dedup(table).select("doc_id", "n_words", "n_removed").collect()}
+    assert cut[2] == (200_000, 0) and cut[3] == (200_001, 200_000) and cut[1] == (1, 0)
+    assert {r.doc_id: r.component_id for r in ngram_join.near_duplicates(table).collect()} == {1: 1, 2: 2, 3: 2, 4: 4, 5: 5}
+    assert line_dedup.block_dedup(line_dedup.line_dedup(table).select("doc_id", "text")).count() == 5
+    bench = spark.createDataFrame([(7, " ".join(many.split()[150_000:150_020]))], "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.find_leaks(table, bench).collect()} == {2, 3}
+
+
+def test_rows_that_share_an_id_in_the_stages(spark):
+    rng = random.Random(17)
+    one, two, three = (" ".join(words(rng, 40, 10_000)) for _ in range(3))
+    item = " ".join(words(rng, 20, 10_000))
+    rows = [(1, one), (1, one), (3, one), (3, two), (None, two), (4, three), (4, three + " " + item), (None, item), (5, None), (5, None), (6, "")]
+    table = spark.createDataFrame([(*r, "en", "s", 7) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = stages.without_near_copies(spark, table, "")
+    key = lambda r: (r.doc_id or 0, r.text or "")
+    assert sorted(map(key, left.collect())) == sorted([(1, one), (3, two), (4, three), (4, three + " " + item), (0, item), (5, ""), (6, "")])
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    clean = decontaminate.decontaminate(table, bench)
+    assert sorted(map(key, clean.collect())) == sorted(map(key, table.where("text is null or not contains(text, '%s')" % item).collect()))
+    assert left.columns == clean.columns == table.columns
 
 
 def test_empty_tables(spark):

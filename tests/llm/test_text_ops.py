@@ -9,6 +9,7 @@ from collections import Counter
 from hashlib import sha256
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,6 +155,14 @@ def test_url_filter(spark):
     assert url_filter.filter_urls(captures.limit(0), entries).count() == 0
 
 
+def test_hosts_that_are_addresses(spark):
+    entries = spark.createDataFrame([("0.1", "ads", "2024-01-01", "add"), ("10.9.0.2", "ads", "2024-01-01", "add"), ("[2001:db8::1]", "ads", "2024-01-01", "add")], "domain string, list string, date string, action string")
+    urls = ["http://10.9.0.1/x", "http://10.9.0.2:80/", "http://[2001:DB8::1]:8080/a", "http://u@[2001:db8::2]"]
+    captures = spark.createDataFrame([(i, u, "2024-02-01") for i, u in enumerate(urls)], "page_id long, url string, fetch_date string")
+    got = {r.page_id: (r.host, r.blocked) for r in url_filter.filter_urls(captures, entries).collect()}
+    assert got == {0: ("10.9.0.1", False), 1: ("10.9.0.2", True), 2: ("[2001:db8::1]", True), 3: ("[2001:db8::2]", False)}
+
+
 def labelled(spark, n=1200, seed=0):
     rng = random.Random(seed)
     common = [f"c{i}" for i in range(300)]
@@ -182,6 +191,86 @@ def test_toxicity_held_out(spark):
     assert rest[None] == rest[""] and 0 <= rest[None] < queries.TOXIC <= rest["vile scum"] <= 1
 
 
+def test_toxicity_on_the_given_tables(spark):
+    """Held-out recall, false alarms and order at the middle size, and a flagged share that the sample's bound does not move."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (table(spark, sf, n) for n in ("documents", "labels"))
+    docs = docs.join(labels.select("doc_id"), "doc_id").select("doc_id", "text").cache()
+    flagged = []
+    for most in (10_000, 1_500):
+        model = toxicity.fit(docs, labels, ~queries.held_out(4), max_docs=most)
+        rows = toxicity.score(docs, model).join(labels, "doc_id").select("score", "toxic", queries.held_out(4).alias("held")).toPandas()
+        flagged.append((rows["score"] >= queries.TOXIC).mean())
+        held = rows[rows["held"]]
+        toxic, ordinary = (held["score"][held["toxic"] == t].to_numpy() for t in (1, 0))
+        above = (toxic[:, None] > ordinary[None, :]).mean()
+        if most == 10_000:
+            assert above > 0.925 and (toxic >= queries.TOXIC).mean() > 0.68 and (ordinary >= queries.TOXIC).mean() < 0.04
+    docs.unpersist()
+    assert abs(flagged[0] - flagged[1]) < 0.015
+
+
+def test_toxicity_model_by_brute_force():
+    """Differences of words against a plain, recursive reading of the model."""
+    rng = random.Random(5)
+    counts = {"".join(rng.choice("abc") for _ in range(rng.randrange(1, 9))): (rng.randrange(4), rng.randrange(3)) for _ in range(60)}
+    order, frames = toxicity.ORDER, []
+    words = list(counts)
+    number, place, keys = toxicity._grams(words)
+    for k in range(1, order + 1):
+        at = np.flatnonzero(place >= max(k - 1, 1))
+        before = keys[k - 2][at - 1].view(np.int64) if k > 1 else 0
+        n = np.array([counts[words[i]] for i in number[at]])
+        frames.append(pd.DataFrame({"k": k, "key": keys[k - 1][at].view(np.int64), "history": before, "n0": n[:, 0], "n1": n[:, 1]}).groupby("key", as_index=False).agg({"k": "first", "history": "first", "n0": "sum", "n1": "sum"}))
+    model = toxicity.Model(toxicity._tables(pd.concat(frames)), np.zeros(6), np.ones(6), np.zeros(6), 0.0)
+
+    grams = Counter()
+    for w, (a, b) in counts.items():
+        s = toxicity.START + w + toxicity.END
+        for i in range(1, len(s)):
+            for k in range(1, min(order, i + 1) + 1):
+                grams[s[i - k + 1 : i + 1], 0] += a
+                grams[s[i - k + 1 : i + 1], 1] += b
+    kinds = {g for g, _ in grams}
+    following = {h: [g for g in kinds if g[:-1] == h] for h in {g[:-1] for g in kinds}}
+
+    def discount(n, c, k):
+        return model.tables[k].discount[c][min(n, 3)]
+
+    def both(g):  # of the shared model
+        h = following.get(g[:-1], [])
+        total = sum(grams[x, 0] + grams[x, 1] for x in h)
+        lower = both(g[1:]) if len(g) > 1 else 1 / (len(model.tables[1].key) + 1)
+        if not total:
+            return lower
+        return (max(grams[g, 0] + grams[g, 1] - 0.75, 0) + 0.75 * sum(grams[x, 0] + grams[x, 1] > 0 for x in h) * lower) / total
+
+    def own(g, c):
+        h, k = following.get(g[:-1], []), len(g)
+        lower = own(g[1:], c) if k > 1 else 1 / (len(model.tables[1].key) + 1)
+        if not sum(grams[x, 0] + grams[x, 1] for x in h):
+            return lower
+        freed = sum(min(grams[x, c], discount(grams[x, c], c, k)) for x in h)
+        return (max(grams[g, c] - discount(grams[g, c], c, k), 0) + (freed + 2) * 0.5 * (both(g) + lower)) / (sum(grams[x, c] for x in h) + 2)
+
+    tests = words[:20] + ["abcabcabcabc", "zzz", "a", "cz"]
+    want = []
+    for w in tests:
+        s = toxicity.START + w + toxicity.END
+        at = [s[max(i - order + 1, 0) : i + 1] for i in range(1, len(s))]
+        want.append(sum(math.log(own(g, 1) / own(g, 0)) for g in at))
+    assert np.allclose(model.word_differences(tests), want, atol=1e-4)
+
+
+def test_toxicity_long_texts_and_names(spark):
+    docs, labels = labelled(spark, 300)
+    model = toxicity.fit(docs, labels)
+    texts = [(1, "x" * 2_000_000), (2, "c1 " * 500_000), (3, "!!! ... \n"), (4, None)]
+    odd = spark.createDataFrame([(*t, "keep") for t in texts], "doc_id long, text string, `fold` string")
+    rows = {r.doc_id: r for r in toxicity.score(odd, model, "mark").collect()}
+    assert all(0 <= r.mark <= 1 and r.fold == "keep" for r in rows.values()) and rows[3].mark == rows[4].mark
+
+
 def test_toxicity_without_labels(spark):
     docs, labels = labelled(spark, 60)
     for some in (labels.limit(0), labels.where("toxic = 1")):

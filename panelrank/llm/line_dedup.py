@@ -102,9 +102,11 @@ def line_dedup(docs: DataFrame, divisor: int = DIVISOR, chunk_hash=F.xxhash64) -
 
 def _contents(df: DataFrame) -> DataFrame:
     """Adds `lines`, and of those that hold a letter or digit the numbers, `at`, and the lines themselves, `content`."""
+    # no line is looked up by its number here: pushed into a filter, that would split the text anew for each line
+    holds = lambda line: line.rlike(r"[\p{L}\p{N}]")
     lined = df.withColumn("lines", F.split("text", "\n", -1))
-    numbered = lined.withColumn("at", F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("lines", i).rlike(r"[\p{L}\p{N}]")))
-    return numbered.withColumn("content", F.transform("at", lambda i: F.get("lines", i)))
+    numbers = F.filter(F.transform("lines", lambda x, i: F.when(holds(x), i)), lambda i: i.isNotNull())
+    return lined.withColumn("at", numbers).withColumn("content", F.filter("lines", holds))
 
 
 def block_dedup(docs: DataFrame, pair_hash=F.xxhash64) -> DataFrame:
@@ -121,8 +123,7 @@ def block_dedup(docs: DataFrame, pair_hash=F.xxhash64) -> DataFrame:
     keyed = packed(docs, ["doc_id", "text"], version=F.xxhash64("text"))
     slim = keyed.select("doc_id", "text", "version").where(many)
     both = F.zip_with(F.slice("content", 1, F.size("content") - 1), F.slice("content", 2, F.size("content") - 1), lambda x, y: pair_hash(F.concat_ws("\n", x, y)))
-    paired = _contents(slim).where(F.size("content") > 1)
-    pairs = stored(paired.select(*key, F.posexplode(F.when(F.size("content") > 1, both)).alias("k", "h")), "pairs")
+    pairs = stored(_contents(slim).select(*key, F.posexplode(F.when(F.size("content") > 1, both)).alias("k", "h")), "pairs")
     repeated = stored(pairs.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n"), "repeated")
     met = pairs.join(repeated, "h").select(*key, "k", "h", "first")
 
@@ -144,12 +145,13 @@ def block_dedup(docs: DataFrame, pair_hash=F.xxhash64) -> DataFrame:
     own = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.version") == F.col("version")) & (F.col("first.k") == F.col("k") - 1)
     lost = F.when(own, F.array(F.col("k") + 1)).otherwise(F.array("k", F.col("k") + 1))
     later = flags.where(F.col("first") != place).select(*key, F.explode(lost).alias("c"))
-    gone = later.groupBy(*key).agg(F.collect_set("c").alias("gone")).withColumnsRenamed(named)
+    gone = later.groupBy(*key).agg(F.sort_array(F.collect_set("c")).alias("gone")).withColumnsRenamed(named)
 
     touched = F.col("gone").isNotNull()
     joined = keyed.join(gone, same_doc, "left")
     parts = _contents(joined.withColumn("_text", F.col("text")).withColumn("text", F.when(touched, F.col("text"))))
-    between = F.transform("gone", lambda c: F.sequence(F.get("at", c), F.when(F.array_contains("gone", c + 1), F.get("at", c + 1)).otherwise(F.get("at", c))))
+    following = F.concat(F.slice("gone", 2, F.size("gone")), F.array(F.lit(-1)))
+    between = F.zip_with("gone", following, lambda c, d: F.sequence(F.get("at", c), F.when(d == c + 1, F.get("at", d)).otherwise(F.get("at", c))))
     parts = parts.withColumn("kept", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.flatten(between)))
     cut = F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")
     made = {

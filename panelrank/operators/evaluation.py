@@ -61,7 +61,7 @@ def _by_horizon(panel: DataFrame, score: str, params: Params, keep: list[str]) -
 def leader_dates(panel: DataFrame, score: str, params: Params, dates: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Per group, date and horizon: how the top names by score met the future leaders; dates with too few names are skipped."""
     keys = [*(by or []), "date", "horizon"]
-    rows = _by_horizon(panel.join(F.broadcast(dates.select("date")), "date"), score, params, [*(by or []), "date", "symbol"]).where("future is not null")
+    rows = _by_horizon(panel.join(dates.select("date"), "date"), score, params, [*(by or []), "date", "symbol"]).where("future is not null")
     w = Window.partitionBy(*keys)
     placed = rows.withColumns({"r": F.row_number().over(w.orderBy(F.desc("score"), "symbol")), "f": F.row_number().over(w.orderBy(F.desc("future"), "symbol")), "n": F.count("*").over(w)})
     mine, leads = F.col("r") <= params.top_n, F.col("f") <= params.future_top_k
@@ -83,7 +83,7 @@ def pool_validation(panel: DataFrame, score: str, params: Params, frequency: str
     """V4: per date with a full pool, and horizon: the pool, its stability and churn, and how it met the future leaders."""
     k = params.pool_size
     dates = schedule(calendar(panel), frequency)
-    members = panel.join(F.broadcast(dates.select("date")), "date").where(F.col("in_universe") & F.col(score).isNotNull())
+    members = panel.join(dates.select("date"), "date").where(F.col("in_universe") & F.col(score).isNotNull())
     w = Window.partitionBy("date")
     ranked = members.withColumns({"r": F.row_number().over(w.orderBy(F.desc(score), "symbol")), "n": F.count("*").over(w)}).where(F.col("n") >= k)
     pools = ranked.where(F.col("r") <= k).groupBy("date").agg(F.sort_array(F.collect_list(F.struct("r", "symbol"))).alias("x")).select("date", F.col("x.symbol").alias("pool"))
@@ -97,7 +97,7 @@ def pool_validation(panel: DataFrame, score: str, params: Params, frequency: str
         F.count_if(mine).alias("seen"), F.count_if(mine & leads).alias("overlap"), F.max((mine & (F.col("f") == 1)).cast("double")).alias("leader_capture"),
         F.avg(F.when(mine, F.col("fr"))).alias("avg_future_rank"), F.avg(F.when(mine, F.col("future"))).alias("mean_future_return"),
     ).where("seen > 0")
-    every = pools.crossJoin(F.broadcast(panel.sparkSession.createDataFrame([(h,) for h in params.horizons], "horizon int")))
+    every = pools.withColumn("horizon", F.explode(F.array(*map(F.lit, params.horizons))))
     return every.join(met, ["date", "horizon"], "left").select(
         "date", "horizon", F.concat_ws(",", "pool").alias("pool_symbols"), "stability", (1 - F.col("stability")).alias("churn"), "overlap",
         (F.col("overlap") / k).alias("precision"), (F.col("overlap") / params.future_top_k).alias("recall"), "leader_capture", "avg_future_rank", "mean_future_return",
@@ -111,9 +111,9 @@ def summary(table: DataFrame, by: list[str] | None = None, count: str = "evaluat
 
 
 def window_validation(panel: DataFrame, returns: DataFrame, score: str, params: Params, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """V6: leader metrics and performance inside each test window; the windows are few and broadcast."""
-    tests = F.broadcast(windows.select("window_id", "test_start", "test_end"))
-    inside = lambda df: df.join(tests, F.col("date").between(F.col("test_start"), F.col("test_end"))).drop("test_start", "test_end")
+    """V6: leader metrics and performance inside each test window; a window stands for its dates."""
+    tests = windows.select("window_id", F.explode(F.sequence("test_start", "test_end")).alias("date"))
+    inside = lambda df: df.join(tests, "date")
     tagged = inside(panel)
     days = tagged.select("window_id", "date").distinct()
     week = Window.partitionBy("window_id")

@@ -14,7 +14,7 @@ def release_index(ranked: DataFrame, pool_size: int, mode: str, lag: int = 1, fr
     `ranked` has date, symbol and current_rank (null where not ranked).
     """
     days = calendar(ranked)
-    top = ranked.join(F.broadcast(schedule(days, frequency).select("date")), "date").where(F.col("current_rank") <= pool_size)
+    top = ranked.join(schedule(days, frequency).select("date"), "date").where(F.col("current_rank") <= pool_size)
     pools = top.groupBy("date").agg(F.sort_array(F.collect_list(F.struct("current_rank", "symbol"))).alias("x")).where(F.size("x") == pool_size).select("date", F.col("x.symbol").alias("pool"))
     before = F.lag("pool").over(Window.orderBy("date"))
     dated = pools.join(after(days, lag), "date", "left").withColumn("stability", F.when(before.isNotNull(), F.size(F.array_intersect("pool", before)) / pool_size))
@@ -29,7 +29,7 @@ def liveness(events: DataFrame, unit: str = "day") -> DataFrame:
     slotted = events.withColumn("slot", F.to_date(F.date_trunc(unit, "ts")))
     span = slotted.agg(F.min("slot").alias("a"), F.max("slot").alias("b"))
     step = F.expr(f"interval 1 {unit}")
-    spine = slotted.select("entity").distinct().crossJoin(F.broadcast(span)).select("entity", F.explode(F.sequence("a", "b", step)).alias("slot"))
+    spine = slotted.select("entity").distinct().join(span).select("entity", F.explode(F.sequence("a", "b", step)).alias("slot"))
     newest = slotted.groupBy("entity", "slot").agg(F.max_by("outcome", F.struct("ts", "outcome")).alias("outcome"))
     return spine.join(newest, ["entity", "slot"], "left").withColumn("outcome", F.coalesce("outcome", F.lit("missing")))
 

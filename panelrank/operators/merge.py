@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from panelrank.functions.nulls import finite, true
 from panelrank.functions.windows import by_symbol
 
+#: What the gate says of a symbol, by its name here.
+SAYS = {"primary_only": "binance_only", "short": "insufficient_pre_binance_extension", "no_check": "unavailable", "unused_check": "informational"}
+
 CORE = ("date", "symbol", "open", "high", "low", "close", "volume", "quote_volume")
 
 
@@ -151,7 +154,8 @@ def quality(primary: DataFrame, external: DataFrame, check: DataFrame, tiers: Da
     for reject, warn, name in tests:
         notes.append(F.when(long_check & reject, f"{name}_reject").when(long_check & warn, f"{name}_warn"))
         severe, warned = severe | (long_check & reject), warned | (long_check & ~reject & warn)
-    status = F.when(~F.col("_has_check"), "none").when(~long_check, "limited").when(warned, "warn").otherwise("pass")
+    unused = F.when(F.col("_has_check"), SAYS["unused_check"]).otherwise(SAYS["no_check"])
+    status = F.when(~F.col("_has_check"), SAYS["no_check"]).when(~long_check, "limited").when(warned, "warn").otherwise("pass")
 
     enough = F.col("overlap_days") >= gate.min_overlap_days
     fails = [
@@ -169,18 +173,22 @@ def quality(primary: DataFrame, external: DataFrame, check: DataFrame, tiers: Da
     reasons = F.concat_ws(",", *(F.when(c, name) for c, name in fails))
     cautious = F.col("tier") == "cautious"
     approved = F.when(cautious, "approved_cautious").otherwise("approved_core")
-    chain = [  # the first that holds decides: condition, status, reasons, decision
-        (F.col("tier") == "none", "not_whitelisted", F.lit("symbol_not_in_backfill_whitelist"), F.lit("primary_only")),
-        (cautious & F.lit(not merge_cautious), "cautious_holdout", F.lit("cautious_tier_not_enabled_for_merge"), F.lit("cautious_holdout")),
-        (F.col("external_rows") == 0, "no_external_rows", F.lit("no_external_rows_available"), F.lit("rejected")),
-        (F.lit(not gate.enabled), "merged", F.lit(""), approved),
-        (F.col("rows_added") < gate.min_rows_added, "insufficient_extension", F.lit("insufficient_extension"), F.lit("rejected")),
-        (reasons != "", "rejected_quality_gate", reasons, F.lit("rejected")),
+    caution = F.coalesce("caution", F.lit(""))
+    all_notes = F.concat_ws(",", F.nullif(caution, F.lit("")), *notes)
+    # the first that holds decides: condition, status, reasons, decision, and what is said of the check and as notes
+    chain = [
+        (F.col("tier") == "none", "not_whitelisted", "symbol_not_in_backfill_whitelist", SAYS["primary_only"], unused, ""),
+        (cautious & F.lit(not merge_cautious), "cautious_holdout", "cautious_tier_not_enabled_for_merge", "cautious_holdout", unused, caution),
+        (F.col("external_rows") == 0, "no_external_rows", "no_external_rows_available", "rejected", unused, ""),
+        (F.lit(not gate.enabled), "merged", "", approved, F.lit(SAYS["unused_check"]), caution),
+        (F.col("rows_added") < gate.min_rows_added, "insufficient_extension", SAYS["short"], "rejected", unused, ""),
+        (reasons != "", "rejected_quality_gate", reasons, "rejected", status, all_notes),
     ]
-    quality_status, quality_reasons, decision = F.lit("merged"), F.lit(""), approved
-    for condition, name, why, what in reversed(chain):
-        quality_status, quality_reasons, decision = (F.when(condition, x).otherwise(y) for x, y in ((F.lit(name), quality_status), (why, quality_reasons), (what, decision)))
-    out = out.withColumns({"check_status": status, "notes": F.concat_ws(",", F.col("caution"), *notes), "quality_status": quality_status, "quality_reasons": quality_reasons, "final_decision": decision})
+    names = ("quality_status", "quality_reasons", "final_decision", "check_status", "notes")
+    says = [F.lit("merged"), F.lit(""), approved, status, all_notes]
+    for condition, *row in reversed(chain):
+        says = [F.when(condition, x if isinstance(x, Column) else F.lit(x)).otherwise(y) for x, y in zip(row, says)]
+    out = out.withColumns(dict(zip(names, says)))
     return out.withColumn("merge_applied", F.col("quality_status") == "merged").drop("_has_check", "caution")
 
 

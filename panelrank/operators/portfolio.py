@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from panelrank.config import Params
 from panelrank.functions.nulls import true
+from panelrank.functions.tables import stored
 from panelrank.operators.calendar import after, calendar, schedule
 
 #: Halvings of the interval that holds the share of equity after costs.
@@ -34,13 +35,13 @@ def events(panel: DataFrame, score: str, params: Params) -> DataFrame:
 
     Where prediction windows are counted, signals without any are skipped up to the first scored one.
     """
-    days = calendar(panel)
+    days = stored(calendar(panel), "days")
     signals = schedule(days, params.rebalance).select(F.col("date").alias("signal_date"))
     placed = signals.join(after(days, params.lag), F.col("signal_date") == F.col("date")).where("later is not null").select("signal_date", F.col("later").alias("effective_date"))
     if "prediction_window_count" in panel.columns:
         seen = panel.where(F.col("in_universe")).groupBy(F.col("date").alias("signal_date")).agg(F.max(F.col(score).isNotNull()).alias("scored"))
         first = placed.join(seen.where("scored"), "signal_date").agg(F.min("signal_date").alias("first_signal"))
-        placed = placed.join(F.broadcast(first), F.col("signal_date") >= F.col("first_signal")).drop("first_signal")
+        placed = placed.join(first).where(F.col("signal_date") >= F.col("first_signal")).drop("first_signal")  # one row
     w = Window.orderBy("effective_date")
     return placed.withColumns({"k": F.row_number().over(w) - 1, "prev_date": F.lag("effective_date").over(w)})
 
@@ -61,8 +62,10 @@ def _fee_factor(cost: float) -> Column:
 
 def rebalances(panel: DataFrame, score: str, params: Params) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(events with g and turnover; weights by event; drift by event and symbol: before, target, after) for B4 to B6, B9, B10."""
-    plan = events(panel, score, params)
-    target = plan.join(select_weights(panel, score, params), F.col("signal_date") == F.col("date")).select("k", "effective_date", "symbol", "weight")
+    plan = stored(events(panel, score, params), "plan")
+    signals = plan.select(F.col("signal_date").alias("date"))
+    chosen = select_weights(panel.join(signals, "date", "left_semi"), score, params)
+    target = stored(plan.join(chosen, F.col("signal_date") == F.col("date")).select("k", "effective_date", "symbol", "weight"), "target")
     prices = panel.select(F.col("date").alias("p_date"), F.col("symbol").alias("p_symbol"), "open")
     at = lambda df, date, name: df.join(prices.withColumnsRenamed({"p_date": f"d_{name}", "p_symbol": f"s_{name}", "open": name}), (F.col(date) == F.col(f"d_{name}")) & (F.col("symbol") == F.col(f"s_{name}"))).drop(f"d_{name}", f"s_{name}")
     held = target.select(F.col("effective_date").alias("prev_date"), "symbol", F.col("weight").alias("w_prev"))
@@ -71,10 +74,12 @@ def rebalances(panel: DataFrame, score: str, params: Params) -> tuple[DataFrame,
     w = Window.partitionBy("k")
     carried = carried.withColumn("before", F.col("grown") / (1 - F.sum("w_prev").over(w) + F.sum("grown").over(w))).select("k", "symbol", "before")
     both = carried.join(target.select("k", "symbol", "weight"), ["k", "symbol"], "full").select("k", "symbol", F.coalesce("before", F.lit(0.0)).alias("before"), F.coalesce("weight", F.lit(0.0)).alias("target"))
+    both = stored(both, "both")
     arrays = both.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("symbol", "target", "before"))).alias("x")).select("k", F.col("x.target").alias("w"), F.col("x.before").alias("b"))
     solved = arrays.withColumn("g", _fee_factor(params.cost))
     turnover = F.aggregate(F.zip_with("w", "b", lambda a, b: F.abs(a * F.col("g") - b)), F.lit(0.0), lambda a, x: a + x) / 2
     plan = plan.join(solved.select("k", "g", turnover.alias("turnover")), "k", "left").withColumns({"g": F.coalesce("g", F.lit(1.0)), "turnover": F.coalesce("turnover", F.lit(0.0))})
+    plan = stored(plan, "events")
     drift = both.join(plan.select("k", "g", "signal_date", "effective_date"), "k").withColumn("after", F.col("target") * F.col("g"))
     return plan, target, drift
 
@@ -86,22 +91,32 @@ def _segments(panel: DataFrame, plan: DataFrame) -> DataFrame:
     return marked.withColumn("seg_date", F.last("e", ignorenulls=True).over(Window.orderBy("date"))).drop("e")
 
 
-def _moves(panel: DataFrame, days: DataFrame, target: DataFrame, day: str) -> DataFrame:
-    """date, symbol, weight, move: each held weight times its price change from the event to the date in column `day`."""
-    prices = panel.select(F.col("date").alias("p_date"), F.col("symbol").alias("p_symbol"), F.col("open").alias("price"))
-    held = days.where("seg_date is not null").join(target.select(F.col("effective_date").alias("seg_date"), "symbol", "weight"), "seg_date")
-    now = held.join(prices, (F.col(day) == F.col("p_date")) & (F.col("symbol") == F.col("p_symbol"))).drop("p_date", "p_symbol")
-    then = prices.withColumnsRenamed({"p_date": "q_date", "p_symbol": "q_symbol", "price": "base"})
-    joined = now.join(then, (F.col("seg_date") == F.col("q_date")) & (F.col("symbol") == F.col("q_symbol")))
-    return joined.select("date", "seg_date", "symbol", "weight", (F.col("weight") * F.col("price") / F.col("base")).alias("move"))
+def _moves(panel: DataFrame, days: DataFrame, target: DataFrame) -> DataFrame:
+    """date, symbol, weight, m0, m1: each held weight times its price change from the event to the date and to the next one.
+
+    Without a price at the event or the day, a move is null.
+    """
+    prices = panel.select(F.col("date").alias("p_date"), F.col("symbol").alias("p_symbol"), "open")
+    at = lambda df, day, name: df.join(prices.select(F.col("p_date").alias("d"), F.col("p_symbol").alias("s"), F.col("open").alias(name)), (F.col(day) == F.col("d")) & (F.col("symbol") == F.col("s")), "left").drop("d", "s")
+    based = at(target.select(F.col("effective_date").alias("seg_date"), "symbol", "weight"), "seg_date", "base")
+    held = days.where("seg_date is not null").join(based, "seg_date")
+    priced = at(at(held, "date", "p0"), "next_date", "p1")
+    return priced.select("date", "symbol", "weight", *((F.col("weight") * F.col(p) / F.col("base")).alias(m) for p, m in (("p0", "m0"), ("p1", "m1"))))
+
+
+def _slim(panel: DataFrame, score: str) -> DataFrame:
+    """What returns need of the panel, written once."""
+    wanted = ["date", "symbol", "open", "in_universe", "vol20", score, "prediction_window_count"]
+    return stored(panel.select(*(c for c in dict.fromkeys(wanted) if c in panel.columns)), "slim")
 
 
 def daily_returns(panel: DataFrame, score: str, params: Params) -> DataFrame:
     """Date, net_return, equity, turnover. Days before the first event return 0; the last day keeps its costs."""
+    panel = _slim(panel, score)
     plan, target, _ = rebalances(panel, score, params)
-    days = _segments(panel, plan)
-    value = lambda day, name: _moves(panel, days, target, day).groupBy("date").agg(F.sum("move").alias(name), F.sum("weight").alias(f"w_{name}"))
-    out = days.join(value("date", "m0"), "date", "left").join(value("next_date", "m1"), "date", "left")
+    days = stored(_segments(panel, plan), "segments")
+    moves = _moves(panel, days, target).groupBy("date").agg(*(x for m in ("m0", "m1") for x in (F.sum(m).alias(m), F.sum(F.when(F.col(m).isNotNull(), F.col("weight"))).alias(f"w_{m}"))))
+    out = days.join(moves, "date", "left")
     v = lambda m: 1 - F.coalesce(f"w_{m}", F.lit(0.0)) + F.coalesce(m, F.lit(0.0))
     grow = F.when(F.col("next_date").isNull(), 1.0).otherwise(v("m1") / v("m0"))
     out = out.join(plan.select(F.col("effective_date").alias("date"), "g", "turnover"), "date", "left")
@@ -112,22 +127,24 @@ def daily_returns(panel: DataFrame, score: str, params: Params) -> DataFrame:
 
 def trades(panel: DataFrame, score: str, params: Params) -> DataFrame:
     """Every change of weight that is not 0 at 12 decimals."""
-    _, _, drift = rebalances(panel, score, params)
+    _, _, drift = rebalances(_slim(panel, score), score, params)
     change = F.col("after") - F.col("before")
     return drift.where(F.round(change, 12) != 0).select("effective_date", "signal_date", "symbol", F.col("before").alias("weight_before"), F.col("after").alias("weight_after"), change.alias("weight_change"), F.lit(score).alias("score_source"))
 
 
 def holdings(panel: DataFrame, score: str, params: Params) -> DataFrame:
     """Date, symbol, weight of equity, drifting between events."""
+    panel = _slim(panel, score)
     plan, target, _ = rebalances(panel, score, params)
-    moved = _moves(panel, _segments(panel, plan), target, "date")
+    moved = _moves(panel, _segments(panel, plan), target).where("m0 is not null")
     w = Window.partitionBy("date")
-    return moved.withColumn("weight", F.col("move") / (1 - F.sum("weight").over(w) + F.sum("move").over(w))).where("weight <> 0").select("date", "symbol", "weight")
+    return moved.withColumn("weight", F.col("m0") / (1 - F.sum("weight").over(w) + F.sum("m0").over(w))).where("weight <> 0").select("date", "symbol", "weight")
 
 
 def guards(panel: DataFrame, score: str, params: Params) -> DataFrame:
     """Check, violations: what makes returns untrustworthy, counted."""
     not_finite = lambda c: F.isnan(c) | (F.abs(c) == float("inf"))
+    panel = _slim(panel, score)
     _, target, _ = rebalances(panel, score, params)
     rows = panel.agg(
         F.count_if(F.col("in_universe").isNull()).alias("membership_missing"),

@@ -27,8 +27,21 @@ def date_context(panel: DataFrame, params: Params) -> DataFrame:
 
 
 def with_context(panel: DataFrame, params: Params) -> DataFrame:
-    """The context joined to every row of its date."""
-    return panel.join(date_context(panel, params), "date", "left")
+    """The context in every row of its date, by aggregates over the date: no second pass over the panel."""
+    w = Window.partitionBy("date")
+    mine = lambda c: F.when(F.col("in_universe"), c)
+    above = lambda c: F.avg(mine(F.when(true(F.col(c) > 0), 1.0).otherwise(0.0))).over(w)
+    out = panel.withColumns(
+        {
+            "n_members": F.nullif(F.count(mine(F.lit(1))).over(w), F.lit(0)),
+            "breadth_above_sma60": above("price_vs_sma60"),
+            "breadth_above_sma200": above("price_vs_sma200"),
+            "momentum_dispersion": F.stddev_samp(mine(F.col("momentum_combo"))).over(w),
+            "rs_dispersion": F.stddev_samp(mine(F.col("rs_combo"))).over(w),
+            "single_leader_burst": F.max(mine(F.col("momentum_combo"))).over(w) - F.median(mine(F.col("momentum_combo"))).over(w),
+        }
+    )
+    return out.withColumns({c: F.when(F.col("n_members") >= params.breadth_min_names, F.col(c)) for c in CONTEXT})
 
 
 def labels(panel: DataFrame, params: Params) -> DataFrame:
@@ -71,7 +84,7 @@ def rule_scores(panel: DataFrame, params: Params) -> DataFrame:
 
 
 def regimes(context: DataFrame) -> DataFrame:
-    """Date, regime, regime_confidence; `context` has the date's context, benchmark_above_sma200 and benchmark_z120."""
+    """Adds regime and regime_confidence; `context` has the date's context, benchmark_above_sma200 and benchmark_z120."""
     b60, b200, z = F.col("breadth_above_sma60"), F.col("breadth_above_sma200"), F.col("benchmark_z120")
     above, burst = true(F.col("benchmark_above_sma200") > 0), F.col("single_leader_burst")
     zero = lambda c: F.coalesce(c, F.lit(0.0))
@@ -86,14 +99,13 @@ def regimes(context: DataFrame) -> DataFrame:
         .when(broad, clip(2 * F.greatest(F.lit(0.0), b60 - 0.55) + 2 * F.greatest(F.lit(0.0), b200 - 0.40)))
         .otherwise(clip(F.greatest(F.lit(0.0), zero(burst)) + F.greatest(F.lit(0.0), zero(F.col("rs_dispersion")))))
     )
-    return context.select("date", name.alias("regime"), confidence.alias("regime_confidence"))
+    return context.withColumns({"regime": name, "regime_confidence": confidence})
 
 
 def with_regime(panel: DataFrame) -> DataFrame:
-    """Regime and confidence for every row; context columns are equal on a date, so their maximum is their value."""
-    keep = ("breadth_above_sma60", "breadth_above_sma200", "momentum_dispersion", "rs_dispersion", "single_leader_burst", "benchmark_above_sma200", "benchmark_z120")
-    per_date = panel.groupBy("date").agg(*(F.max(c).alias(c) for c in keep))
-    return panel.join(regimes(per_date), "date", "left")
+    """Regime and confidence in every row: context is equal on a date, the benchmark's columns are taken from any row of it."""
+    w = Window.partitionBy("date")
+    return regimes(panel.withColumns({c: F.max(c).over(w) for c in ("benchmark_above_sma200", "benchmark_z120")}))
 
 
 def final_scores(panel: DataFrame, params: Params) -> DataFrame:
@@ -132,13 +144,14 @@ def ranking_order() -> list[Column]:
 
 
 def ranked(panel: DataFrame, params: Params) -> DataFrame:
-    """current_rank and selected_flag on each date; out-of-sample rows only, where prediction windows are counted."""
-    if "prediction_window_count" in panel.columns:
-        seen = F.coalesce("prediction_window_count", F.lit(0)) > 0
-        panel = panel.withColumns({c: F.when(seen, F.col(c)) for c in ("final_score", "confidence")})
+    """current_rank and selected_flag on each date. Where prediction windows are counted, rows without one lose score,
+    confidence, rank and flag; the others keep the place that they have among all."""
     able = F.col("in_universe") & F.col("final_score").isNotNull()
     place = F.row_number().over(Window.partitionBy("date", able).orderBy(*ranking_order()))
     out = panel.withColumn("current_rank", F.when(able, place))
+    if "prediction_window_count" in panel.columns:
+        seen = F.coalesce("prediction_window_count", F.lit(0)) > 0
+        out = out.withColumns({c: F.when(seen, F.col(c)) for c in ("final_score", "confidence", "current_rank")})
     return out.withColumn("selected_flag", F.coalesce(F.col("current_rank") <= params.pool_size, F.lit(False)))
 
 
@@ -146,4 +159,4 @@ def snapshot(panel: DataFrame, as_of=None) -> DataFrame:
     """The rows of the last date up to `as_of` (or of all), in ranking order."""
     days = panel if as_of is None else panel.where(F.col("date") <= as_of)
     last = days.agg(F.max("date").alias("date"))
-    return panel.join(F.broadcast(last), "date").orderBy(*ranking_order())
+    return panel.join(last, "date").orderBy(*ranking_order())

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelrank.config import Params, UniverseMode
 from panelrank.functions.nulls import true
+from panelrank.functions.tables import stored
 from panelrank.operators.calendar import calendar, refresh_schedule
 from panelrank.operators.features import liquid_days
 
@@ -29,9 +30,10 @@ def metadata_filter(meta: DataFrame, params: Params) -> DataFrame:
     return meta.select("symbol", (true(fine) | mine).alias("metadata_eligible"), mine.alias("is_benchmark"))
 
 
-def market_cap_screen(caps: DataFrame, least_usd: float | None = None, worst_rank: float | None = None) -> DataFrame:
-    """Symbol, market_cap_eligible; of repeated symbols the largest rank counts."""
-    one = caps.groupBy(F.upper("symbol").alias("symbol")).agg(F.max_by("market_cap_usd", "market_cap_rank").alias("usd"), F.max("market_cap_rank").alias("rank"))
+def market_cap_screen(caps: DataFrame, least_usd: float | None = None, worst_rank: float | None = None, order: str | None = None) -> DataFrame:
+    """Symbol, market_cap_eligible; of repeated symbols the last row by `order` counts, by default that of the largest rank."""
+    last = F.struct(F.col(order or "market_cap_rank").isNotNull(), F.col(order or "market_cap_rank"), "market_cap_usd")
+    one = caps.groupBy(F.upper("symbol").alias("symbol")).agg(F.max_by(F.struct(F.col("market_cap_usd").alias("usd"), F.col("market_cap_rank").alias("rank")), last).alias("x")).select("symbol", "x.*")
     fine = F.lit(True)
     if least_usd is not None:
         fine = fine & (F.coalesce(F.col("usd").try_cast("double"), F.lit(0.0)) >= least_usd)
@@ -64,15 +66,16 @@ def eligibility(panel: DataFrame, meta: DataFrame, params: Params, caps: DataFra
     return out.withColumn("candidate_eligible", reduce(lambda a, b: a & b, [F.col(f"{t}_eligible") for t in tests]) & ~F.col("is_benchmark"))
 
 
-def memberships(candidates: DataFrame, refreshes: DataFrame, mode: UniverseMode) -> DataFrame:
-    """snapshot_date, symbol, member. `candidates` has date, symbol, candidate_eligible.
+def memberships(candidates: DataFrame, refreshes: DataFrame, mode: UniverseMode, symbols: DataFrame | None = None) -> DataFrame:
+    """snapshot_date, symbol, member. `candidates` has date, symbol, candidate_eligible; `symbols` by default those in it.
 
     A symbol enters after `enter_after` refreshes in a row at which it is eligible and leaves after `leave_after` at which
     it is not; a symbol without a row at a refresh is not eligible. A run of equal answers is an island; the first row
     of it that is long enough sets or resets the latch, and the last such event holds.
     """
     w = Window.partitionBy("symbol").orderBy("snapshot_date")
-    every = candidates.select("symbol").distinct().crossJoin(F.broadcast(refreshes.select(F.col("date").alias("snapshot_date"))))
+    dates = refreshes.agg(F.sort_array(F.collect_set("date")).alias("dates"))  # one row: a date a month
+    every = (candidates.select("symbol").distinct() if symbols is None else symbols).join(dates).select("symbol", F.explode("dates").alias("snapshot_date"))
     known = candidates.select("symbol", F.col("date").alias("snapshot_date"), F.col("candidate_eligible").alias("ok"))
     asked = every.join(known, ["symbol", "snapshot_date"], "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
     islands = asked.withColumn("new", F.when(F.col("ok") == F.lag("ok").over(w), 0).otherwise(1)).withColumn("island", F.sum("new").over(w))
@@ -82,19 +85,26 @@ def memberships(candidates: DataFrame, refreshes: DataFrame, mode: UniverseMode)
     return latched.select("snapshot_date", "symbol", F.coalesce(F.last("event", ignorenulls=True).over(w), F.lit(False)).alias("member"))
 
 
-def spread(panel: DataFrame, members: DataFrame, refreshes: DataFrame) -> DataFrame:
+def spread(panel: DataFrame, members: DataFrame, refreshes: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """universe_snapshot_date and in_universe for every row: the last refresh up to its date decides."""
-    days = calendar(panel).select("date").join(refreshes.select("date", F.col("date").alias("snap")), "date", "left")
+    days = (calendar(panel) if days is None else days).select("date").join(refreshes.select("date", F.col("date").alias("snap")), "date", "left")
     days = days.withColumn("universe_snapshot_date", F.last("snap", ignorenulls=True).over(Window.orderBy("date"))).drop("snap")
     joined = panel.join(days, "date").join(members.withColumnRenamed("snapshot_date", "universe_snapshot_date"), ["universe_snapshot_date", "symbol"], "left")
     return joined.withColumn("in_universe", F.coalesce("member", F.lit(False)) & ~F.col("is_benchmark")).drop("member")
 
 
 def dynamic_universe(panel: DataFrame, meta: DataFrame, params: Params, caps: DataFrame | None = None) -> DataFrame:
-    """U8: the panel with eligibility, snapshot date and membership."""
+    """U8: the panel with eligibility, snapshot date and membership.
+
+    Calendar, refreshes and memberships, a few rows a date or symbol, are written, so the panel is read for each once.
+    """
     tested = eligibility(panel, meta, params, caps)
-    refreshes = refresh_schedule(calendar(tested))
-    return spread(tested, memberships(tested.select("date", "symbol", "candidate_eligible"), refreshes, params.mode), refreshes)
+    days = stored(calendar(panel), "days")
+    refreshes = stored(refresh_schedule(days), "refreshes")
+    at = tested.select("date", "symbol", "candidate_eligible").join(refreshes.select("date"), "date", "left_semi")
+    every = panel.select("symbol").distinct()
+    members = stored(memberships(at, refreshes, params.mode, every), "members")
+    return spread(tested, members, refreshes, days)
 
 
 def _last(n: int, agg, x: Column) -> Column:
@@ -122,28 +132,30 @@ def recent_stats(history: DataFrame, floor: float) -> DataFrame:
 RELAXED = {"history": 0.90, "volume": 0.80, "stability": 0.90, "tradable": 0.98, "days": 0.90}
 
 
-def live_candidates(stats: DataFrame, params: Params, previous: DataFrame, least: int = 15, most: int = 24) -> DataFrame:
-    """Symbol, source, place: benchmark first, then the previous pool, then the best others by eight keys.
+def live_candidates(stats: DataFrame, params: Params, previous: DataFrame, least: int = 15, most: int = 24, meta: DataFrame | None = None) -> DataFrame:
+    """Symbol, source, place: the benchmark first, then the chosen by eight keys, then those of the previous pool only.
 
-    Symbols that pass the relaxed tests come first; others fill up to `least`; no more than `most` are taken.
+    All symbols that pass the relaxed tests are chosen, and the best others up to `least`; `most` bounds the places that are
+    filled, not the passing. Thresholds on days are cut to whole ones. `meta` limits the ranking to eligible symbols.
     """
     m = params.mode
     ok = (
-        (F.col("history_days") >= m.min_history * RELAXED["history"])
+        (F.col("history_days") >= int(m.min_history * RELAXED["history"]))
         & reduce(lambda a, b: a & b, [F.coalesce(f"avg_quote_vol_{n}", F.lit(0.0)) >= v * RELAXED["volume"] for n, v in zip((30, 90, 180), m.min_volume)])
         & (F.coalesce("liquidity_stability", F.lit(0.0)) >= m.min_stability * RELAXED["stability"])
         & (F.coalesce("tradable_ratio_180", F.lit(0.0)) >= m.min_tradable * RELAXED["tradable"])
-        & reduce(lambda a, b: a & b, [F.col(f"liquid_days_{n}") >= d * RELAXED["days"] for n, d in zip((90, 180), m.min_days)])
+        & reduce(lambda a, b: a & b, [F.col(f"liquid_days_{n}") >= int(d * RELAXED["days"]) for n, d in zip((90, 180), m.min_days)])
     )
+    able = stats if meta is None else stats.join(metadata_filter(meta, params).where("metadata_eligible").select("symbol"), "symbol", "left_semi")
     keys = [F.desc("ok"), *(F.desc_nulls_last(c) for c in ("avg_quote_vol_180", "avg_quote_vol_90", "avg_quote_vol_30", "liquidity_stability", "tradable_ratio_180", "history_days")), "symbol"]
-    others = stats.where(F.col("symbol") != params.benchmark).withColumn("ok", true(ok))
-    ranked = others.withColumns({"r": F.row_number().over(Window.orderBy(*keys)), "n_ok": F.sum(F.col("ok").cast("int")).over(Window.partitionBy())})
-    target = F.least(F.greatest("n_ok", F.lit(least)), F.lit(most))
-    best = ranked.where(F.col("r") <= target).select("symbol", F.lit("ranked").alias("source"), (F.col("r") + 2_000_000).alias("o"))
-    old = previous.select("symbol", F.lit("previous").alias("source"), (F.row_number().over(Window.orderBy("symbol")) + 1_000_000).alias("o"))
-    first = stats.where(F.col("symbol") == params.benchmark).select("symbol", F.lit("benchmark").alias("source"), F.lit(0).alias("o"))
-    every = first.unionByName(old).unionByName(best).groupBy("symbol").agg(F.min_by("source", "o").alias("source"), F.min("o").alias("o"))
-    return every.select("symbol", "source", F.row_number().over(Window.orderBy("o", "symbol")).alias("place"))
+    ranked = able.select("*", true(ok).alias("ok")).select("symbol", "ok", F.row_number().over(Window.orderBy(*keys)).alias("r"), F.sum(F.col("ok").cast("int")).over(Window.partitionBy()).alias("n_ok"))
+    target = F.least(F.greatest(F.col("n_ok"), F.lit(least), F.lit(1)), F.lit(most))
+    old = previous.select(F.col("symbol").alias("old")).distinct()
+    met = ranked.join(old, F.col("symbol") == F.col("old"), "full")
+    first = F.lit(params.benchmark)
+    rows = met.where(F.coalesce("ok", F.lit(False)) | F.coalesce(F.col("r") <= target, F.lit(False)) | F.col("old").isNotNull()).select(F.coalesce("symbol", "old").alias("symbol"), "r", F.when(true(F.col("ok") | (F.col("r") <= target)), "ranked").otherwise("previous").alias("source"))
+    every = rows.where(F.col("symbol") != first).unionByName(stats.sparkSession.range(1).select(first.alias("symbol"), F.lit(0).alias("r"), F.lit("benchmark").alias("source")))
+    return every.select("symbol", "source", F.row_number().over(Window.orderBy(F.asc_nulls_last("r"), "symbol")).alias("place"))
 
 
 def download_candidates(meta: DataFrame, stats: DataFrame, tickers: DataFrame, params: Params, extra_bases: tuple[str, ...] = (), top: int | None = None) -> DataFrame:

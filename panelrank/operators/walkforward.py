@@ -1,6 +1,6 @@
 """Walk-forward roles and summaries (J15, A5, A6, A12, A13) and linear models by window (M1, M4).
 
-All windows are handled in one plan with `window_id` as a key; they are few and broadcast.
+All windows are handled in one plan with `window_id` as a key. A window stands for its dates, so that rows meet it by date.
 """
 
 from __future__ import annotations
@@ -14,10 +14,10 @@ from panelrank.functions.nulls import finite
 
 def roles(panel: DataFrame, windows: DataFrame) -> DataFrame:
     """A row of the panel for each window it trains or tests, with window_id and role ('train', 'purged' or 'test')."""
-    w = F.broadcast(windows.select("window_id", "train_start", "train_end", "effective_train_end", "test_start", "test_end"))
-    joined = panel.join(w, F.col("date").between(F.col("train_start"), F.col("test_end")))
+    w = windows.select("window_id", "train_end", "effective_train_end", "test_start", F.explode(F.sequence("train_start", "test_end")).alias("date"))
+    joined = panel.join(w, "date")
     role = F.when(F.col("date") <= F.col("effective_train_end"), "train").when(F.col("date") <= F.col("train_end"), "purged").otherwise("test")
-    return joined.withColumn("role", role).drop("train_start", "train_end", "effective_train_end", "test_end")
+    return joined.withColumn("role", role).drop("train_end", "effective_train_end")
 
 
 def purged_by_label(rows: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def window_summary(rows: DataFrame, min_train_rows: int) -> DataFrame:
         F.countDistinct(F.when(is_("train"), F.col("date"))).alias("train_dates"), F.count_if(is_("test")).alias("test_rows"),
     ).withColumn("status", F.when(F.col("train_rows") >= min_train_rows, "fit").otherwise("insufficient_data"))
     first = agg.agg(F.min(F.when(F.col("status") == "fit", F.col("window_id"))).alias("first"))
-    return agg.crossJoin(F.broadcast(first)).withColumn("warm_up", F.coalesce(F.col("window_id") < F.col("first"), F.lit(False))).drop("first")
+    return agg.join(first).withColumn("warm_up", F.coalesce(F.col("window_id") < F.col("first"), F.lit(False))).drop("first")
 
 
 def aggregate_predictions(predictions: DataFrame, columns: list[str], mode: str = "mean") -> DataFrame:
@@ -56,17 +56,18 @@ def medians(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 def imputed(rows: DataFrame, columns: list[str]) -> DataFrame:
     """M1: missing features take their window's training median."""
-    filled = rows.join(F.broadcast(medians(rows, columns)), "window_id")
+    filled = rows.join(medians(rows, columns), "window_id")
     return filled.withColumns({c: F.coalesce(finite(c), F.col(f"median_{c}")) for c in columns}).drop(*(f"median_{c}" for c in columns))
 
 
 def gram_sums(rows: DataFrame, columns: list[str], target: str) -> DataFrame:
     """M4: window_id, i, j, s: sums of products of (1, features, target) over the training rows; position 0 is the constant."""
-    values = F.array(F.lit(1.0), *(F.col(c).cast("double") for c in columns), F.col(target).cast("double"))
-    train = rows.where((F.col("role") == "train") & F.col(target).isNotNull()).select("window_id", values.alias("v"))
-    left = train.select("window_id", "v", F.posexplode("v").alias("i", "x"))
-    pairs = left.select("window_id", "i", "x", F.posexplode("v").alias("j", "y")).where("j >= i")
-    return pairs.groupBy("window_id", "i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("s"))
+    terms = [F.lit(1.0), *(F.col(c).cast("double") for c in columns), F.col(target).cast("double")]
+    at = [(i, j) for i in range(len(terms)) for j in range(i, len(terms))]
+    train = rows.where((F.col("role") == "train") & F.col(target).isNotNull())
+    wide = train.groupBy("window_id").agg(*(F.sum(terms[i] * terms[j]).alias(f"s_{i}_{j}") for i, j in at))
+    each = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"s_{i}_{j}").alias("s")) for i, j in at))
+    return wide.select("window_id", F.inline(each))
 
 
 def ridge(rows: DataFrame, columns: list[str], target: str, alpha: float = 2.0) -> DataFrame:
@@ -86,5 +87,5 @@ def predict(rows: DataFrame, coefficients: DataFrame, columns: list[str], out: s
     """Test rows with the window's linear score; windows without coefficients give null."""
     wide = coefficients.groupBy("window_id").pivot("term", ["bias", *columns]).agg(F.first("coefficient"))
     wide = wide.select("window_id", *(F.col(c).alias(f"_b_{c}") for c in ["bias", *columns]))
-    joined = rows.where("role = 'test'").join(F.broadcast(wide), "window_id", "left")
+    joined = rows.where("role = 'test'").join(wide, "window_id", "left")
     return joined.withColumn(out, sum((F.col(c) * F.col(f"_b_{c}") for c in columns), F.col("_b_bias"))).drop(*(f"_b_{c}" for c in ["bias", *columns]))

@@ -1,4 +1,7 @@
-"""The panel as one lazy plan over the driver's tables, up to any stage, and the same as SQL for the oracles."""
+"""The panel over the driver's tables, up to any stage, and the same as SQL for the oracles.
+
+Features are a lazy plan; what follows reads the written feature panel, and portfolios the written scored one.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelrank.config import RULE_SCHEMES, TEST, Params
 from panelrank.fixtures import META_SQL, bars, bars_sql, metadata
+from panelrank.functions.tables import stored
 from panelrank.operators import features, scores, universe
 
 
@@ -14,7 +18,7 @@ def features_panel(spark: SparkSession, sf_dir: str, params: Params = TEST) -> D
 
 
 def universe_panel(spark: SparkSession, sf_dir: str, params: Params = TEST) -> DataFrame:
-    return universe.dynamic_universe(features_panel(spark, sf_dir, params), metadata(spark, sf_dir), params)
+    return universe.dynamic_universe(stored(features_panel(spark, sf_dir, params), "features"), metadata(spark, sf_dir), params)
 
 
 def labelled_panel(spark: SparkSession, sf_dir: str, params: Params = TEST) -> DataFrame:
@@ -24,7 +28,7 @@ def labelled_panel(spark: SparkSession, sf_dir: str, params: Params = TEST) -> D
 def scored_panel(spark: SparkSession, sf_dir: str, params: Params = TEST) -> DataFrame:
     """Everything but model scores: final_score comes from the rules alone."""
     panel = scores.with_regime(scores.rule_scores(labelled_panel(spark, sf_dir, params), params))
-    return scores.final_scores(panel, params)
+    return stored(scores.final_scores(panel, params), "scored")
 
 
 def _roll(agg: str, x: str, n: int, least: int | None = None) -> str:

@@ -74,15 +74,16 @@ q3 AS (SELECT *, concat_ws(',', CASE WHEN gap_count > 100000 THEN 'excessive_gap
   concat_ws(',', caution, CASE WHEN hc AND NOT lc THEN 'limited_crosscheck_history' END, CASE WHEN lc AND check_corr < 0.8 THEN 'crosscheck_return_corr_reject' WHEN lc AND check_corr < 0.92 THEN 'crosscheck_return_corr_warn' END,
     CASE WHEN lc AND check_cv > 0.18 THEN 'crosscheck_price_ratio_reject' WHEN lc AND check_cv > 0.08 THEN 'crosscheck_price_ratio_warn' END, CASE WHEN lc AND check_diff > 0.08 THEN 'crosscheck_return_diff_reject' WHEN lc AND check_diff > 0.03 THEN 'crosscheck_return_diff_warn' END,
     CASE WHEN lc AND check_gaps > 60 THEN 'crosscheck_gap_count_reject' WHEN lc AND check_gaps > 15 THEN 'crosscheck_gap_count_warn' END) AS notes,
-  CASE WHEN NOT hc THEN 'none' WHEN NOT lc THEN 'limited' WHEN coalesce(check_corr >= 0.8 AND check_corr < 0.92, false) OR coalesce(check_cv <= 0.18 AND check_cv > 0.08, false) OR coalesce(check_diff <= 0.08 AND check_diff > 0.03, false) OR (check_gaps <= 60 AND check_gaps > 15) THEN 'warn' ELSE 'pass' END AS check_status FROM q2),
+  CASE WHEN NOT hc THEN 'unavailable' WHEN NOT lc THEN 'limited' WHEN coalesce(check_corr >= 0.8 AND check_corr < 0.92, false) OR coalesce(check_cv <= 0.18 AND check_cv > 0.08, false) OR coalesce(check_diff <= 0.08 AND check_diff > 0.03, false) OR (check_gaps <= 60 AND check_gaps > 15) THEN 'warn' ELSE 'pass' END AS check_status FROM q2),
 q4 AS (SELECT *, CASE WHEN tier = 'none' THEN 'not_whitelisted' WHEN external_rows = 0 THEN 'no_external_rows' WHEN rows_added < 30 THEN 'insufficient_extension' WHEN reasons <> '' THEN 'rejected_quality_gate' ELSE 'merged' END AS quality_status FROM q3)"""
 _STATS = ["max_abs_return", "overlap_corr", "overlap_diff", "overlap_cv", "check_corr", "check_diff", "check_cv"]
 _COUNTS = ["external_rows", "rows_added", "jumps", "gap_count", "overlap_days", "check_days", "check_gaps"]
 
 
-@query("q4_q8_a7_a11_quality_gate", BASE + QUALITY + f""" SELECT symbol, {', '.join(f'{c}::BIGINT AS {c}' for c in _COUNTS)}, {rounds(_STATS, 5)}, tier, check_status, notes, quality_status,
-  CASE quality_status WHEN 'not_whitelisted' THEN 'symbol_not_in_backfill_whitelist' WHEN 'no_external_rows' THEN 'no_external_rows_available' WHEN 'insufficient_extension' THEN 'insufficient_extension' WHEN 'rejected_quality_gate' THEN reasons ELSE '' END AS quality_reasons,
-  CASE quality_status WHEN 'not_whitelisted' THEN 'primary_only' WHEN 'merged' THEN CASE tier WHEN 'cautious' THEN 'approved_cautious' ELSE 'approved_core' END ELSE 'rejected' END AS final_decision FROM q4""")
+@query("q4_q8_a7_a11_quality_gate", BASE + QUALITY + f""" SELECT symbol, {', '.join(f'{c}::BIGINT AS {c}' for c in _COUNTS)}, {rounds(_STATS, 5)}, tier, CASE WHEN quality_status IN ('merged', 'rejected_quality_gate') THEN check_status WHEN hc THEN 'informational' ELSE 'unavailable' END AS check_status,
+  CASE WHEN quality_status IN ('merged', 'rejected_quality_gate') THEN notes ELSE '' END AS notes, quality_status,
+  CASE quality_status WHEN 'not_whitelisted' THEN 'symbol_not_in_backfill_whitelist' WHEN 'no_external_rows' THEN 'no_external_rows_available' WHEN 'insufficient_extension' THEN 'insufficient_pre_binance_extension' WHEN 'rejected_quality_gate' THEN reasons ELSE '' END AS quality_reasons,
+  CASE quality_status WHEN 'not_whitelisted' THEN 'binance_only' WHEN 'merged' THEN CASE tier WHEN 'cautious' THEN 'approved_cautious' ELSE 'approved_core' END ELSE 'rejected' END AS final_decision FROM q4""")
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = merge.quality(_primary(spark, sf_dir), _external(spark, sf_dir), _check(spark, sf_dir), _tiers(spark, sf_dir), SOURCES, GATE)
     return out.select("symbol", *(F.col(c).cast("long").alias(c) for c in _COUNTS), *(F.round(c, 5).alias(c) for c in _STATS), "tier", "check_status", "notes", "quality_status", "quality_reasons", "final_decision")

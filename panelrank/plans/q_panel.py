@@ -176,18 +176,19 @@ def recent_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(universe.recent_stats(fixtures.bars(spark, sf_dir), 20_000), ["symbol", "last_date", "history_days", "liquid_days_90", "liquid_days_180"], _STATS, 4)
 
 
-@query("u10_live_candidates", P.sql("bars", "," + STATS_SQL + """,
-o AS (SELECT *, coalesce(history_days >= 365 * 0.9 AND avg_quote_vol_30 >= 60000 AND avg_quote_vol_90 >= 62400 AND avg_quote_vol_180 >= 62800 AND liquidity_stability >= 0.765 AND tradable_ratio_180 >= 0.882 AND liquid_days_90 >= 54 AND liquid_days_180 >= 108, false) AS ok FROM stats WHERE symbol <> 'Brand#1'),
+@query("u10_live_candidates", P.sql("bars", "," + fixtures.META_SQL + "," + STATS_SQL + """,
+o AS (SELECT *, coalesce(history_days >= 328 AND avg_quote_vol_30 >= 60000 AND avg_quote_vol_90 >= 62400 AND avg_quote_vol_180 >= 62800 AND liquidity_stability >= 0.765 AND tradable_ratio_180 >= 0.882 AND liquid_days_90 >= 54 AND liquid_days_180 >= 108, false) AS ok
+  FROM stats JOIN meta USING (symbol) WHERE (status = 'TRADING' AND is_spot_trading_allowed) OR symbol = 'Brand#1'),
 r AS (SELECT *, row_number() OVER (ORDER BY ok DESC, avg_quote_vol_180 DESC, avg_quote_vol_90 DESC, avg_quote_vol_30 DESC, liquidity_stability DESC, tradable_ratio_180 DESC, history_days DESC, symbol) AS r, sum(ok::INT) OVER () AS n FROM o),
-a AS (SELECT symbol, 'ranked' AS source, r + 2000000 AS o FROM r WHERE r <= least(greatest(n, 15), 24)
-  UNION ALL SELECT symbol, 'previous', 1000000 + row_number() OVER (ORDER BY symbol) FROM stats WHERE symbol IN ('Brand#2', 'Brand#3', 'Brand#5')
-  UNION ALL SELECT symbol, 'benchmark', 0 FROM stats WHERE symbol = 'Brand#1'),
-b AS (SELECT symbol, arg_min(source, o) AS source, min(o) AS o FROM a GROUP BY symbol)
-SELECT symbol, source, row_number() OVER (ORDER BY o, symbol) AS place FROM b"""))
+a AS (SELECT symbol, CASE WHEN ok OR r <= least(greatest(n, 6, 1), 10) THEN 'ranked' ELSE 'previous' END AS source, r FROM r
+  WHERE ok OR r <= least(greatest(n, 6, 1), 10) OR symbol IN ('Brand#2', 'Brand#3', 'Brand#25', 'Brand#99')
+  UNION ALL SELECT s, 'previous', NULL FROM (SELECT unnest(['Brand#2', 'Brand#3', 'Brand#25', 'Brand#99']) AS s) WHERE s NOT IN (SELECT symbol FROM r)),
+b AS (SELECT symbol, source, r FROM a WHERE symbol <> 'Brand#1' UNION ALL SELECT 'Brand#1', 'benchmark', 0)
+SELECT symbol, source, row_number() OVER (ORDER BY r NULLS LAST, symbol) AS place FROM b"""))
 def live_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = universe.recent_stats(fixtures.bars(spark, sf_dir), 20_000)
-    previous = fixtures.metadata(spark, sf_dir).where(F.col("symbol").isin("Brand#2", "Brand#3", "Brand#5")).select("symbol")
-    return universe.live_candidates(stats, TEST, previous)
+    previous = spark.createDataFrame([(f"Brand#{n}",) for n in (2, 3, 25, 99)], "symbol string")
+    return universe.live_candidates(stats, TEST, previous, 6, 10, fixtures.metadata(spark, sf_dir))
 
 
 @query("u11_u12_download_candidates", P.sql("bars", "," + fixtures.META_SQL + "," + STATS_SQL + """,
@@ -243,6 +244,26 @@ def final_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.scored_panel(spark, sf_dir).where("in_universe").select(*KEY, "regime", F.round("final_score", 6).alias("final_score"), F.round("confidence", 6).alias("confidence"), "current_rank", "selected_flag")
 
 
+@query("e3_e5_n6_three_components", P.sql("rules", f"""
+, c0 AS (SELECT *, CASE WHEN in_universe AND raw IS NOT NULL THEN rs_risk_adj END AS lr, CASE WHEN in_universe AND raw IS NOT NULL AND day(date) % 4 <> 0 THEN momentum_combo END AS mr, CASE WHEN age_days % 7 < 5 THEN 1 ELSE 0 END AS seen FROM e3),
+c1 AS (SELECT *, {P.rank_sql('raw')} AS r, {P.rank_sql('lr')} AS l, {P.rank_sql('mr')} AS m FROM c0),
+c2 AS (SELECT *, CASE regime WHEN 'risk_off' THEN 0.5 WHEN 'broad_alt_strength' THEN 0.25 WHEN 'btc_dominant' THEN 0.4 ELSE 0.35 END::DOUBLE AS wr,
+  CASE regime WHEN 'risk_off' THEN 0.25 WHEN 'broad_alt_strength' THEN 0.15 WHEN 'late_momentum' THEN 0.15 ELSE 0.2 END::DOUBLE AS wl,
+  CASE regime WHEN 'risk_off' THEN 0.25 WHEN 'btc_dominant' THEN 0.4 WHEN 'broad_alt_strength' THEN 0.6 WHEN 'late_momentum' THEN 0.5 ELSE 0.45 END::DOUBLE AS wm FROM c1),
+c3 AS (SELECT *, (coalesce(r * wr, 0) + coalesce(l * wl, 0) + coalesce(m * wm, 0)) / nullif(CASE WHEN r IS NULL THEN 0 ELSE wr END + CASE WHEN l IS NULL THEN 0 ELSE wl END + CASE WHEN m IS NULL THEN 0 ELSE wm END, 0) AS f,
+  1 - 2 * least(greatest(coalesce((SELECT stddev_samp(x) FROM unnest([r, l, m]) AS t(x)), 0.5), 0), 0.5) AS agree FROM c2),
+c4 AS (SELECT *, CASE WHEN f IS NOT NULL THEN least(greatest(0.6::DOUBLE * agree + 0.4::DOUBLE * abs(f - 0.5) * 2, 0), 1) END AS c FROM c3),
+c5 AS (SELECT *, row_number() OVER (PARTITION BY date, in_universe AND f IS NOT NULL ORDER BY f DESC NULLS LAST, c DESC NULLS LAST, liquidity_stability DESC NULLS LAST, avg_quote_vol_180 DESC NULLS LAST, upper(symbol), symbol) AS k FROM c4)
+SELECT date, symbol, CASE WHEN seen = 1 THEN round(f, 5) END AS final_score, CASE WHEN seen = 1 THEN round(c, 5) END AS confidence, CASE WHEN seen = 1 AND f IS NOT NULL THEN k END AS current_rank,
+  coalesce(seen = 1 AND f IS NOT NULL AND k <= 5, false) AS selected_flag FROM c5 WHERE in_universe""".lstrip()))
+def three_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules and two stand-ins for model scores, one of them missing on every fourth day, and rows outside the prediction windows."""
+    panel = scores.with_regime(scores.rule_scores(P.labelled_panel(spark, sf_dir), TEST))
+    models = {"linear_score_raw": F.col("rs_risk_adj"), "ml_score_raw": F.when(F.dayofmonth("date") % 4 != 0, F.col("momentum_combo")), "prediction_window_count": F.when(F.col("age_days") % 7 < 5, 1).otherwise(0)}
+    out = scores.final_scores(panel.withColumns(models), TEST).where("in_universe")
+    return out.select(*KEY, F.round("final_score", 5).alias("final_score"), F.round("confidence", 5).alias("confidence"), "current_rank", "selected_flag")
+
+
 @query("n7_n8_p8_latest_snapshot", P.sql("rules", "SELECT date, symbol, current_rank, round(final_score, 6) AS final_score, round(avg_quote_vol_180, 4) AS avg_quote_vol_180 FROM scored WHERE in_universe AND date = (SELECT max(date) FROM scored WHERE date <= DATE '1998-06-30')"))
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     snap = scores.snapshot(P.scored_panel(spark, sf_dir), F.lit("1998-06-30").cast("date"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from panelrank.plans import q_merge, q_models, q_panel, q_returns
+from panelrank.plans import q_contract, q_merge, q_models, q_panel, q_returns
 
-MODULES = (q_panel, q_returns, q_merge, q_models)
+MODULES = (q_panel, q_returns, q_merge, q_models, q_contract)
 
 
 def registered() -> tuple[dict, dict]:

@@ -20,6 +20,7 @@ results pass through.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -69,7 +70,7 @@ class Chunk:
         self.last = np.cumsum(lengths)
         self.first = self.last - lengths
         self.doc = np.repeat(np.arange(len(texts)), lengths)
-        self.hash = np.fromiter((_hashes[w] for words in self.words for w in words), np.uint64, int(lengths.sum()))
+        self.hash = np.fromiter(map(_hashes.__getitem__, chain.from_iterable(self.words)), np.uint64, int(lengths.sum()))
 
     def symbols(self, rounds: int = ROUNDS, span: int = SPAN):
         """Names, starts, stops, reach from and to, and documents of the symbols after the rounds."""

@@ -12,7 +12,8 @@ Words are compared in lower case (A-Z only). Null and empty texts give nothing.
 equal items give a leak each under their ids; a null id is an id like others, and rows that share an id are told apart
 by a hash of their text. Masks that no item needs are not looked for. A seed is two numbers, whatever the item's length; the
 benchmark's seeds are broadcast only if they number at most `broadcast_seeds` (some 20 bytes each); else both sides are
-shuffled by hash, and Spark splits hot hashes. Documents bring their words to verification only after a hit.
+shuffled by hash, and Spark splits hot hashes. The same holds for hits and for what they condemn: texts are shuffled only
+when these are many.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ MASKS = ((0, 1, 3, 6, 7),)
 #: The same for items shorter than a window, of 8 words and more, with as many substitutions as a share of 0.8 allows.
 SHORT_MASKS = ((0, 1, 2, 3), (0, 1, 2, 4))
 MIN_WORDS = 8
+#: Rows of a few numbers each that may be broadcast.
+BROADCAST = 200_000
 
 
 def _words(text: Column) -> Column:
@@ -57,7 +60,12 @@ def _found(doc: str, item: str, off: str, window: int, share: float) -> Column:
     return F.transform(F.array(same), good)[0]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, masks=MASKS, window: int = 13, share: float = 0.8, broadcast_seeds: int = 200_000, short_masks=SHORT_MASKS) -> DataFrame:
+def _broadcast(written: DataFrame, most: int) -> DataFrame:
+    """A written table of some numbers a row, to be broadcast if it has `most` rows at most; else Spark shuffles both sides."""
+    return F.broadcast(written) if written.count() <= most else written
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, masks=MASKS, window: int = 13, share: float = 0.8, broadcast_seeds: int = BROADCAST, short_masks=SHORT_MASKS) -> DataFrame:
     """One row per leak: doc_id, version (hash of the text), item_id, start and stop (document words covered, stop excluded)."""
     items = benchmark.select("item_id", _words(F.col("text")).alias("words")).where(F.size("words") >= MIN_WORDS)
     items = stored(items.withColumn("item", F.monotonically_increasing_id()), "items")
@@ -67,15 +75,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, masks=MASKS, window: int =
     short = F.size("words") < window
     item_seeds = _seeds(items.where(~short).select("item", "words"), "words", long_ones).unionByName(_seeds(items.where(short).select("item", "words"), "words", short_ones))
     item_seeds = stored(item_seeds.select("mask", "item", F.col("at").alias("item_at"), "seed"), "seeds")
-    sizes = {r["mask"]: r["n"] for r in item_seeds.groupBy("mask").agg(F.count("*").alias("n")).collect()}  # a row a mask
+    used = {r["mask"] for r in item_seeds.select("mask").distinct().collect()}  # a row a mask
     side = item_seeds.select("item", "item_at", "seed")
-    side = F.broadcast(side) if sum(sizes.values()) <= broadcast_seeds else side
+    side = _broadcast(side, broadcast_seeds)
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("version")).where("text is not null")
-    seeds = _seeds(texts.select("doc_id", "version", _words(F.col("text")).alias("w")), "w", {k: m for k, m in numbered.items() if k in sizes or not k})
+    seeds = _seeds(texts.select("doc_id", "version", _words(F.col("text")).alias("w")), "w", {k: m for k, m in numbered.items() if k in used or not k})
     hits = seeds.join(side, "seed").select("doc_id", "version", "item", (F.col("at") - F.col("item_at")).alias("off")).distinct()
-    hits = hits.withColumnsRenamed({"doc_id": "hit_doc", "version": "hit_version"})
-    words = texts.select("doc_id", "version", _words(F.col("text")).alias("doc"))
-    joined = hits.join(items, "item").join(words, (F.col("version") == F.col("hit_version")) & F.col("doc_id").eqNullSafe(F.col("hit_doc")))
+    hits = stored(hits.withColumnsRenamed({"doc_id": "hit_doc", "version": "hit_version"}), "hits")
+    few = _broadcast(hits, broadcast_seeds)
+    met = texts.join(few, (F.col("version") == F.col("hit_version")) & F.col("doc_id").eqNullSafe(F.col("hit_doc")))
+    joined = met.join(items, "item").select("doc_id", "version", "item_id", "off", "words", _words(F.col("text")).alias("doc"))
     length = F.least(F.size("words"), F.lit(window)).alias("length")
     good = joined.select("doc_id", "version", "item_id", "off", length, _found("doc", "words", "off", window, share).alias("good"))
     return good.where(F.size("good") > 0).select(
@@ -86,6 +95,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, masks=MASKS, window: int =
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of `docs` without a leak, as they were; those with a null or repeated id are decided by id and text."""
     bad = find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias("bad_doc"), F.col("version").alias("bad_version")).distinct()
+    bad = _broadcast(stored(bad, "bad"), options.get("broadcast_seeds", BROADCAST))
     mine = packed(docs, ["doc_id", "text"], version=F.xxhash64("text"))
     left = mine.join(bad, (F.col("version") == F.col("bad_version")) & F.col("doc_id").eqNullSafe(F.col("bad_doc")), "left_anti")
     return unpacked(left, {}, ["doc_id", "text"]).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from panelrank.plans import q_contract, q_merge, q_models, q_panel, q_returns
+from panelrank.plans import q_contract, q_merge, q_models, q_panel, q_returns, q_sources
 
-MODULES = (q_panel, q_returns, q_merge, q_models, q_contract)
+MODULES = (q_panel, q_returns, q_merge, q_models, q_contract, q_sources)
 
 
 def registered() -> tuple[dict, dict]:

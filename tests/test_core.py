@@ -5,10 +5,11 @@ from datetime import date, timedelta
 from itertools import product
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelrank.config import Params, UniverseMode
 from panelrank.functions.windows import rank_pct
-from panelrank.operators import calendar, evaluation, portfolio, scores, universe
+from panelrank.operators import calendar, contract, evaluation, merge, portfolio, scores, universe
 from panelrank.plans import registry
 from tests.helpers import assert_same
 
@@ -104,3 +105,60 @@ def test_entry_runs(spark):
 
     out = __spark_entry__.entry(spark)
     assert out.columns == ["date", "symbol", "place", "rs_combo", "rs_risk_adj", "rank_pct", "gap_to_next"]
+
+
+def test_market_cap_keeps_the_last_row(spark):
+    caps = spark.createDataFrame([("a", 9.0, None, 1), ("a", 1.0, None, 2), ("b", 5.0, 3, 1), ("c", None, 1, 1)], "symbol string, market_cap_usd double, market_cap_rank int, at int")
+    got = {r.symbol: r.market_cap_eligible for r in universe.market_cap_screen(caps, 4.0, order="at").collect()}
+    assert got == {"A": False, "B": True, "C": False}
+    assert {r.symbol for r in universe.market_cap_screen(caps, 4.0).where("market_cap_eligible").collect()} == {"A", "B"}
+
+
+def test_live_candidates_keep_all_that_pass(spark):
+    mode = UniverseMode(10, (1.0, 1.0, 1.0), 0.1, 0.1, 0.0)
+    rows = [(f"S{i:02}", 20 if i < 30 else 9, 100.0 - i, 0.9) for i in range(40)] + [("BM", 1, 0.5, 0.9)]
+    stats = spark.createDataFrame(rows, "symbol string, history_days int, v double, tradable_ratio_180 double").selectExpr("*", "v avg_quote_vol_30", "v avg_quote_vol_90", "v avg_quote_vol_180", "1.0 liquidity_stability", "90 liquid_days_90", "180 liquid_days_180")
+    old = spark.createDataFrame([("S35",), ("ZZ",), ("S03",)], "symbol string")
+    out = universe.live_candidates(stats, Params(benchmark="BM", mode=mode), old, 15, 24).orderBy("place").collect()
+    # 9 days are enough of int(10 * 0.9), so all forty pass, more than the bound on filled places
+    assert [r.symbol for r in out] == ["BM", *(f"S{i:02}" for i in range(40)), "ZZ"]
+    assert (out[0].source, out[1].source, out[-1].source) == ("benchmark", "ranked", "previous")
+    few = universe.live_candidates(stats, Params(benchmark="BM", mode=UniverseMode(1000, (1.0, 1.0, 1.0), 0.1, 0.1, 0.0)), old, 3, 2).orderBy("place").collect()
+    assert [r.symbol for r in few] == ["BM", "S00", "S01", "S03", "S35", "ZZ"]
+
+
+def test_gate_early_exits(spark):
+    days = [(D + timedelta(i), 1.0 + i % 3) for i in range(40)]
+    frame = lambda symbols, days, source: spark.createDataFrame([(d, s, c, c, c, c, 1.0, c, source, "p", True) for s in symbols for d, c in days], "date date, symbol string, open double, high double, low double, close double, volume double, quote_volume double, data_source string, data_provider string, is_external_source boolean")
+    names = ["A", "B", "C", "E"]
+    primary, external, check = frame(names, days[30:], "primary"), frame(["A", "B", "E"], days[:35], "x"), frame(["A", "B", "C"], days, "c")
+    tiers = spark.createDataFrame([("B", "cautious", "thin"), ("C", "core", None), ("E", "core", "new")], "symbol string, tier string, caution string")
+    says = lambda out: {r.symbol: (r.quality_status, r.final_decision, r.check_status, r.notes) for r in out.collect()}
+    held = says(merge.quality(primary, external, check, tiers, ["primary", "x"], merge.Gate(min_rows_added=31), merge_cautious=False))
+    assert held["A"] == ("not_whitelisted", "binance_only", "informational", "")
+    assert held["B"] == ("cautious_holdout", "cautious_holdout", "informational", "thin")
+    assert held["C"] == ("no_external_rows", "rejected", "informational", "")
+    assert held["E"] == ("insufficient_extension", "rejected", "unavailable", "")
+    off = says(merge.quality(primary, external, check, tiers, ["primary", "x"], merge.Gate(enabled=False)))
+    assert off["B"] == ("merged", "approved_cautious", "informational", "thin") and off["E"] == ("merged", "approved_core", "informational", "new")
+
+
+def test_ranks_are_given_before_the_mask(spark):
+    rows = [(D, s, True, f, 0.5, 0.5, 1.0, n) for s, f, n in (("A", 0.9, 0), ("B", 0.8, 2), ("C", 0.7, 1), ("E", 0.6, None))]
+    panel = spark.createDataFrame(rows, "date date, symbol string, in_universe boolean, final_score double, confidence double, liquidity_stability double, avg_quote_vol_180 double, prediction_window_count int")
+    got = {r.symbol: (r.current_rank, r.final_score, r.selected_flag) for r in scores.ranked(panel, Params(pool_size=2)).collect()}
+    assert got == {"A": (None, None, False), "B": (2, 0.8, True), "C": (3, 0.7, False), "E": (None, None, False)}
+
+
+def test_contract_of_a_clean_and_a_broken_release(spark):
+    ranks = [(r, "2024-01-31", s, str(i + 1), "true") for r in ("ok", "bad") for i, s in enumerate(("AUSDT", "BUSDT"))]
+    ranking = spark.createDataFrame(ranks, "release string, as_of_date string, symbol string, current_rank string, selected_flag string")
+    entries = {"AUSDT": "A", "BUSDT": "B"}
+    row = lambda name, symbols, version: (name, "2024-01-31", ["AUSDT", "BUSDT", "CUSDT"], *("2024-01-31", version, "m", "2", "p"), symbols, entries, *("2024-01-31", "2024-01-31-m", "m", "2", "p"), entries, entries)
+    fields = ["as_of_date string", "version string", "mode string", "pool_size string", "source_project string"]
+    schema = ", ".join(["release string", "universe_as_of_date string", "universe_symbols array<string>", *fields, "symbols array<string>", "symbol_map map<string,string>", *(f"legacy_{f}" for f in fields), "legacy_symbols map<string,string>", "legacy_symbol_map map<string,string>"])
+    releases = spark.createDataFrame([row("ok", [" ausdt", "BUSDT"], "2024-01-31-m"), row("bad", ["BUSDT", "AUSDT"], None)], schema)
+    out = contract.validate(releases, ranking, F.lit(D + timedelta(31)), 0)
+    assert {(r.release, r.check) for r in out.collect()} == {("ok", "stale"), ("bad", "stale"), ("bad", "missing_version"), ("bad", "empty_version"), ("bad", "pool_not_in_rank_order")}
+    status = {r.release: (r.status, r.preview) for r in contract.status(releases, ranking, out).collect()}
+    assert status == {"ok": ("warning", "AUSDT|BUSDT"), "bad": ("error", "AUSDT|BUSDT")}

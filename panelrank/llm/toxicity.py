@@ -257,11 +257,12 @@ def _gram_counts(words: DataFrame) -> DataFrame:
     return grams.groupBy("k", "key").agg(F.first("history").alias("history"), F.sum("n0").cast("int").alias("n0"), F.sum("n1").cast("int").alias("n1"))
 
 
-def _tables(grams: pd.DataFrame) -> list[Table]:
+def _tables(of_order) -> list[Table]:
+    """The tables by order from 0 on; `of_order` gives the n-grams of an order as columns key, history, n0, n1."""
     start = _grams([""])[2][0][0]
     tables = [Table(np.zeros(1, np.uint64), np.zeros((2, 1), np.int32))]
     for k in range(1, ORDER + 1):
-        part = grams[grams["k"] == k]
+        part = of_order(k)
         key, history = (part[c].to_numpy().view(np.uint64) for c in ("key", "history"))
         count = part[["n0", "n1"]].to_numpy(np.int32).T
         if k == 1:  # the start mark is a history only
@@ -288,12 +289,13 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, max
     if len(sizes) == 2:
         sample = stored(_sample(docs, admitted, max_docs), "sample")
         words = stored(_word_counts(sample.where("fold < 3")), "words")
-        grams = _gram_counts(words).toPandas()
-        if len(grams):
-            model.tables = _tables(grams)
+        grams = stored(_gram_counts(words), "grams")
+        if grams.head(1):
+            # an order at a time: the driver holds little besides the model
+            model.tables = _tables(lambda k: grams.where(F.col("k") == k).select("key", "history", "n0", "n1").toPandas())
             _calibrate(model, sample.where("fold = 3"), share)
-        discard(spark, sample)
-        discard(spark, words)
+        for done in (sample, words, grams):
+            discard(spark, done)
     discard(spark, admitted)
     return model
 
@@ -308,7 +310,7 @@ def _calibrate(model: Model, held: DataFrame, share: float) -> None:
             yield pd.DataFrame({"toxic": batch["toxic"], "x": [x for texts in _batches(list(batch["text"])) for x in scorer.features(texts)]})
 
     rows = held.select("text", "toxic").mapInPandas(run, "toxic int, x array<double>").toPandas()  # a quarter of the bounded sample
-    shared.unpersist()
+    shared.destroy()
     y = rows["toxic"].to_numpy(float)
     if not 0 < y.sum() < len(y):
         return

@@ -222,7 +222,8 @@ def test_toxicity_model_by_brute_force():
         before = keys[k - 2][at - 1].view(np.int64) if k > 1 else 0
         n = np.array([counts[words[i]] for i in number[at]])
         frames.append(pd.DataFrame({"k": k, "key": keys[k - 1][at].view(np.int64), "history": before, "n0": n[:, 0], "n1": n[:, 1]}).groupby("key", as_index=False).agg({"k": "first", "history": "first", "n0": "sum", "n1": "sum"}))
-    model = toxicity.Model(toxicity._tables(pd.concat(frames)), np.zeros(6), np.ones(6), np.zeros(6), 0.0)
+    every = pd.concat(frames)
+    model = toxicity.Model(toxicity._tables(lambda k: every[every["k"] == k]), np.zeros(6), np.ones(6), np.zeros(6), 0.0)
 
     grams = Counter()
     for w, (a, b) in counts.items():

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelrank import fixtures
 from panelrank.config import TEST
 from panelrank.functions.windows import by_symbol
-from panelrank.operators import calendar, features, history, walkforward
+from panelrank.operators import calendar, features, history, models, walkforward
 from panelrank.plans.q_panel import WINDOWS_SQL
 
 QUERIES: dict = {}
@@ -67,7 +67,7 @@ def gram(spark: SparkSession, sf_dir: str) -> DataFrame:
 @add("m4_m9_a5_ridge_walkforward")
 def ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Out-of-sample linear scores: the mean over the windows that test a date."""
-    made = walkforward.imputed(rows(spark, sf_dir), FEATURES)
+    made = walkforward.imputed(walkforward.purged_by_label(rows(spark, sf_dir)), FEATURES)
     tested = walkforward.predict(made, walkforward.ridge(made, FEATURES, "target"), FEATURES, "linear_score_raw")
     return walkforward.aggregate_predictions(tested, ["linear_score_raw"])
 
@@ -93,15 +93,16 @@ def release_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.release_index(ranked, 5, "core").withColumns({c: F.round(c, 6) for c in ("stability", "churn")})
 
 
-_EVENTS = "e AS (SELECT event_type AS entity, ts, CASE WHEN value > 50 THEN 'failed' ELSE 'ok' END AS outcome FROM events WHERE day(ts) <> 7)"
+_EVENTS = "e AS (SELECT event_type || '-' || hour(ts) AS entity, ts, CASE WHEN value > 50 THEN 'failed' ELSE 'ok' END AS outcome FROM events)"
 _SLOTS = "WITH " + _EVENTS + """, s AS (SELECT *, ts::DATE AS slot FROM e), sp AS (SELECT entity, unnest(generate_series((SELECT min(slot) FROM s)::TIMESTAMP, (SELECT max(slot) FROM s)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS slot FROM (SELECT DISTINCT entity FROM s)),
 n AS (SELECT entity, slot, outcome FROM (SELECT *, row_number() OVER (PARTITION BY entity, slot ORDER BY ts DESC, outcome DESC) AS r FROM s) WHERE r = 1),
 l AS (SELECT sp.entity, sp.slot, coalesce(outcome, 'missing') AS outcome FROM sp LEFT JOIN n ON n.entity = sp.entity AND n.slot = sp.slot)"""
 
 
 def _slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = fixtures.table(spark, sf_dir, "events").where(F.dayofmonth("ts") != 7)
-    return history.liveness(events.select(F.col("event_type").alias("entity"), "ts", F.when(F.col("value") > 50, "failed").otherwise("ok").alias("outcome")))
+    """An entity is an event type at an hour of the day: on some days it has no event."""
+    events = fixtures.table(spark, sf_dir, "events")
+    return history.liveness(events.select(F.concat_ws("-", "event_type", F.hour("ts")).alias("entity"), "ts", F.when(F.col("value") > 50, "failed").otherwise("ok").alias("outcome")))
 
 
 @add("h9_liveness", _SLOTS + " SELECT * FROM l")
@@ -113,3 +114,14 @@ def liveness(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT entity, count(*) FILTER (last IS NULL OR slot > last) AS streak, min(CASE WHEN last IS NULL OR slot > last THEN slot END) AS outage_start, count(*) FILTER (last IS NULL OR slot > last) >= 2 AS alarm FROM b GROUP BY entity""")
 def streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.trailing_streaks(_slots(spark, sf_dir), "failed", 2)
+
+
+@add("m2_m7_m10_m11_j5_live_fit")
+def live_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ridge and a forest fitted on the window that a live run would take, and the scores of the last date."""
+    made = rows(spark, sf_dir).select("date", "symbol", *FEATURES, "target").distinct().withColumn("in_universe", F.col("roc60").isNotNull())
+    as_of = models.scoring_date(made)
+    train, score = models.live_window(made, as_of, TEST.train_days, 30)
+    scored = models.fit_predict(train, score, FEATURES, "target", tree_kind="forest", numTrees=20)
+    joined = models.merge_predictions(score, scored.withColumn("prediction_window_count", F.lit(1).cast("long")))
+    return joined.select("date", "symbol", "linear_score_raw", "ml_score_raw", "prediction_window_count")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelrank import fixtures
 from panelrank.config import TEST
 from panelrank.functions.tables import shared_dir
+from panelrank.operators.calendar import calendar, schedule
 from panelrank.plans import panel as P
 from panelrank.sources import landed, sinks
 
@@ -57,7 +58,7 @@ def exchange_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 KLINES_SQL = B + f""",
-k AS (SELECT symbol, date, close, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS i, epoch_ms(date::TIMESTAMP) AS o FROM bars WHERE date >= DATE '1998-01-01'),
+k AS (SELECT symbol, date, close, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS i, epoch_ms(date::TIMESTAMP) AS o FROM bars),
 kb AS (SELECT *, i // 50 AS page, i % 50 AS pos, CASE WHEN i % 97 = 96 THEN o + 1 ELSE o END AS opened FROM k),
 re AS (SELECT symbol, page, max(o) + 3 * {DAY} // 2 AS base, max(i) AS top FROM kb GROUP BY symbol, page)"""
 
@@ -66,7 +67,7 @@ def _kline_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of 50 bars; every 97th opens late; the last of a page of even number is not closed when received."""
     from pyspark.sql import Window
 
-    bars = fixtures.bars(spark, sf_dir).where("date >= '1998-01-01'")
+    bars = fixtures.bars(spark, sf_dir)
     opened = F.unix_date("date").cast("long") * DAY
     rows = bars.select("symbol", "close", opened.alias("o"), (F.row_number().over(Window.partitionBy("symbol").orderBy("date")) - 1).alias("i"))
     start = F.when(F.col("i") % 97 == 96, F.col("o") + 1).otherwise(F.col("o"))
@@ -91,25 +92,25 @@ b2 AS (SELECT *, base - CASE WHEN page % 2 = 0 THEN {DAY} ELSE 0 END AS received
 tail AS (SELECT symbol, max(date) AS date FROM kb GROUP BY symbol),
 good AS (SELECT symbol, date FROM b2 WHERE opened = o AND o + {DAY} - 1 < received)
 SELECT symbol, 'invalid_boundaries' AS problem, page::BIGINT AS at FROM b2 WHERE opened <> o
-UNION ALL SELECT symbol, 'out_of_order', page FROM (SELECT *, max(o) OVER (PARTITION BY symbol, page) AS mx FROM kb) WHERE page = 1 AND opened > mx - {DAY}
+UNION ALL SELECT symbol, 'out_of_order', page FROM (SELECT *, max(o) OVER (PARTITION BY symbol, page) AS mx FROM kb) WHERE opened > mx - CASE WHEN page = 1 THEN {DAY} ELSE 0 END
 UNION ALL SELECT symbol, 'unverified_tail', year(date) FROM tail ANTI JOIN good USING (symbol, date)""")
 def bar_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _kline_pages(spark, sf_dir)
     bars, wrong = landed.klines(pages)
-    stored = fixtures.bars(spark, sf_dir).where("date >= '1998-01-01'").select("symbol", "date", *(F.lit(None).cast("long").alias(c) for c in ("open_time", "close_time", "received_at")))
+    stored = fixtures.bars(spark, sf_dir).select("symbol", "date", *(F.lit(None).cast("long").alias(c) for c in ("open_time", "close_time", "received_at")))
     tails = landed.unverified_tails(stored, bars).select("symbol", F.lit("unverified_tail").alias("problem"), F.year("date").cast("long").alias("at"))
     order = landed.page_violations(pages).select("symbol", F.lit("out_of_order").alias("problem"), F.col("page").cast("long").alias("at"))
     return wrong.select("symbol", "problem", F.col("page").cast("long").alias("at")).unionByName(order).unionByName(tails)
 
 
-@query("s12_s13_history_payloads", B + """, h AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) AS i FROM bars WHERE date >= DATE '1997-06-01')
-SELECT 'days' AS kind, symbol, date, round(close, 6) AS close, round(quote_volume, 2) AS quote_volume FROM h WHERE i % 7 <> 0
+@query("s12_s13_history_payloads", B + """, h AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) AS i FROM bars)
+SELECT 'days' AS kind, symbol, date, round(close, 6) AS close, round(quote_volume, 2) AS quote_volume FROM h WHERE i % 7 <> 0 AND date >= DATE '1995-06-01'
 UNION ALL SELECT 'chart', symbol, date, round(close, 6), round(close * volume, 2) FROM h WHERE i % 5 <> 0""")
 def history_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both payloads hold a day twice (the second counts) and days without prices."""
     from pyspark.sql import Window
 
-    rows = fixtures.bars(spark, sf_dir).where("date >= '1997-06-01'").withColumn("i", F.row_number().over(Window.partitionBy("symbol").orderBy("date"))).withColumn("t", F.unix_date("date").cast("long") * 86400)
+    rows = fixtures.bars(spark, sf_dir).withColumn("i", F.row_number().over(Window.partitionBy("symbol").orderBy("date"))).withColumn("t", F.unix_date("date").cast("long") * 86400)
     price = lambda c: F.when(F.col("i") % 7 != 0, F.col(c)).otherwise(0.0).alias(c)
     day = F.struct(F.col("t").alias("time"), *(price(c) for c in ("open", "high", "low", "close")), F.col("volume").alias("volumefrom"), F.col("quote_volume").alias("volumeto"))
     stale = F.struct(F.col("t").alias("time"), *(F.lit(9.0).alias(c) for c in ("open", "high", "low", "close")), F.lit(0.0).alias("volumefrom"), F.lit(0.0).alias("volumeto"))
@@ -119,7 +120,7 @@ def history_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     quote = F.struct(*(F.col(f"x.{c}").alias(c) for c in ("open", "high", "low", "close", "volume")))
     result = F.struct(F.col("x.t").alias("timestamp"), F.struct(F.array(quote).alias("quote")).alias("indicators"))
     answers = each.select("symbol", F.to_json(F.struct(F.struct(F.array(result).alias("result")).alias("chart")), {"ignoreNullFields": "false"}).alias("payload"))
-    out = landed.history_days(days, "1997-06-01").withColumn("kind", F.lit("days")).unionByName(landed.chart(answers).withColumn("kind", F.lit("chart")))
+    out = landed.history_days(days, "1995-06-01").withColumn("kind", F.lit("days")).unionByName(landed.chart(answers).withColumn("kind", F.lit("chart")))
     return out.select("kind", "symbol", "date", F.round("close", 6).alias("close"), F.round("quote_volume", 2).alias("quote_volume"))
 
 
@@ -175,10 +176,11 @@ def exported_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("k3_k4_pool_releases", P.sql("rules", """
-, t AS (SELECT * FROM scored WHERE in_universe AND current_rank <= 5 AND symbol <> 'Brand#24' AND day(date) = 15)
+, t AS (SELECT * FROM scored WHERE in_universe AND current_rank <= 5 AND date IN (SELECT date FROM s0))
 SELECT date::VARCHAR AS as_of_date, date::VARCHAR || '-demo' AS version, count(*)::INT AS pool_size, string_agg(symbol, '|' ORDER BY current_rank) AS symbols, count(*)::INT AS n_mapped, count(regime)::INT AS n_meta FROM t GROUP BY date""".lstrip()))
 def pool_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    panel = P.scored_panel(spark, sf_dir).where((F.dayofmonth("date") == 15) & (F.col("symbol") != "Brand#24"))
+    panel = P.scored_panel(spark, sf_dir)
+    panel = panel.join(schedule(calendar(panel), "monthly").select("date"), "date", "left_semi")
     folder = _folder(spark, "history")
     sinks.write_releases(sinks.pool_payload(panel, fixtures.metadata(spark, sf_dir), TEST.pool_size, "demo", "demo", ("regime", "confidence")), folder)
     back = spark.read.schema("as_of_date string, mode string, pool_size int, symbols array<string>, symbol_map map<string,string>, selection_meta map<string,string>, version string").json(f"{folder}/releases")

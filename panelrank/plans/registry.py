@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from panelrank.plans import q_contract, q_merge, q_models, q_panel, q_returns, q_sources
+from panelrank.plans import q_contract, q_merge, q_models, q_panel, q_returns, q_review, q_sources
 
-MODULES = (q_panel, q_returns, q_merge, q_models, q_contract, q_sources)
+MODULES = (q_panel, q_returns, q_merge, q_models, q_contract, q_sources, q_review)
 
 
 def registered() -> tuple[dict, dict]:

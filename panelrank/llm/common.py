@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelrank.functions.tables import discard, stored
+
+__all__ = ["discard", "lower_ascii", "packed", "stored", "table", "unpacked", "words_col"]
+
 #: Word separators of every contract: space and the control characters 9 to 13.
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
 
@@ -24,32 +26,6 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`. Where it is unset, a local session gets a new one."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where and not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    if not where:
-        where = getattr(spark, "_panelrank_scratch", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark._panelrank_scratch = where
-    return where.rstrip("/")
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Writes `df` to the shared folder and reads it back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(spark: SparkSession, df: DataFrame) -> None:
-    """Deletes the files of a table that `stored` made, once nothing reads it any more."""
-    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 

@@ -139,8 +139,12 @@ def final_scores(panel: DataFrame, params: Params) -> DataFrame:
 
 
 def ranking_order() -> list[Column]:
-    """Score, confidence, stability and volume down, nulls last, then the symbol in upper case."""
-    return [*(F.desc_nulls_last(c) for c in ("final_score", "confidence", "liquidity_stability", "avg_quote_vol_180")), F.upper("symbol"), F.col("symbol")]
+    """Score, confidence, stability and volume down, nulls last, then the symbol in upper case.
+
+    Scores are compared to 12 digits, so that the order of additions decides no tie.
+    """
+    scores = [F.round(c, 12).desc_nulls_last() for c in ("final_score", "confidence")]
+    return [*scores, *(F.desc_nulls_last(c) for c in ("liquidity_stability", "avg_quote_vol_180")), F.upper("symbol"), F.col("symbol")]
 
 
 def ranked(panel: DataFrame, params: Params) -> DataFrame:

@@ -139,7 +139,7 @@ e3 AS (SELECT e2.*, regime, regime_confidence, CASE WHEN in_universe THEN rule_s
 e4 AS (SELECT *, {rank_sql('raw')} AS rule_score FROM e3),
 e5 AS (SELECT *, rule_score AS final_score, CASE WHEN rule_score IS NOT NULL THEN least(greatest(0.4::DOUBLE * abs(rule_score - 0.5::DOUBLE) * 2, 0), 1) END AS confidence FROM e4),
 scored AS (SELECT *, CASE WHEN in_universe AND final_score IS NOT NULL THEN row_number() OVER (PARTITION BY date, in_universe AND final_score IS NOT NULL
-  ORDER BY final_score DESC NULLS LAST, confidence DESC NULLS LAST, liquidity_stability DESC NULLS LAST, avg_quote_vol_180 DESC NULLS LAST, upper(symbol), symbol) END AS current_rank FROM e5)""".strip()
+  ORDER BY round(final_score, 12) DESC NULLS LAST, round(confidence, 12) DESC NULLS LAST, liquidity_stability DESC NULLS LAST, avg_quote_vol_180 DESC NULLS LAST, upper(symbol), symbol) END AS current_rank FROM e5)""".strip()
 
 
 def sql(upto: str, select: str) -> str:

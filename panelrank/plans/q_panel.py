@@ -253,7 +253,7 @@ c2 AS (SELECT *, CASE regime WHEN 'risk_off' THEN 0.5 WHEN 'broad_alt_strength'
 c3 AS (SELECT *, (coalesce(r * wr, 0) + coalesce(l * wl, 0) + coalesce(m * wm, 0)) / nullif(CASE WHEN r IS NULL THEN 0 ELSE wr END + CASE WHEN l IS NULL THEN 0 ELSE wl END + CASE WHEN m IS NULL THEN 0 ELSE wm END, 0) AS f,
   1 - 2 * least(greatest(coalesce((SELECT stddev_samp(x) FROM unnest([r, l, m]) AS t(x)), 0.5), 0), 0.5) AS agree FROM c2),
 c4 AS (SELECT *, CASE WHEN f IS NOT NULL THEN least(greatest(0.6::DOUBLE * agree + 0.4::DOUBLE * abs(f - 0.5) * 2, 0), 1) END AS c FROM c3),
-c5 AS (SELECT *, row_number() OVER (PARTITION BY date, in_universe AND f IS NOT NULL ORDER BY f DESC NULLS LAST, c DESC NULLS LAST, liquidity_stability DESC NULLS LAST, avg_quote_vol_180 DESC NULLS LAST, upper(symbol), symbol) AS k FROM c4)
+c5 AS (SELECT *, row_number() OVER (PARTITION BY date, in_universe AND f IS NOT NULL ORDER BY round(f, 12) DESC NULLS LAST, round(c, 12) DESC NULLS LAST, liquidity_stability DESC NULLS LAST, avg_quote_vol_180 DESC NULLS LAST, upper(symbol), symbol) AS k FROM c4)
 SELECT date, symbol, CASE WHEN seen = 1 THEN round(f, 5) END AS final_score, CASE WHEN seen = 1 THEN round(c, 5) END AS confidence, CASE WHEN seen = 1 AND f IS NOT NULL THEN k END AS current_rank,
   coalesce(seen = 1 AND f IS NOT NULL AND k <= 5, false) AS selected_flag FROM c5 WHERE in_universe""".lstrip()))
 def three_components(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -216,7 +216,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, removed: DataFrame |
     `removed`: fingerprints as `repeats` gives them; found here by default.
     """
     found = repeats(docs, window) if removed is None else removed
-    lists = found.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2")).alias("x"))
+    # where rows share an id a fingerprint may come twice; that changes nothing
+    lists = found.groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2")).alias("x"))
     lists = lists.select(F.col("doc_id").alias("of"), F.col("x.h1").alias("h1"), F.col("x.h2").alias("h2"))
     joined = packed(docs, ["doc_id", "text"]).join(lists, F.col("doc_id") == F.col("of"), "left").drop("of")
     none = F.array()

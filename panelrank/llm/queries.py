@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelrank.llm import bpe, chat, decontaminate, line_dedup, lm_score, media, ngram_join, substring_dedup, toxicity, url_filter
+from panelrank.llm import bpe, chat, collocations, conversation_repair, decontaminate, line_dedup, lm_score, media, ngram_join, substring_dedup, toxicity, url_filter
 from panelrank.llm.common import table
 
 
@@ -188,5 +188,81 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out(7), F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_substring_dedup, op4_chat_formatting, op5_url_filters, op6_media_columns, op7_byte_bpe, op8_ngram_jaccard, op9_toxicity, op10_lm_scoring)}
-ORACLES = {"op3_substring_dedup": OP3_SQL, "op1_line_dedup": OP1_SQL, "op2_decontamination": OP2_SQL, "op4_chat_formatting": OP4_SQL, "op5_url_filters": OP5_SQL}
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+OP11_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+o AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: ws[i : i + k - 1])) AS g FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k),
+f AS MATERIALIZED (SELECT lang, k, g, count(*) AS n FROM o GROUP BY lang, k, g HAVING count(*) >= 30),
+t AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT lang, k, g, n AS a, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+s AS (SELECT c.lang, c.k, c.g, a, cut, x.n AS l, y.n AS r, (2000000::HUGEINT * a) // (x.n + y.n) AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.k = cut AND x.g = c.g[1 : cut] JOIN f y ON y.lang = c.lang AND y.k = c.k - cut AND y.g = c.g[cut + 1 : c.k]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+i AS (SELECT lang, n, unnest(flatten(list_transform(range(2, k), lambda m: list_transform(range(1, k - m + 2), lambda j: g[j : j + m - 1])))) AS g FROM f WHERE k > 2),
+m AS (SELECT lang, g, max(n) AS longest FROM i GROUP BY lang, g),
+d AS (SELECT b.*, array_to_string(b.g, ' ') AS phrase FROM b LEFT JOIN m ON m.lang = b.lang AND m.g = b.g WHERE NOT coalesce(100 * longest::HUGEINT >= 80 * a::HUGEINT, false)),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM d)
+SELECT z.lang, rank, phrase, a, l, z.r, t.n, score::BIGINT AS score FROM z JOIN t USING (lang) WHERE rank <= 2000"""
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation of the table, damaged by rule, and its repair."""
+    turns = table(spark, sf_dir, "conversations")
+    found = conversation_repair.report(conversation_repair.repair_chunks(conversation_repair.damaged(turns)))
+    every = turns.select(F.col("conv_id").alias("of")).distinct()
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    rows = every.join(found, F.col("of").eqNullSafe(F.col("conv_id")), "left")
+    return rows.select(F.col("of").alias("conv_id"), *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE t AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+c AS (SELECT *, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(k, ''), lambda x: [ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, b: xor(xor(a, b) >> 1, (xor(a, b) & 1) * 3988292384)), 4294967295) % 20 AS pick FROM t),
+d AS (SELECT conv_id, turn, CASE WHEN pick = 4 THEN 'user' ELSE role END AS role,
+    CASE pick WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE pick WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM c),
+o AS (SELECT *, coalesce(conv_id::VARCHAR, '') || '|' || (conv_id IS NULL) AS g, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    count(*) OVER (PARTITION BY conv_id) AS n, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+    CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE '-' END AS ini, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last FROM d),
+f AS MATERIALIZED (SELECT *, CASE WHEN last = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini NOT IN ('su', 'ua', 'au') AS wrong FROM o),
+b(g, i, b0, b1, b2, b3) AS (
+  SELECT g, n + 1, 0, 4, 2, 0 FROM f WHERE i = n
+  UNION ALL
+  SELECT g, i, least(x0, 2 + least(x2, x3 + 2)), least(x1, 2 + least(x2, x3 + 2)), least(x2, x3 + 2), least(x3, x2 + 2) FROM (
+    SELECT f.g, f.i, f.fault IN ('blank', 'duplicate') AS gone, (f.fault = 'truncated')::INT AS late,
+      CASE WHEN gone THEN b0 + 3 ELSE least(b0 + 3, b2 + 2 + late, CASE ini WHEN 's' THEN b1 + late WHEN 'u' THEN b2 + late ELSE 999999999 END) END AS x0,
+      CASE WHEN gone THEN b1 + 3 ELSE least(b1 + 3, b2 + 2 + late, CASE ini WHEN 'u' THEN b2 + late ELSE 999999999 END) END AS x1,
+      CASE WHEN gone THEN b2 + 3 ELSE least(b2 + 3, b3 + 2 + late, CASE ini WHEN 'a' THEN b3 + late ELSE 999999999 END) END AS x2,
+      CASE WHEN gone THEN b3 + 3 ELSE least(b3 + 3, b2 + 2 + late, CASE ini WHEN 'u' THEN b2 + late ELSE 999999999 END) END AS x3
+    FROM b JOIN f ON f.g = b.g AND f.i = b.i - 1)),
+v AS MATERIALIZED (SELECT b.g, b.i, [b0, b1, b2, b3] AS v, ini, role, text, n, coalesce(fault IN ('blank', 'duplicate'), true) AS gone, coalesce((fault = 'truncated')::INT, 0) AS late
+  FROM b LEFT JOIN f ON f.g = b.g AND f.i = b.i),
+w(g, i, s, audit, made) AS (
+  SELECT g, 1::BIGINT, 0, '', []::VARCHAR[] FROM f WHERE i = 1
+  UNION ALL
+  SELECT g, CASE WHEN edit = 'I' THEN i ELSE i + 1 END, to_s, audit || edit,
+    CASE edit WHEN 'D' THEN made WHEN 'K' THEN list_append(made, role || ':' || text) ELSE list_append(made, CASE to_s WHEN 2 THEN 'user:' ELSE 'assistant:' END || CASE edit WHEN 'R' THEN text ELSE '' END) END
+  FROM (SELECT w.*, v.role, v.text, CASE s WHEN 2 THEN 3 ELSE 2 END AS nx,
+      CASE v.ini WHEN 's' THEN CASE s WHEN 0 THEN 1 END WHEN 'u' THEN CASE WHEN s <> 2 THEN 2 END WHEN 'a' THEN CASE s WHEN 2 THEN 3 END END AS kept,
+      CASE WHEN z.v IS NOT NULL AND v.v[s + 1] = z.v[s + 1] + 3 THEN 'D' WHEN v.v[s + 1] = v.v[nx + 1] + 2 THEN 'I'
+        WHEN kept IS NOT NULL AND NOT v.gone AND v.v[s + 1] = z.v[kept + 1] + v.late THEN 'K' ELSE 'R' END AS edit,
+      CASE edit WHEN 'D' THEN s WHEN 'K' THEN kept ELSE nx END AS to_s
+    FROM w JOIN v ON v.g = w.g AND v.i = w.i LEFT JOIN v z ON z.g = w.g AND z.i = w.i + 1 WHERE z.v IS NOT NULL OR w.s IN (1, 2))),
+e AS (SELECT w.g, arg_max(audit, (w.i, length(audit))) AS audit, arg_max(made, (w.i, length(audit))) AS made FROM w GROUP BY w.g),
+a AS (SELECT g, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (wrong) AS illegal FROM f GROUP BY g),
+q AS (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, '') || '|' || (conv_id IS NULL) AS g FROM conversations)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(v.v[1], 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(made, chr(10)), '')) AS repaired_sha256
+FROM q LEFT JOIN a USING (g) LEFT JOIN e USING (g) LEFT JOIN v ON v.g = q.g AND v.i = 1"""
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_substring_dedup, op4_chat_formatting, op5_url_filters, op6_media_columns, op7_byte_bpe, op8_ngram_jaccard, op9_toxicity, op10_lm_scoring, op11_collocations, op13_conversation_repair)}
+ORACLES = {"op3_substring_dedup": OP3_SQL, "op1_line_dedup": OP1_SQL, "op2_decontamination": OP2_SQL, "op4_chat_formatting": OP4_SQL, "op5_url_filters": OP5_SQL, "op11_collocations": OP11_SQL, "op13_conversation_repair": OP13_SQL}

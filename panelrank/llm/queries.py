@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelrank.llm import bpe, chat, collocations, conversation_repair, decontaminate, line_dedup, lm_score, media, ngram_join, substring_dedup, toxicity, url_filter
+from panelrank.llm import bpe, chat, collocations, conversation_repair, decontaminate, html_extract, line_dedup, lm_score, media, ngram_join, substring_dedup, toxicity, url_filter
 from panelrank.llm.common import table
 
 
@@ -210,6 +210,11 @@ z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC
 SELECT z.lang, rank, phrase, a, l, z.r, t.n, score::BIGINT AS score FROM z JOIN t USING (lang) WHERE rank <= 2000"""
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation of the table, damaged by rule, and its repair."""
     turns = table(spark, sf_dir, "conversations")
@@ -264,5 +269,5 @@ SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS
 FROM q LEFT JOIN a USING (g) LEFT JOIN e USING (g) LEFT JOIN v ON v.g = q.g AND v.i = 1"""
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_substring_dedup, op4_chat_formatting, op5_url_filters, op6_media_columns, op7_byte_bpe, op8_ngram_jaccard, op9_toxicity, op10_lm_scoring, op11_collocations, op13_conversation_repair)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_substring_dedup, op4_chat_formatting, op5_url_filters, op6_media_columns, op7_byte_bpe, op8_ngram_jaccard, op9_toxicity, op10_lm_scoring, op11_collocations, op12_html_extraction, op13_conversation_repair)}
 ORACLES = {"op3_substring_dedup": OP3_SQL, "op1_line_dedup": OP1_SQL, "op2_decontamination": OP2_SQL, "op4_chat_formatting": OP4_SQL, "op5_url_filters": OP5_SQL, "op11_collocations": OP11_SQL, "op13_conversation_repair": OP13_SQL}

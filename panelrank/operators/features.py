@@ -15,6 +15,14 @@ from panelrank.functions.nulls import finite, safe_divide, true
 from panelrank.functions.windows import by_symbol, last_rows, rolling, rolling_pair
 
 YEAR = math.sqrt(DAYS_PER_YEAR)
+#: What models are trained on, in order.
+MODEL_FEATURES = (
+    "roc20", "roc60", "roc120", "rs20", "rs60", "rs120", "rs_combo", "rs_risk_adj", "price_vs_sma20", "price_vs_sma60", "price_vs_sma120", "price_vs_sma200",
+    "trend_persist_90", "ma200_slope", "dist_to_90d_high", "dist_to_180d_high", "breakout_proximity", "vol20", "vol60", "momentum_combo", "risk_adjusted_momentum",
+    "downside_vol60", "atr_ratio", "drawdown180", "ulcer50", "drawdown_severity", "quote_volume", "avg_quote_vol_30", "avg_quote_vol_90", "avg_quote_vol_180",
+    "liquidity_stability", "age_days", "tradable_ratio_180", "beta60", "corr60", "liquidity_acceleration", "benchmark_above_sma200", "benchmark_ma200_slope", "benchmark_z120",
+    "breadth_above_sma60", "breadth_above_sma200", "momentum_dispersion", "rs_dispersion", "single_leader_burst",
+)
 #: Fixed values of the power-law price of the reference asset: 10 ** (SLOPE * log10(days) + LEVEL), days since BIRTH.
 BIRTH, SLOPE, LEVEL = "2009-01-03", 5.84, -17.01
 
@@ -124,7 +132,7 @@ def symbol_features(history: DataFrame) -> DataFrame:
 def relative(panel: DataFrame, params: Params) -> DataFrame:
     """Join the benchmark's columns by date and compare. The benchmark has one row a day: broadcast by AQE's size check."""
     mine = F.col("symbol") == params.benchmark
-    wanted = {"roc20": "b_roc20", "roc60": "b_roc60", "roc120": "b_roc120", "ret1": "b_ret1", "close": "b_close", "sma200": "b_sma200", "zscore120": "benchmark_z120"}
+    wanted = {"roc20": "b_roc20", "roc60": "b_roc60", "roc120": "b_roc120", "ret1": "b_ret1", "close": "b_close", "sma200": "b_sma200", "zscore120": "benchmark_z120", "ma200_slope": "benchmark_ma200_slope"}
     side = panel.where(mine).select(F.col("date").alias("b_date"), *(F.col(a).alias(b) for a, b in wanted.items()))
     joined = panel.join(side, F.col("date") == F.col("b_date"), "left").drop("b_date")
     rs = joined.withColumns(

@@ -26,24 +26,28 @@ def date_context(panel: DataFrame, params: Params) -> DataFrame:
     return agg.select("date", "n_members", *(F.when(F.col("n_members") >= params.breadth_min_names, F.col(c)).alias(c) for c in CONTEXT))
 
 
-def with_context(panel: DataFrame, params: Params) -> DataFrame:
-    """The context in every row of its date, by aggregates over the date: no second pass over the panel."""
-    w = Window.partitionBy("date")
+def date_facts(panel: DataFrame, params: Params) -> DataFrame:
+    """A1 to A3 and the benchmark's state, one row per date of the panel, by one aggregation; n_members is null without members."""
     mine = lambda c: F.when(F.col("in_universe"), c)
-    above = lambda c: F.avg(mine(F.when(true(F.col(c) > 0), 1.0).otherwise(0.0))).over(w)
-    out = panel.withColumns(
-        {
-            "n_members": F.nullif(F.count(mine(F.lit(1))).over(w), F.lit(0)),
-            "breadth_above_sma60": above("price_vs_sma60"),
-            "breadth_above_sma200": above("price_vs_sma200"),
-            "momentum_dispersion": F.stddev_samp(mine(F.col("momentum_combo"))).over(w),
-            "rs_dispersion": F.stddev_samp(mine(F.col("rs_combo"))).over(w),
-            "single_leader_burst": F.max(mine(F.col("momentum_combo"))).over(w) - F.median(mine(F.col("momentum_combo"))).over(w),
-        }
-    )
+    above = lambda c: F.avg(mine(F.when(true(F.col(c) > 0), 1.0).otherwise(0.0)))
+    known = [F.max(c).alias(c) for c in ("benchmark_above_sma200", "benchmark_z120") if c in panel.columns]
+    out = panel.groupBy("date").agg(
+        F.nullif(F.count(mine(F.lit(1))), F.lit(0)).alias("n_members"),
+        above("price_vs_sma60").alias("breadth_above_sma60"),
+        above("price_vs_sma200").alias("breadth_above_sma200"),
+        F.stddev_samp(mine(F.col("momentum_combo"))).alias("momentum_dispersion"),
+        F.stddev_samp(mine(F.col("rs_combo"))).alias("rs_dispersion"),
+        (F.max(mine(F.col("momentum_combo"))) - F.median(mine(F.col("momentum_combo")))).alias("single_leader_burst"),
+        *known,
+    )
     return out.withColumns({c: F.when(F.col("n_members") >= params.breadth_min_names, F.col(c)) for c in CONTEXT})
 
 
+def with_context(panel: DataFrame, params: Params) -> DataFrame:
+    """The context in every row of its date: a row per date, joined by date; the panel's rows are not moved for it."""
+    return panel.join(date_facts(panel, params).select("date", "n_members", *CONTEXT), "date", "left")
+
+
 def labels(panel: DataFrame, params: Params) -> DataFrame:
     """L1 to L4: future return by rows ahead, its rank and top-k flag among members, and the blended target."""
     out = panel
@@ -103,9 +107,10 @@ def regimes(context: DataFrame) -> DataFrame:
 
 
 def with_regime(panel: DataFrame) -> DataFrame:
-    """Regime and confidence in every row: context is equal on a date, the benchmark's columns are taken from any row of it."""
-    w = Window.partitionBy("date")
-    return regimes(panel.withColumns({c: F.max(c).over(w) for c in ("benchmark_above_sma200", "benchmark_z120")}))
+    """Regime and confidence in every row, by a join with the dates: context is equal on a date, the benchmark's columns are
+    taken from any row of it."""
+    dates = regimes(panel.groupBy("date").agg(*(F.max(c).alias(c) for c in (*CONTEXT, "benchmark_above_sma200", "benchmark_z120"))))
+    return panel.join(dates.select("date", "regime", "regime_confidence"), "date", "left")
 
 
 def final_scores(panel: DataFrame, params: Params) -> DataFrame:

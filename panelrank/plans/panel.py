@@ -17,18 +17,37 @@ def features_panel(spark: SparkSession, sf_dir: str, params: Params = TEST) -> D
     return features.feature_panel(bars(spark, sf_dir), params)
 
 
-def universe_panel(spark: SparkSession, sf_dir: str, params: Params = TEST) -> DataFrame:
-    return universe.dynamic_universe(stored(features_panel(spark, sf_dir, params), "features"), metadata(spark, sf_dir), params)
+#: What the tests of membership read, and what context, regime and ranking read beside it.
+TESTED = ("date", "symbol", "quote_volume", "age_days", "avg_quote_vol_30", "avg_quote_vol_90", "avg_quote_vol_180", "liquidity_stability", "tradable_ratio_180")
+CONTEXT_INPUTS = ("price_vs_sma60", "price_vs_sma200", "momentum_combo", "rs_combo")
+REGIME_INPUTS = ("benchmark_above_sma200", "benchmark_z120")
+RULE_INPUTS = tuple(sorted({f for scheme in RULE_SCHEMES.values() for f in scheme}))
 
 
-def labelled_panel(spark: SparkSession, sf_dir: str, params: Params = TEST) -> DataFrame:
-    return scores.labels(scores.with_context(universe_panel(spark, sf_dir, params), params), params)
+def universe_panel(spark: SparkSession, sf_dir: str, params: Params = TEST, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """The panel with membership; `columns` of the features beside those that membership needs, by default all. Only these are
+    written, so only these are computed."""
+    panel = features_panel(spark, sf_dir, params)
+    if columns is not None:
+        panel = panel.select(*(c for c in dict.fromkeys((*TESTED, *columns)) if c in panel.columns))
+    return universe.dynamic_universe(stored(panel, "features"), metadata(spark, sf_dir), params)
 
 
-def scored_panel(spark: SparkSession, sf_dir: str, params: Params = TEST) -> DataFrame:
-    """Everything but model scores: final_score comes from the rules alone."""
-    panel = scores.with_regime(scores.rule_scores(labelled_panel(spark, sf_dir, params), params))
-    return stored(scores.final_scores(panel, params), "scored")
+def labelled_panel(spark: SparkSession, sf_dir: str, params: Params = TEST, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """With context and labels; `columns` as above, CONTEXT_INPUTS among them where the context is wanted."""
+    panel = universe_panel(spark, sf_dir, params, None if columns is None else ("close", *columns))
+    wants_context = columns is None or set(CONTEXT_INPUTS) <= set(columns)
+    return scores.labels(scores.with_context(panel, params) if wants_context else panel, params)
+
+
+def scored_panel(spark: SparkSession, sf_dir: str, params: Params = TEST, columns: tuple[str, ...] = ()) -> DataFrame:
+    """Membership, context, regime, rule and final scores, and `columns`: final_score comes from the rules alone."""
+    wanted = (*RULE_INPUTS, *CONTEXT_INPUTS, *REGIME_INPUTS, *columns)
+    panel = universe_panel(spark, sf_dir, params, wanted)
+    dates = stored(scores.regimes(scores.date_facts(panel, params)), "dates")
+    panel = scores.rule_scores(panel, params).join(dates.select("date", "regime", "regime_confidence"), "date", "left")
+    kept = ("date", "symbol", "in_universe", "universe_snapshot_date", "regime", "regime_confidence", "rule_score", "linear_score", "ml_score", "final_score", "confidence", "current_rank", "selected_flag", "liquidity_stability", "avg_quote_vol_180", *columns)
+    return stored(scores.final_scores(panel, params).select(*dict.fromkeys(kept)), "scored")
 
 
 def _roll(agg: str, x: str, n: int, least: int | None = None) -> str:
@@ -68,8 +87,8 @@ f3 AS (SELECT *, {_roll('avg', 'true_range', 14)} AS atr14, sqrt({_roll('avg', '
 f4 AS (SELECT *, 1 + dist_to_90d_high AS breakout_proximity, momentum_combo / nullif(vol20, 0) AS risk_adjusted_momentum, atr14 / nullif(close, 0) AS atr_ratio,
   abs(drawdown180) * (1 + coalesce(ulcer50, 0) / 100) AS drawdown_severity, -downside_vol60 AS downside_vol_penalty,
   -(abs(drawdown180) * (1 + coalesce(ulcer50, 0) / 100)) AS drawdown_penalty FROM f3),
-b AS (SELECT date, roc20 AS b20, roc60 AS b60, roc120 AS b120, ret1 AS bret, close AS bclose, sma200 AS bsma, zscore120 AS benchmark_z120 FROM f4 WHERE symbol = 'Brand#1'),
-r1 AS (SELECT f4.*, roc20 - b20 AS rs20, roc60 - b60 AS rs60, roc120 - b120 AS rs120, bret, benchmark_z120,
+b AS (SELECT date, roc20 AS b20, roc60 AS b60, roc120 AS b120, ret1 AS bret, close AS bclose, sma200 AS bsma, zscore120 AS benchmark_z120, ma200_slope AS benchmark_ma200_slope FROM f4 WHERE symbol = 'Brand#1'),
+r1 AS (SELECT f4.*, roc20 - b20 AS rs20, roc60 - b60 AS rs60, roc120 - b120 AS rs120, bret, benchmark_z120, benchmark_ma200_slope,
   CASE WHEN bclose IS NOT NULL THEN CASE WHEN bclose > bsma THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END END AS benchmark_above_sma200,
   CASE WHEN ret1 IS NOT NULL AND bret IS NOT NULL THEN ret1 END AS pr, CASE WHEN ret1 IS NOT NULL AND bret IS NOT NULL THEN bret END AS pb
   FROM f4 LEFT JOIN b ON f4.date = b.date),

@@ -154,7 +154,7 @@ def hysteresis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("u7_u8_dynamic_universe", P.sql("universe", "SELECT date, symbol, universe_snapshot_date, in_universe FROM uni"))
 def dynamic_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.universe_panel(spark, sf_dir).select(*KEY, "universe_snapshot_date", "in_universe")
+    return P.universe_panel(spark, sf_dir, columns=()).select(*KEY, "universe_snapshot_date", "in_universe")
 
 
 @query("j9_market_cap_screen", "WITH c AS (SELECT p_brand AS symbol, CAST(sum(CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) AS usd FROM part GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY usd DESC, symbol) AS rank FROM c) SELECT upper(symbol) AS symbol, usd >= 50000 AND rank <= 20 AS market_cap_eligible FROM r")
@@ -209,7 +209,7 @@ def download_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("a1_a3_date_context", P.sql("context", f"SELECT date, n_members, {rounds(list(scores.CONTEXT), 5)} FROM ctx"))
 def date_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(scores.date_context(P.universe_panel(spark, sf_dir), TEST), ["date", "n_members"], list(scores.CONTEXT), 5)
+    return rounded(scores.date_context(P.universe_panel(spark, sf_dir, columns=P.CONTEXT_INPUTS), TEST), ["date", "n_members"], list(scores.CONTEXT), 5)
 
 
 _LABELS = [f"{k}_{h}" for h in TEST.horizons for k in ("future_return", "future_rank_pct", "future_topk_label")] + ["blended_target"]
@@ -217,12 +217,12 @@ _LABELS = [f"{k}_{h}" for h in TEST.horizons for k in ("future_return", "future_
 
 @query("l1_l5_labels", P.sql("labels", f"SELECT date, symbol, {rounds(_LABELS, 5)} FROM lab WHERE in_universe"))
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(P.labelled_panel(spark, sf_dir).where("in_universe"), KEY, _LABELS, 5)
+    return rounded(P.labelled_panel(spark, sf_dir, columns=()).where("in_universe"), KEY, _LABELS, 5)
 
 
 @query("l6_label_ends", P.sql("labels", "SELECT date, max(CASE WHEN in_universe THEN greatest(end_30, end_60, end_90) END) AS label_end FROM lab GROUP BY date"))
 def label_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scores.label_ends(P.universe_panel(spark, sf_dir), TEST)
+    return scores.label_ends(P.universe_panel(spark, sf_dir, columns=()), TEST)
 
 
 _RULES = ["rule_score_relative_strength_focus", "rule_score_balanced_leader", "rule_score_conservative_trend_quality"]
@@ -230,13 +230,13 @@ _RULES = ["rule_score_relative_strength_focus", "rule_score_balanced_leader", "r
 
 @query("e1_rule_scores", P.sql("rules", f"SELECT date, symbol, {rounds(_RULES)} FROM e2 WHERE in_universe"))
 def rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(scores.rule_scores(P.labelled_panel(spark, sf_dir), TEST).where("in_universe"), KEY, _RULES)
+    return rounded(scores.rule_scores(P.universe_panel(spark, sf_dir, columns=P.RULE_INPUTS), TEST).where("in_universe"), KEY, _RULES)
 
 
 @query("a4_e2_regime", P.sql("rules", "SELECT date, regime, round(regime_confidence, 5) AS regime_confidence FROM reg"))
 def regime(spark: SparkSession, sf_dir: str) -> DataFrame:
-    panel = scores.with_regime(scores.with_context(P.universe_panel(spark, sf_dir), TEST))
-    return panel.select("date", "regime", F.round("regime_confidence", 5).alias("regime_confidence")).distinct()
+    panel = P.universe_panel(spark, sf_dir, columns=(*P.CONTEXT_INPUTS, *P.REGIME_INPUTS))
+    return scores.regimes(scores.date_facts(panel, TEST)).select("date", "regime", F.round("regime_confidence", 5).alias("regime_confidence"))
 
 
 @query("e4_n5_final_ranking", P.sql("rules", "SELECT date, symbol, regime, round(final_score, 6) AS final_score, round(confidence, 6) AS confidence, current_rank, coalesce(current_rank <= 5, false) AS selected_flag FROM scored WHERE in_universe"))
@@ -258,7 +258,8 @@ SELECT date, symbol, CASE WHEN seen = 1 THEN round(f, 5) END AS final_score, CAS
   coalesce(seen = 1 AND f IS NOT NULL AND k <= 5, false) AS selected_flag FROM c5 WHERE in_universe""".lstrip()))
 def three_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules and two stand-ins for model scores, one of them missing on every fourth day, and rows outside the prediction windows."""
-    panel = scores.with_regime(scores.rule_scores(P.labelled_panel(spark, sf_dir), TEST))
+    panel = P.universe_panel(spark, sf_dir, columns=(*P.RULE_INPUTS, *P.CONTEXT_INPUTS, *P.REGIME_INPUTS))
+    panel = scores.with_regime(scores.rule_scores(scores.with_context(panel, TEST), TEST))
     models = {"linear_score_raw": F.col("rs_risk_adj"), "ml_score_raw": F.when(F.dayofmonth("date") % 4 != 0, F.col("momentum_combo")), "prediction_window_count": F.when(F.col("age_days") % 7 < 5, 1).otherwise(0)}
     out = scores.final_scores(panel.withColumns(models), TEST).where("in_universe")
     return out.select(*KEY, F.round("final_score", 5).alias("final_score"), F.round("confidence", 5).alias("confidence"), "current_rank", "selected_flag")

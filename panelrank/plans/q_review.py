@@ -33,10 +33,10 @@ def track_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({c: F.round(c, 5) for c in ("current", "baseline")})
 
 
-@query("a16_a17_tidy_and_wide", B + """, w AS (SELECT date, max(CASE WHEN symbol = 'Brand#11' THEN close END) AS a, max(CASE WHEN symbol = 'Brand#12' THEN close END) AS b FROM bars GROUP BY date)
-SELECT date, 'Brand#11' AS metric, round(a, 6) AS value FROM w UNION ALL SELECT date, 'Brand#12', round(b, 6) FROM w""")
+@query("a16_a17_tidy_and_wide", B + """, d AS (SELECT DISTINCT date FROM bars), s AS (SELECT DISTINCT symbol FROM bars)
+SELECT d.date, s.symbol AS metric, round(close, 6) AS value FROM d CROSS JOIN s LEFT JOIN bars ON bars.date = d.date AND bars.symbol = s.symbol""")
 def tidy_and_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = review.wide_field(fixtures.bars(spark, sf_dir), "close", ["Brand#11", "Brand#12"])
+    wide = review.wide_field(fixtures.bars(spark, sf_dir), "close")
     return review.tidy(wide, ["date"]).withColumn("value", F.round("value", 6))
 
 
@@ -93,7 +93,7 @@ UNION ALL SELECT 'panel_age', age, coalesce(age <= 3, false) FROM lh UNION ALL S
 UNION ALL SELECT 'rows_BRAND#1', n0, n0 > 0 FROM lr UNION ALL SELECT 'coverage_BRAND#1', CASE WHEN n0 > 0 THEN 1 END, n0 > 0 FROM lr
 UNION ALL SELECT 'rows_BRAND#2', n1, n1 > 0 FROM lr UNION ALL SELECT 'coverage_BRAND#2', n2 / nullif(n0, 0), coalesce(n2 / nullif(n0, 0) >= 0.99, false) AND coalesce(spans, false) FROM lr""".lstrip()))
 def lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review.lifecycle_report(P.scored_panel(spark, sf_dir), F.lit("1998-08-01").cast("date"), ("BRAND#1", "BRAND#2"))
+    return review.lifecycle_report(P.scored_panel(spark, sf_dir, columns=("close",)), F.lit("1998-08-01").cast("date"), ("BRAND#1", "BRAND#2"))
 
 
 @query("q15_fingerprint", """WITH h AS (SELECT ('0x' || substr(sha256('{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}'), 1, 12))::BIGINT AS h FROM orders)

@@ -104,8 +104,8 @@ def bar_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("s12_s13_history_payloads", B + """, h AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) AS i FROM bars)
-SELECT 'days' AS kind, symbol, date, round(close, 6) AS close, round(quote_volume, 2) AS quote_volume FROM h WHERE i % 7 <> 0 AND date >= DATE '1995-06-01'
-UNION ALL SELECT 'chart', symbol, date, round(close, 6), round(close * volume, 2) FROM h WHERE i % 5 <> 0""")
+SELECT 'days' AS kind, symbol, date, round(close, 6) AS close, round(quote_volume, 4) AS quote_volume FROM h WHERE i % 7 <> 0 AND date >= DATE '1995-06-01'
+UNION ALL SELECT 'chart', symbol, date, round(close, 6), round(close * volume, 4) FROM h WHERE i % 5 <> 0""")
 def history_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both payloads hold a day twice (the second counts) and days without prices."""
     from pyspark.sql import Window
@@ -121,10 +121,10 @@ def history_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = F.struct(F.col("x.t").alias("timestamp"), F.struct(F.array(quote).alias("quote")).alias("indicators"))
     answers = each.select("symbol", F.to_json(F.struct(F.struct(F.array(result).alias("result")).alias("chart")), {"ignoreNullFields": "false"}).alias("payload"))
     out = landed.history_days(days, "1995-06-01").withColumn("kind", F.lit("days")).unionByName(landed.chart(answers).withColumn("kind", F.lit("chart")))
-    return out.select("kind", "symbol", "date", F.round("close", 6).alias("close"), F.round("quote_volume", 2).alias("quote_volume"))
+    return out.select("kind", "symbol", "date", F.round("close", 6).alias("close"), F.round("quote_volume", 4).alias("quote_volume"))
 
 
-@query("s14_archive_file", B + " SELECT symbol, date, round(close, 6) AS close, round(volume, 2) AS volume, round(close * volume, 2) AS quote_volume FROM bars WHERE symbol = 'Brand#12'")
+@query("s14_archive_file", B + " SELECT symbol, date, round(close, 6) AS close, round(volume, 2) AS volume, round(close * volume, 4) AS quote_volume FROM bars WHERE symbol = 'Brand#12'")
 def archive_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _folder(spark, "archive")
     rows = fixtures.bars(spark, sf_dir).where("symbol = 'Brand#12'")
@@ -132,7 +132,7 @@ def archive_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = spark.createDataFrame([("0001-01-01", "https://www.CryptoDataDownload.com"), ("0001-01-02", "Date,Symbol,Open,High,Low,Close,Volume BTC,Volume USDT")], "d string, value string").select(F.to_date("d").alias("d"), "value")
     head.unionByName(lines).coalesce(1).sortWithinPartitions("d").select("value").write.text(path)
     out = landed.read_archive(spark, path, "Brand#12")
-    return out.select("symbol", "date", F.round("close", 6).alias("close"), F.round("volume", 2).alias("volume"), F.round("quote_volume", 2).alias("quote_volume"))
+    return out.select("symbol", "date", F.round("close", 6).alias("close"), F.round("volume", 2).alias("volume"), F.round("quote_volume", 4).alias("quote_volume"))
 
 
 @query("s18_s20_csv_files", """WITH c AS (SELECT p_brand AS symbol, count(*) AS n FROM part GROUP BY 1)

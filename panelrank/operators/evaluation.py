@@ -1,12 +1,16 @@
-"""Performance and leader-selection metrics."""
+"""Performance and leader-selection metrics (V1 to V9), runs over spans of dates (V6, V11, V12) and profiles."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelrank.config import DAYS_PER_YEAR, Params
+from panelrank.functions.tables import stored
 from panelrank.functions.windows import mean_rank
+from panelrank.operators import portfolio
 from panelrank.operators.calendar import calendar, schedule
 
 METRICS = ("cagr", "volatility", "sharpe", "sortino", "max_drawdown", "calmar", "win_rate", "turnover")
@@ -110,18 +114,47 @@ def summary(table: DataFrame, by: list[str] | None = None, count: str = "evaluat
     return table.groupBy(*(by or [])).agg(F.count("*").alias(count), *(F.avg(c).alias(c) for c in numeric))
 
 
-def window_validation(panel: DataFrame, returns: DataFrame, score: str, params: Params, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """V6: leader metrics and performance inside each test window; a window stands for its dates."""
-    tests = windows.select("window_id", F.explode(F.sequence("test_start", "test_end")).alias("date"))
-    inside = lambda df: df.join(tests, "date")
-    tagged = inside(panel)
-    days = tagged.select("window_id", "date").distinct()
-    week = Window.partitionBy("window_id")
-    last = days.groupBy("window_id", F.date_trunc("week", "date").alias("u")).agg(F.max("date").alias("date")).select("window_id", "date")
-    dates = last.unionByName(days.withColumn("m", F.min("date").over(week)).where("date = m").select("window_id", "date")).distinct()
-    picked = tagged.join(dates, ["window_id", "date"])
-    leaders = leader_dates(picked, score, params, dates.select("date").distinct(), ["window_id"]).groupBy("window_id", "horizon").agg(F.count("*").alias("dates"), *(F.avg(c).alias(c) for c in LEADER))
-    return leaders, performance(inside(returns), ["window_id"])
+def window_validation(panel: DataFrame, score: str, params: Params, windows: DataFrame) -> DataFrame:
+    """V6: window_id, then for each horizon h<n>_dates, _precision, _recall, _capture, then window_cagr, _sharpe, _max_drawdown, _turnover.
+
+    A window is a portfolio of its own over its test dates (`portfolio.keyed_returns`). How the names of a date met its leaders
+    is the same in every window that holds the date, so it is found once for each date and averaged over the windows' signal dates.
+    """
+    runs = windows.select(F.col("window_id").cast("string").alias("run"), F.lit(score).alias("score"), F.col("test_start").alias("start"), F.col("test_end").alias("end"))
+    signals = stored(portfolio.run_days(panel, runs, params).where("is_signal").select("run", "date"), "signals")
+    met = leader_dates(panel, score, params, signals.select("date").distinct())
+    each = signals.join(met, "date")
+    named = {"precision": "precision", "recall": "recall", "leader_capture": "capture"}
+    at = lambda h, c: F.avg(F.when(F.col("horizon") == h, F.col(c)))
+    leaders = each.groupBy("run").agg(*(x for h in params.horizons for x in (F.count_if(F.col("horizon") == h).alias(f"h{h}_dates"), *(at(h, c).alias(f"h{h}_{n}") for c, n in named.items()))))
+    made = performance(portfolio.keyed_returns(panel, runs, [score], params), ["run"]).select("run", *(F.col(c).alias(f"window_{c}") for c in ("cagr", "sharpe", "max_drawdown", "turnover")))
+    out = made.join(leaders, "run", "left")
+    return out.select(F.col("run").cast("int").alias("window_id"), *(c for c in leaders.columns if c != "run"), *(c for c in made.columns if c != "run"))
+
+
+#: What a run of a span may change, by the parameter's name here.
+EXECUTION = {"rebalance": "rebalance", "rebalance_frequency": "rebalance", "top_n": "top_n", "weighting": "weighting", "fee_bps": "fee_bps", "slippage_bps": "slippage_bps"}
+
+
+def execution_params(params: Params, changes: dict) -> Params:
+    """`params` with the changes a run may make; an error names those that it may not."""
+    unknown = sorted(str(k) for k in changes if k not in EXECUTION)
+    if unknown:
+        raise ValueError(f"unsupported parameters: {', '.join(unknown)}; supported: {', '.join(sorted(EXECUTION))}")
+    return replace(params, **{EXECUTION[k]: v for k, v in changes.items()})
+
+
+def slice_runs(panel: DataFrame, runs: DataFrame, scores: list[str], params: Params) -> DataFrame:
+    """Run, start_date, end_date, observations, sharpe, calmar, max_drawdown, cagr, volatility, win_rate of each span.
+
+    All spans are backtests of their own in one plan. Figures that are undefined are 0, but for calmar, which is null. A span
+    without returns has no row.
+    """
+    returns = stored(portfolio.keyed_returns(panel, runs, scores, params), "slices")
+    bounds = returns.where("net_return is not null").groupBy("run").agg(F.min("date").alias("start_date"), F.max("date").alias("end_date"))
+    zero = lambda c: F.coalesce(c, F.lit(0.0)).alias(c)
+    calmar = F.when(F.coalesce("max_drawdown", F.lit(0.0)) != 0, F.coalesce("cagr", F.lit(0.0)) / F.abs("max_drawdown"))
+    return performance(returns, ["run"]).join(bounds, "run").select("run", "start_date", "end_date", "observations", zero("sharpe"), calmar.alias("calmar"), *(zero(c) for c in ("max_drawdown", "cagr", "volatility", "win_rate")))
 
 
 def compare(one: DataFrame, two: DataFrame, keys: list[str], names: tuple[str, str] = ("a", "b")) -> DataFrame:

@@ -12,6 +12,7 @@ whatever their names, do not matter. A block is at most `block_words` words and
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelrank.llm.common import discard, stored
+from panelrank.llm.common import arrow_batches, discard, stored
 
 #: Piece separators become a byte that UTF-8 never has, tabs become spaces, A-Z become a-z.
 END = b"\xff"
@@ -41,9 +42,11 @@ def _key(lang: bytes, word: bytes, seed: int) -> int:
 
 
 def _languages(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
-    for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        if text:
-            yield ("und" if lang is None else lang), words_and_ends(text)
+    for at in range(0, batch.num_rows, 64):
+        few = batch.slice(at, 64)
+        for lang, text in zip(few.column(0).to_pylist(), few.column(1).to_pylist()):
+            if text:
+                yield ("und" if lang is None else lang), words_and_ends(text)
 
 
 def vocabulary(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -71,7 +74,7 @@ def vocabulary(docs: DataFrame) -> tuple[DataFrame, int]:
                     known.update(words)
                     known.pop(END, None)
                     held += len(known) - before
-                    if held > 400_000:
+                    if held > 200_000:
                         yield from rows()
                         held = 0
             yield from rows()
@@ -156,19 +159,26 @@ def _read(batches) -> Iterator[tuple[int, str, Block, dict]]:
             yield r["block"].as_py(), r["lang"].as_py(), Block(np.frombuffer(r["keys"].as_buffer(), np.int64), *ints, r["length"].as_py()), r
 
 
+class _Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def _built(docs: DataFrame, seed: int, block_words: int, frequent=None) -> DataFrame:
     """Relation of single words; with `frequent` (a broadcast of sorted columns) that of the frequent ones."""
 
     def build(batches):
         from pyspark import TaskContext
 
-        held: dict[str, list[bytes]] = {}
+        held: dict[str, tuple[_Numbers, array]] = {}
 
         def flush():
-            for lang, words in held.items():
-                local: dict[bytes, int] = {}
-                ids = np.fromiter((local.setdefault(w, len(local)) for w in words), np.int32, len(words))
-                places = np.flatnonzero(ids != local.get(END, -1)).astype(np.int32)
+            for lang, (local, numbers) in held.items():
+                ids = np.frombuffer(numbers, np.int32)
+                places = np.flatnonzero(ids != local[END]).astype(np.int32)
                 tag = lang.encode()
                 block = Block(np.array([_key(tag, w, seed) for w in local], np.int64), places, ids[places], places, 1)
                 yield lang, block if frequent is None else block.kept(frequent.value)
@@ -178,9 +188,9 @@ def _built(docs: DataFrame, seed: int, block_words: int, frequent=None) -> DataF
             size = 0
             for batch in batches:
                 for lang, words in _languages(batch):
-                    mine = held.setdefault(lang, [])
-                    mine += words
-                    mine.append(END)
+                    local, numbers = held.setdefault(lang, (_Numbers(), array("i")))
+                    numbers.extend(map(local.__getitem__, words))
+                    numbers.append(local[END])
                     size += len(words) + 1
                     if size >= block_words:
                         yield from flush()
@@ -248,9 +258,14 @@ def _semi_joined(relation: DataFrame, groups: DataFrame, columns: list[str], mos
     return stored(relation.join(lists, F.col("block") == F.col("of")).drop("of").mapInArrow(keep_own, RELATION), "relation")
 
 
-def frequent_phrases(docs: DataFrame, least: int = 30, block_words: int = 1 << 20, most_shared: int = 2_000_000) -> tuple[DataFrame, list[DataFrame]]:
+def frequent_phrases(docs: DataFrame, least: int = 30, block_words: int = 1 << 19, most_shared: int = 2_000_000) -> tuple[DataFrame, list[DataFrame]]:
     """((lang, word, w, n), [of each length from 1 to 4: w1 ... wk, n]): all words, and the phrases found `least` times or more."""
     spark = docs.sparkSession
+    with arrow_batches(spark):
+        return _frequent(spark, docs, least, block_words, most_shared)
+
+
+def _frequent(spark, docs: DataFrame, least: int, block_words: int, most_shared: int) -> tuple[DataFrame, list[DataFrame]]:
     words, seed = vocabulary(docs)
     frequent = [words.where(F.col("n") >= least).select(F.col("w").alias("w1"), "n")]
     held = _shared(frequent[0], ["w1"], most_shared)
@@ -302,7 +317,7 @@ def _covered(frequent: list[DataFrame], k: int) -> DataFrame | None:
     return reduce(DataFrame.unionByName, inside).groupBy(*(f"c{i}" for i in range(1, k + 1))).agg(F.max("n").alias("longest_n"))
 
 
-def collocations(docs: DataFrame, least: int = 30, top: int = 2000, block_words: int = 1 << 20, most_shared: int = 2_000_000) -> DataFrame:
+def collocations(docs: DataFrame, least: int = 30, top: int = 2000, block_words: int = 1 << 19, most_shared: int = 2_000_000) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the `top` phrases of each language.
 
     Candidates are phrases of 2 to 4 words found `least` times or more; the score of one is floor(2000000 a / (l + r)) of its

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelrank.functions.tables import discard, stored
 
-__all__ = ["discard", "lower_ascii", "packed", "stored", "table", "unpacked", "words_col"]
+__all__ = ["arrow_batches", "discard", "lower_ascii", "packed", "stored", "table", "unpacked", "words_col"]
 
 #: Word separators of every contract: space and the control characters 9 to 13.
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
@@ -30,6 +32,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Python workers get batches of at most `size` bytes in jobs that run inside."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def packed(docs: DataFrame, own: list[str], **more: Column) -> DataFrame:
     """The columns `own`, those of `more`, computed on `docs`, and all others of `docs` in one struct, `rest`.
 

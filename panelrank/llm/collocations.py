@@ -87,21 +87,32 @@ def vocabulary(docs: DataFrame) -> tuple[DataFrame, int]:
         seed += 1
 
 
-def _position(columns: list[np.ndarray], among: list[np.ndarray]) -> np.ndarray:
-    """Whether each row of `columns` is a row of `among`; both are lists of equally long columns."""
-    if not len(among[0]):
-        return np.zeros(len(columns[0]), bool)
-    known, mine, theirs = np.ones(len(columns[0]), bool), np.zeros(len(columns[0]), np.int64), np.zeros(len(among[0]), np.int64)
-    for a, b in zip(columns, among):
-        values = np.unique(b)
-        at = np.minimum(np.searchsorted(values, a), len(values) - 1)
-        known &= values[at] == a
-        mine, theirs = mine * len(values) + at, theirs * len(values) + np.searchsorted(values, b)
-        ranks = np.unique(theirs)  # ranked again, so that products stay under the square of the rows
-        at = np.minimum(np.searchsorted(ranks, mine), len(ranks) - 1)
-        known &= ranks[at] == mine
-        mine, theirs = at, np.searchsorted(ranks, theirs)
-    return known
+class Groups:
+    """Groups as sorted columns, to ask which of a block's are among them: asking costs a block's groups, not all groups."""
+
+    def __init__(self, columns: list[np.ndarray]):
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        codes = np.zeros(len(columns[0]), np.int64)
+        for c in columns:
+            values = np.unique(c)
+            codes = codes * len(values) + np.searchsorted(values, c)
+            ranks = np.unique(codes)  # ranked again, so that products stay under the square of the groups
+            codes = np.searchsorted(ranks, codes)
+            self.levels.append((values, ranks))
+
+    def have(self, columns: list[np.ndarray]) -> np.ndarray:
+        """Whether each row of the columns is a group."""
+        known, codes = np.ones(len(columns[0]), bool), np.zeros(len(columns[0]), np.int64)
+        for c, (values, ranks) in zip(columns, self.levels):
+            if not len(values):
+                return np.zeros(len(c), bool)
+            at = np.minimum(np.searchsorted(values, c), len(values) - 1)
+            known &= values[at] == c
+            codes = codes * len(values) + at
+            at = np.minimum(np.searchsorted(ranks, codes), len(ranks) - 1)
+            known &= ranks[at] == codes
+            codes = at
+        return known
 
 
 class Block:
@@ -129,10 +140,10 @@ class Block:
             chosen = [distinct]
         return [self.keys[c] for c in chosen], group
 
-    def kept(self, frequent: list[np.ndarray]) -> Block:
+    def kept(self, frequent: Groups) -> Block:
         """The semi-join: phrases whose group is frequent, and the words that they cover."""
         columns, group = self.groups()
-        starts = self.starts[_position(columns, frequent)[group]] if len(self.starts) else self.starts
+        starts = self.starts[frequent.have(columns)[group]] if len(self.starts) else self.starts
         covered = np.zeros(len(self.places), bool)
         first = np.searchsorted(self.places, starts)
         for k in range(self.length):
@@ -168,7 +179,7 @@ class _Numbers(dict):
 
 
 def _built(docs: DataFrame, seed: int, block_words: int, frequent=None) -> DataFrame:
-    """Relation of single words; with `frequent` (a broadcast of sorted columns) that of the frequent ones."""
+    """Relation of single words; with `frequent` (a broadcast of Groups) that of the frequent ones."""
 
     def build(batches):
         from pyspark import TaskContext
@@ -218,11 +229,11 @@ def _counted(relation: DataFrame, columns: list[str], least: int) -> DataFrame:
 
 
 def _shared(groups: DataFrame, columns: list[str], most: int):
-    """A broadcast of the groups as columns, or None if there are more than `most`."""
+    """A broadcast of Groups, or None if there are more than `most`."""
     if groups.count() > most:
         return None
     table = groups.select(*columns).toArrow()
-    return groups.sparkSession.sparkContext.broadcast([table.column(c).to_numpy() for c in columns])
+    return groups.sparkSession.sparkContext.broadcast(Groups([table.column(c).to_numpy() for c in columns]))
 
 
 def _semi_joined(relation: DataFrame, groups: DataFrame, columns: list[str], most: int) -> DataFrame:
@@ -248,8 +259,8 @@ def _semi_joined(relation: DataFrame, groups: DataFrame, columns: list[str], mos
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys[0]), number)), *(pa.array(x) for x in keys)], ["of", *columns])
 
     def keep_own(batches):
-        def frequent(rows: list[dict]) -> list[np.ndarray]:
-            return [np.array([r[c] for r in rows], np.int64) for c in columns]
+        def frequent(rows: list[dict]) -> Groups:
+            return Groups([np.array([r[c] for r in rows], np.int64) for c in columns])
 
         return _rows((number, lang, longer(block).kept(frequent(row["own"].as_py()))) for number, lang, block, row in _read(batches))
 

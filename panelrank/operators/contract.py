@@ -23,9 +23,14 @@ FIELDS = ("as_of_date", "mode", "pool_size", "source_project", "symbol_map", "sy
 TRUE_WORDS = ("1", "true", "yes", "y", "on")
 
 
+def stripped(raw: Column | str) -> Column:
+    """A text without white space of any kind around it."""
+    return F.regexp_replace(raw, r"(?U)^\s+|\s+$", "")
+
+
 def symbol(raw: Column, quote: str) -> Column:
     """P10: a symbol in upper case without spaces around; null if it is empty or lacks the quote asset."""
-    clean = F.upper(F.trim(raw))
+    clean = F.upper(stripped(raw))
     return F.when(clean.endswith(quote), clean)
 
 
@@ -36,13 +41,13 @@ def symbol_list(raw: Column, quote: str) -> Column:
 
 def symbol_map(raw: Column, quote: str) -> Column:
     """Sorted (symbol, base asset) of the valid entries of a map."""
-    entries = F.transform(F.coalesce(F.map_entries(raw), F.array().cast("array<struct<key:string,value:string>>")), lambda x: F.struct(symbol(x["key"], quote).alias("key"), F.upper(F.trim(x["value"])).alias("value")))
+    entries = F.transform(F.coalesce(F.map_entries(raw), F.array().cast("array<struct<key:string,value:string>>")), lambda x: F.struct(symbol(x["key"], quote).alias("key"), F.upper(stripped(x["value"])).alias("value")))
     return F.array_sort(F.filter(entries, lambda x: x["key"].isNotNull() & (F.coalesce(x["value"], F.lit("")) != "")))
 
 
 def iso_date(raw: Column) -> Column:
     """The date of a text's first ten characters; null if it is none."""
-    return F.try_to_date(F.substring(raw, 1, 10))
+    return F.try_to_date(F.substring(stripped(raw), 1, 10))
 
 
 def subset(inner: Column, outer: Column) -> Column:
@@ -56,9 +61,9 @@ def selected_by_rank(ranking: DataFrame, quote: str = "USDT") -> DataFrame:
     release, n_rows, dates, ranked (symbols), bad_ranked, twice_ranked; n_selected, selected (set), by_rank (in order; empty where a rank is no number), no_number and
     equal_ranks (counts of selected rows).
     """
-    text = F.lower(F.trim(F.col("selected_flag").cast("string")))
+    text = F.lower(stripped(F.col("selected_flag").cast("string")))
     rows = ranking.select(
-        "release", F.trim("as_of_date").alias("day"), F.upper(F.trim("symbol")).alias("name"), symbol(F.col("symbol"), quote).alias("symbol"), F.col("current_rank").try_cast("double").alias("rank"), F.coalesce(text.isin(*TRUE_WORDS), F.lit(False)).alias("on")
+        "release", stripped("as_of_date").alias("day"), F.upper(stripped("symbol")).alias("name"), symbol(F.col("symbol"), quote).alias("symbol"), F.col("current_rank").try_cast("double").alias("rank"), F.coalesce(text.isin(*TRUE_WORDS), F.lit(False)).alias("on")
     )
     mine = lambda c: F.when(F.col("on"), c)
     agg = rows.groupBy("release").agg(
@@ -87,7 +92,7 @@ def validate(releases: DataFrame, ranking: DataFrame, reference_date, max_age_da
     `expected`: mode, source_project and pool_size that every release must have. `summary`: release and the published fields
     symbols, symbol_map, version, mode, as_of_date, pool_size, source_project; releases without one are not held against it.
     """
-    col, text = F.col, lambda c: F.trim(F.coalesce(c, F.lit("")))
+    col, text = F.col, lambda c: stripped(F.coalesce(c, F.lit("")))
     some = lambda c: F.size(c) > 0
     rows = releases.join(selected_by_rank(ranking, quote), "release", "left")
     rows = rows.withColumns(
@@ -97,6 +102,8 @@ def validate(releases: DataFrame, ranking: DataFrame, reference_date, max_age_da
             "d": iso_date(col("as_of_date")), "ld": iso_date(col("legacy_as_of_date")), "ud": iso_date(col("universe_as_of_date")),
         }
     )
+    if summary is not None:
+        rows = rows.join(summary.select("release", F.lit(True).alias("told"), *(col(c).alias(f"s_{c}") for c in FIELDS)), "release", "left")
     p, pm, lm = col("p"), col("pm"), col("lm")
     keys = lambda m: F.array_sort(m["key"])
     checks: list[tuple[str, Column]] = []
@@ -117,7 +124,7 @@ def validate(releases: DataFrame, ranking: DataFrame, reference_date, max_age_da
     checks += [("pool_not_in_universe", some(col("u")) & some(p) & ~subset(p, col("u")))]  # Q10h, J12
     for form, day in (("", "d"), ("legacy_", "ld")):  # Q10e
         checks.append((f"{form}version_not_date_and_mode", true((text(col(form + "version")) != "") & (text(col(form + "mode")) != "") & (text(col(form + "version")) != F.concat_ws("-", col(day).cast("string"), text(col(form + "mode"))))) & col(day).isNotNull()))
-    day_text = [col(c).cast("string") for c in ("d", "ld", "ud")]
+    day_text = [col(c).cast("string") for c in ("d", "ld", "ud")] + ([iso_date(col("s_as_of_date")).cast("string")] if summary is not None else [])
     days = F.array_distinct(F.concat(F.filter(F.array(*day_text), lambda x: x.isNotNull()), F.coalesce("dates", F.array().cast("array<string>"))))
     checks += [(f"invalid_{n}", col(c).isNull()) for n, c in (("as_of_date", "d"), ("legacy_as_of_date", "ld"), ("universe_as_of_date", "ud"))]  # Q10f
     checks += [("as_of_dates_differ", F.size(days) > 1), ("ranking_not_of_one_date", true((col("n_rows") > 0) & (F.size("dates") != 1)))]
@@ -137,7 +144,6 @@ def validate(releases: DataFrame, ranking: DataFrame, reference_date, max_age_da
         ("pool_not_in_rank_order", ranked & some(p) & some(col("by_rank")) & (p != F.slice("by_rank", 1, F.greatest(F.size(p), F.lit(1))))),
     ]
     if summary is not None:  # Q10j
-        rows = rows.join(summary.select("release", F.lit(True).alias("told"), *(col(c).alias(f"s_{c}") for c in FIELDS)), "release", "left")
         told = F.coalesce("told", F.lit(False))
         checks += [("summary_symbols_differ", told & ~col("s_symbols").eqNullSafe(p)), ("summary_symbol_map_differs", told & (symbol_map(col("s_symbol_map"), quote) != col("lsm")))]
         checks += [(f"summary_{f}_differs", told & (text(col(f"s_{f}")) != text(col(f)))) for f in ("version", "mode", "source_project")]
@@ -154,7 +160,7 @@ def status(releases: DataFrame, ranking: DataFrame, report: DataFrame, preview:
     """Q12: release, n_symbols, n_ranked, n_selected, errors, warnings, status ('error', 'warning' or 'ok'), preview (by rank, nulls last)."""
     counts = report.groupBy("release").agg(F.count_if(F.col("severity") == "error").alias("errors"), F.count_if(F.col("severity") == "warning").alias("warnings"))
     rank = F.col("current_rank").try_cast("double")
-    first = ranking.groupBy("release").agg(F.slice(F.array_sort(F.collect_list(F.struct(rank.isNull().alias("none"), rank.alias("rank"), F.upper(F.trim("symbol")).alias("symbol")))), 1, preview)["symbol"].alias("top"))
+    first = ranking.groupBy("release").agg(F.slice(F.array_sort(F.collect_list(F.struct(rank.isNull().alias("none"), rank.alias("rank"), F.upper(stripped("symbol")).alias("symbol")))), 1, preview)["symbol"].alias("top"))
     out = releases.select("release", F.size(symbol_list(F.col("symbols"), quote)).alias("n_symbols")).join(selected_by_rank(ranking, quote).select("release", "n_rows", "n_selected"), "release", "left").join(first, "release", "left").join(counts, "release", "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
     named = F.when(zero("errors") > 0, "error").when(zero("warnings") > 0, "warning").otherwise("ok")

@@ -1,4 +1,4 @@
-"""Release history and liveness (H1, H2, H9, H10) and readiness checks (Q14, Q16)."""
+"""Release history and its tracks (H1 to H3), liveness (H9, H10) and training spans (Q16)."""
 
 from __future__ import annotations
 
@@ -8,22 +8,56 @@ from pyspark.sql import functions as F
 from panelrank.operators.calendar import after, calendar, schedule
 
 
-def release_index(ranked: DataFrame, pool_size: int, mode: str, lag: int = 1, frequency: str = "monthly") -> DataFrame:
-    """H1: one row per schedule date with a full pool: version, activation date, symbols in rank order, stability, churn.
+#: What may be said of a symbol in a pool.
+META_FIELDS = ("regime", "confidence")
 
-    `ranked` has date, symbol and current_rank (null where not ranked).
+
+def release_index(ranked: DataFrame, pool_size: int, mode: str, lag: int = 1, frequency: str = "monthly", by: tuple[str, ...] = (), source_project: str = "", meta_fields: tuple[str, ...] = META_FIELDS) -> DataFrame:
+    """H1: one row per schedule date (and `by`, such as a track) with a full pool.
+
+    by, as_of_date, version, activation_date (`lag` dates on, the date itself at the end), mode, source_project, pool_size,
+    expected_pool_size, symbols in rank order, regime and regime_confidence (of any row of the date that has them), stability and churn against
+    the release before of the same `by`, has_selection_meta (whether a pool row has one of `meta_fields`). `ranked` has by, date, symbol and
+    current_rank (null where not ranked); fields that it lacks are null.
     """
     days = calendar(ranked)
-    top = ranked.join(schedule(days, frequency).select("date"), "date").where(F.col("current_rank") <= pool_size)
-    pools = top.groupBy("date").agg(F.sort_array(F.collect_list(F.struct("current_rank", "symbol"))).alias("x")).where(F.size("x") == pool_size).select("date", F.col("x.symbol").alias("pool"))
-    before = F.lag("pool").over(Window.orderBy("date"))
-    dated = pools.join(after(days, lag), "date", "left").withColumn("stability", F.when(before.isNotNull(), F.size(F.array_intersect("pool", before)) / pool_size))
+    keys = [*by, "date"]
+    known = [f for f in meta_fields if f in ranked.columns]
+    at = ranked.join(schedule(days, frequency).select("date"), "date")
+    mine = F.col("current_rank") <= pool_size
+    told = lambda c: F.max(c) if c in ranked.columns else F.lit(None)
+    meta = F.max(F.when(mine, F.greatest(*(F.col(f).isNotNull() for f in known)) if len(known) > 1 else F.col(known[0]).isNotNull())) if known else F.lit(False)
+    pools = at.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.when(mine, F.struct("current_rank", "symbol")))).alias("x"), told("regime").cast("string").alias("regime"),
+        told("regime_confidence").cast("double").alias("regime_confidence"), meta.alias("has_selection_meta"),
+    ).where(F.size("x") == pool_size).withColumn("pool", F.col("x.symbol"))
+    before = F.lag("pool").over(Window.partitionBy(*by).orderBy("date"))
+    dated = pools.join(after(days, lag), "date", "left").withColumn("stability", F.when(before.isNotNull(), F.size(F.array_intersect("pool", before)) / F.size("pool")))
     return dated.select(
-        F.col("date").alias("as_of_date"), F.concat_ws("-", F.col("date").cast("string"), F.lit(mode)).alias("version"), F.coalesce("later", "date").alias("activation_date"),
-        F.concat_ws("|", "pool").alias("symbols"), "stability", (1 - F.col("stability")).alias("churn"),
+        *by, F.col("date").alias("as_of_date"), F.concat_ws("-", F.col("date").cast("string"), F.lit(mode)).alias("version"), F.coalesce("later", "date").alias("activation_date"), F.lit(mode).alias("mode"),
+        F.lit(source_project).alias("source_project"), F.size("pool").alias("pool_size"), F.lit(pool_size).alias("expected_pool_size"), F.concat_ws("|", "pool").alias("symbols"), "regime", "regime_confidence",
+        "stability", (1 - F.col("stability")).alias("churn"), "has_selection_meta",
     )
 
 
+def history_summary(index: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """H2: by, release_count, first_as_of_date, last_as_of_date, mean_pool_size, mean_pool_stability, mean_pool_churn, selection_meta_coverage.
+
+    Without `by` an empty history has one row with the count 0.
+    """
+    return index.groupBy(*by).agg(
+        F.count("*").alias("release_count"), F.min("as_of_date").alias("first_as_of_date"), F.max("as_of_date").alias("last_as_of_date"), F.avg("pool_size").alias("mean_pool_size"),
+        F.avg("stability").alias("mean_pool_stability"), F.avg("churn").alias("mean_pool_churn"), F.avg(F.col("has_selection_meta").cast("double")).alias("selection_meta_coverage"),
+    )
+
+
+def candidate_tracks(index: DataFrame, tracks: DataFrame) -> DataFrame:
+    """H3: the rows of `tracks` (track_id and what else describes one) with release_count, first_as_of_date, last_as_of_date; 0 and
+    nulls for a track without releases. `index`: the releases of all tracks, by track_id."""
+    told = history_summary(index, ("track_id",)).select("track_id", "release_count", "first_as_of_date", "last_as_of_date")
+    return tracks.join(told, "track_id", "left").withColumn("release_count", F.coalesce("release_count", F.lit(0)))
+
+
 def liveness(events: DataFrame, unit: str = "day") -> DataFrame:
     """H9: entity, slot, outcome: the newest outcome of each expected slot, or 'missing'. events: entity, ts, outcome."""
     slotted = events.withColumn("slot", F.to_date(F.date_trunc(unit, "ts")))
@@ -42,15 +76,6 @@ def trailing_streaks(slots: DataFrame, healthy: str, threshold: int) -> DataFram
     return agg.withColumn("alarm", F.col("streak") >= threshold)
 
 
-def readiness(panel: DataFrame, score: str, reference: DataFrame, min_members: int = 2) -> DataFrame:
-    """One row: scored dates, dates with too few members, reference dates and the share of them that the panel covers."""
-    per_date = panel.where(F.col("in_universe") & F.col(score).isNotNull()).groupBy("date").agg(F.countDistinct("symbol").alias("n"))
-    scored = per_date.agg(F.count("*").alias("scored_dates"), F.count_if(F.col("n") < min_members).alias("thin_dates"))
-    ref = reference.select("date").distinct()
-    covered = ref.join(panel.select("date", F.lit(1).alias("hit")).distinct(), "date", "left").agg(F.count("*").alias("reference_dates"), F.avg(F.coalesce("hit", F.lit(0))).alias("coverage"))
-    return scored.crossJoin(covered)
-
-
 def training_window(rows: DataFrame, by: list[str]) -> DataFrame:
     """Q16: first and last date and rows of each group."""
     return rows.groupBy(*by).agg(F.min("date").alias("start"), F.max("date").alias("end"), F.count("*").alias("n_rows"))

@@ -1,4 +1,4 @@
-"""Review tables (A15 to A17, H2, H5, H6, J14, J17, P12, Q14, Q15): what a monthly review reads from rankings, tracks and panels."""
+"""Review tables (A15 to A17, H4 to H7, J14, J17, Q14, Q15): what a monthly review reads from rankings, tracks and panels."""
 
 from __future__ import annotations
 
@@ -20,6 +20,61 @@ def track_metrics(index: DataFrame, metrics: dict[str, list[str]], order: str, m
     return rows.where("current is not null or baseline is not null")
 
 
+def strategy_metrics(index: DataFrame, tracks: DataFrame, metrics: dict[str, list[str]], repo: str, order: str = "as_of_date") -> DataFrame:
+    """H4: track_id, strategy_profile, repo, current_metrics, baseline_metrics: a row for each track, with empty maps where it has
+    no releases. `index`: releases by track_id; `tracks`: track_id, profile_name."""
+    rows = track_metrics(index, metrics, order, by="track_id")
+    entries = lambda c: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("metric", c))))).alias(f"{c}_metrics")
+    maps = rows.groupBy("track_id").agg(entries("current"), entries("baseline"))
+    none = F.create_map().cast("map<string,double>")
+    out = tracks.join(maps, "track_id", "left")
+    return out.select("track_id", F.col("profile_name").alias("strategy_profile"), F.lit(repo).alias("repo"), *(F.coalesce(f"{c}_metrics", none).alias(f"{c}_metrics") for c in ("current", "baseline")))
+
+
+def monthly_reviews(official: DataFrame, index: DataFrame, boundary: DataFrame, manifest: DataFrame, tracks: tuple[str, ...] = ("official_baseline", "challenger_topk_60")) -> DataFrame:
+    """H7: as_of_date, status, warnings, payload: the review of every official release in one plan.
+
+    official: as_of_date, version, mode, pool_size, symbols (list). index: the releases of the tracks (track_id, as_of_date, version, symbols as a
+    list); a review knows those up to its date. boundary: H5 by date. manifest: as_of_date, manifest_date, manifest_version,
+    manifest_mode. The payload is one struct as JSON; fields without a value are left out.
+    """
+    each = official.select("as_of_date", F.explode(F.array(*map(F.lit, tracks))).alias("track_id"), F.lit(1).alias("asked"))
+    release = F.struct(F.col("as_of_date").alias("release_date"), "version", "symbols")
+    met = each.select("track_id", "as_of_date", "asked", F.lit(None).cast(index.select(release.alias("r")).schema["r"].dataType).alias("r")).unionByName(
+        index.where(F.col("track_id").isin(*tracks)).select("track_id", "as_of_date", F.lit(0).alias("asked"), release.alias("r")))
+    w = Window.partitionBy("track_id").orderBy("as_of_date", "asked").rowsBetween(Window.unboundedPreceding, 0)
+    known = met.select("track_id", "as_of_date", "asked", F.count("r").over(w).alias("n"), F.min("r.release_date").over(w).alias("first"), F.last("r", ignorenulls=True).over(w).alias("last")).where("asked = 1")
+    own = official.select("as_of_date", F.col("symbols").alias("pool"))
+    rows = known.join(own, "as_of_date").select(
+        "as_of_date", "track_id", (F.col("n") > 0).alias("available"), F.col("n").alias("release_count"), F.col("first").alias("first_as_of_date"), F.col("last.release_date").alias("last_as_of_date"),
+        F.col("last.version").alias("version"), F.col("last.symbols").alias("symbols"), F.size(F.array_intersect("last.symbols", "pool")).alias("overlap"),
+        F.array_except("last.symbols", "pool").alias("only_in_track"), F.array_except("pool", "last.symbols").alias("only_in_official"),
+    )
+    said = F.struct("available", "release_count", "first_as_of_date", "last_as_of_date")
+    shown = F.struct("available", "version", F.coalesce("symbols", F.array().cast("array<string>")).alias("symbols"), *(F.when(F.col("available"), F.col(c)).alias(c) for c in ("overlap", "only_in_track", "only_in_official")))
+    by_date = rows.groupBy("as_of_date").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("track_id", said.alias("said"))))).alias("tracks"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("track_id", shown.alias("shown"))))).alias("previews"), F.max("available").alias("any_track"),
+    )
+    edge = boundary.select(F.col("date").alias("as_of_date"), F.struct(*(c for c in boundary.columns if c != "date")).alias("selection_boundary"))
+    out = official.join(by_date, "as_of_date", "left").join(edge, "as_of_date", "left").join(manifest, "as_of_date", "left")
+    differs = lambda a, b: ~F.coalesce(F.col(a), F.lit("")).eqNullSafe(F.coalesce(F.col(b).cast("string"), F.lit("")))
+    empty = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    track = lambda t, c: F.element_at("tracks", F.lit(t))[c]
+    tests = [
+        (empty("version"), "missing version"), (empty("mode"), "missing mode"),
+        (differs("manifest_date", "as_of_date"), "manifest date differs"), (differs("manifest_version", "version"), "manifest version differs"), (differs("manifest_mode", "mode"), "manifest mode differs"),
+        *(x for t in tracks for x in (
+            (F.col("any_track") & ~track(t, "available"), f"no release of {t}"),
+            (track(t, "available") & (track(t, "last_as_of_date") != F.col("as_of_date")), f"last release of {t} is of another date"))),
+        (F.size("symbols") == 0, "empty pool"), (F.col("pool_size") != F.size("symbols"), "pool size differs"),
+    ]
+    warnings = F.filter(F.array(*(F.when(F.coalesce(test, F.lit(False)), text) for test, text in tests)), lambda x: x.isNotNull())
+    out = out.withColumn("warnings", warnings).withColumn("status", F.when(F.size("warnings") > 0, "warning").otherwise("ok"))
+    body = F.struct("as_of_date", "status", F.struct("version", "mode", "pool_size", "symbols").alias("official_baseline"), "tracks", F.col("previews").alias("track_release_previews"), "selection_boundary", F.col("any_track").alias("shadow_analysis_available"), "warnings")
+    return out.select("as_of_date", "status", "warnings", F.to_json(body).alias("payload"))
+
+
 def tidy(wide: DataFrame, ids: list[str]) -> DataFrame:
     """Ids, metric, value: a row for each other column."""
     return wide.unpivot(ids, [c for c in wide.columns if c not in ids], "metric", "value")

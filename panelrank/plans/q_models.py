@@ -90,7 +90,8 @@ def release_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
     ranked = fixtures.bars(spark, sf_dir).withColumn("current_rank", F.row_number().over(Window.partitionBy("date").orderBy(F.desc("quote_volume"), "symbol")))
-    return history.release_index(ranked, 5, "core").withColumns({c: F.round(c, 6) for c in ("stability", "churn")})
+    index = history.release_index(ranked, 5, "core")
+    return index.select("as_of_date", "version", "activation_date", "symbols", *(F.round(c, 6).alias(c) for c in ("stability", "churn")))
 
 
 _EVENTS = "e AS (SELECT event_type || '-' || hour(ts) AS entity, ts, CASE WHEN value > 50 THEN 'failed' ELSE 'ok' END AS outcome FROM events)"

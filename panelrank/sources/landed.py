@@ -7,11 +7,13 @@ cast with `try_cast`: what is no number becomes null. Nothing is fetched here.
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelrank.functions.nulls import finite, true
+from panelrank.functions.tables import names as listing
 
 #: The fields of a bar as it is landed, in order, and the milliseconds of a day.
 KLINE = ("open_time", "open", "high", "low", "close", "volume", "close_time", "quote_volume", "trade_count", "taker_buy_base_volume", "taker_buy_quote_volume")
@@ -32,6 +34,11 @@ def _stem() -> Column:
     return F.upper(F.when(folder != "", decoded(decoded(folder))).otherwise(decoded(F.regexp_extract(path, r"/([^/.]+)[^/]*$", 1))))
 
 
+def _named(name: str) -> str:
+    """The symbol that a listed name is of, as `_stem` reads it from a path."""
+    return unquote(unquote(name.removeprefix("symbol=")) if name.startswith("symbol=") else name.split(".")[0]).upper()
+
+
 def last_by_date(rows: DataFrame, order: str) -> DataFrame:
     """One row of each symbol and date: the last by `order`."""
     names = [c for c in rows.columns if c not in ("symbol", "date", order)]
@@ -41,8 +48,16 @@ def last_by_date(rows: DataFrame, order: str) -> DataFrame:
 def read_bars(spark: SparkSession, folder: str, symbols: list[str] | None = None, start: str | None = None, end: str | None = None, columns=BARS) -> DataFrame:
     """A folder of CSV files with a header, one symbol each: symbol, date and numbers; the last line of a date wins.
 
-    `symbols` is a condition on the file's name, so files of others are not opened. Lines without a date are dropped.
+    With `symbols` the files are chosen from the folder's listing (`symbol=X` folders or files named after the symbol), so files of
+    others are not opened; a folder that is nested otherwise is read whole. Lines without a date are dropped.
     """
+    wanted = None if symbols is None else {s.upper() for s in symbols}
+    listed = [] if wanted is None else [n for n in listing(spark, folder) if not n.startswith(("_", "."))]
+    chosen = [n for n in listed if _named(n) in wanted]
+    if wanted is not None and all(n.startswith("symbol=") or "." in n for n in listed):
+        if not chosen:
+            return spark.createDataFrame([], "symbol string, date date, " + ", ".join(f"{c} double" for c in columns))
+        folder = [f"{folder}/{n}" for n in chosen]
     csv = spark.read.option("header", True).option("enforceSchema", False).option("recursiveFileLookup", True)
     names = [c for c in csv.csv(folder).columns if c != "symbol"]  # the header of one file; files with another raise an error
     rows = csv.schema(", ".join(f"`{c}` string" for c in names)).csv(folder)
@@ -179,7 +194,12 @@ def named_closes(rows: DataFrame, as_of, symbol: str, cutoff_ms: int | None = No
     return kept.select("date", "close"), broken
 
 
-def read_latest(spark: SparkSession, pattern: str) -> DataFrame:
-    """The rows of the CSV file of the greatest path among those that a pattern matches."""
-    rows = spark.read.option("header", True).csv(pattern).select("*", F.col("_metadata.file_path").alias("from_file"))
-    return rows.join(rows.agg(F.max("from_file").alias("from_file")), "from_file", "left_semi").drop("from_file")
+def read_latest(spark: SparkSession, folder: str, prefix: str = "", suffix: str = "") -> DataFrame:
+    """The CSV rows of the greatest name in a folder among those that begin and end as asked; empty without one.
+
+    The choice is made from the folder's listing, so no other file is opened.
+    """
+    found = [n for n in listing(spark, folder) if n.startswith(prefix) and n.endswith(suffix) and not n.startswith(("_", "."))]
+    if not found:
+        return spark.createDataFrame([], "date string")
+    return spark.read.option("header", True).csv(f"{folder}/{found[-1]}")

@@ -14,20 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelrank.functions.tables import names, path_of
 from panelrank.operators.review import fingerprint
 
 
-def _fs(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def names(spark: SparkSession, folder: str) -> list[str]:
-    """The names in a folder, sorted; one call, no file is opened."""
-    where, fs = _fs(spark, folder)
-    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
-
-
 def _entry(spark: SparkSession, path: str, name: str) -> dict:
     return json.loads("".join(r["value"] for r in spark.read.text(f"{path}/log/{name}").collect()))
 
@@ -58,7 +48,7 @@ def publish(spark: SparkSession, path: str, version: str, by: str, schema: str,
     parts = mine if whole else {**now["parts"], **mine}
     entry = {"seq": now["seq"] + 1, "version": version, "versions": [*now["versions"], version], "parts": parts, "schema": schema, "fingerprint": content}
     name = f"{entry['seq']:010d}.json"
-    aside, fs = _fs(spark, f"{path}/log/_{name}")
+    aside, fs = path_of(spark, f"{path}/log/_{name}")
     out = fs.create(aside, True)
     out.write(bytearray(json.dumps(entry).encode()))
     out.close()

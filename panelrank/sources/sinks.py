@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelrank.operators import review
 from panelrank.operators.scores import ranking_order
+from panelrank.sources import published
 
 #: The columns of the ranking file.
 RANKING = ("as_of_date", "symbol", "rule_score", "linear_score", "ml_score", "final_score", "regime", "confidence", "selected_flag", "current_rank")
@@ -43,6 +45,42 @@ def pool_payload(panel: DataFrame, metadata: DataFrame, pool_size: int, mode: st
     )
 
 
+def legacy_payload(payload: DataFrame) -> DataFrame:
+    """K3: the legacy form of a pool: its symbols are the map from symbol to base asset; what else it says is the same."""
+    return payload.withColumn("symbols", F.col("symbol_map"))
+
+
+def payload_pairs(payload: DataFrame) -> DataFrame:
+    """K3: version, as_of_date, form ('list' or 'legacy'), payload: both forms of each pool as JSON, without null fields."""
+    fields = ("as_of_date", "version", "mode", "pool_size", "symbols", "symbol_map", "source_project")
+    form = lambda df, name, *more: df.select("version", "as_of_date", F.lit(name).alias("form"), F.to_json(F.struct(*fields, *more)).alias("payload"))
+    meta = F.when(F.size("selection_meta") > 0, F.col("selection_meta")).alias("selection_meta")
+    return form(payload, "list", meta).unionByName(form(legacy_payload(payload), "legacy"))
+
+
+def pair_checks(pairs: DataFrame) -> DataFrame:
+    """check, ok: whether each version has one payload of either form, of one date, and both hold as many symbols as they say."""
+    said = F.get_json_object("payload", "$.pool_size").cast("int")
+    listed = F.from_json(F.get_json_object("payload", "$.symbols"), "array<string>")
+    mapped = F.from_json(F.get_json_object("payload", "$.symbol_map"), "map<string,string>")
+    size = F.when(F.col("form") == "list", F.size(listed)).otherwise(F.size(mapped))
+    per = pairs.groupBy("version").agg(F.count("*").alias("n"), F.countDistinct("form").alias("forms"), F.countDistinct("as_of_date").alias("dates"), F.min(F.coalesce(size == said, F.lit(False))).alias("sized"))
+    tests = {"both_forms": (F.col("n") == 2) & (F.col("forms") == 2), "one_date": F.col("dates") == 1, "sizes": F.col("sized")}
+    return per.agg(*(F.coalesce(F.min(t), F.lit(True)).alias(n) for n, t in tests.items())).select(F.inline(F.array(*(F.struct(F.lit(n).alias("check"), F.col(n).alias("ok")) for n in tests))))
+
+
+def publish_pools(payload: DataFrame, path: str, version: str) -> DataFrame:
+    """K3, K4: the pairs of all pools as one published version, by year; a version that fails its checks is not published."""
+    pairs = payload_pairs(payload).withColumn("year", F.substring("as_of_date", 1, 4))
+    return published.release(pairs, path, version, "year", pair_checks)
+
+
+def publish_lifecycle(panel: DataFrame, path: str, version: str, today: Column, references: tuple[str, ...], **limits) -> DataFrame:
+    """K6: the panel for the lifecycle, by year, published only if what was written passes the readiness checks (Q14). Gives the checks."""
+    rows = lifecycle_panel(panel, today).withColumn("year", F.year("date"))
+    return published.release(rows, path, version, "year", lambda back: review.lifecycle_report(back, today, references, **limits))
+
+
 def lifecycle_panel(panel: DataFrame, today: Column, columns: tuple[str, ...] = ("date", "symbol", "in_universe", "final_score", "close")) -> DataFrame:
     """The columns that the lifecycle wants, up to yesterday."""
     return panel.where(F.col("date").isNotNull() & (F.col("date") < today)).select(*columns)

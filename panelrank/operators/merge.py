@@ -1,13 +1,14 @@
-"""Merge of several price sources by priority behind a quality gate.
+"""Merge of several price sources by priority behind a quality gate (S10, S11, S15 to S17, A7 to A11, Q1 to Q9),
+and the same under many profiles at once (V10).
 
 All symbols go through one plan: statistics grouped by symbol, one decision row each, and a union of what is allowed.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelrank.functions.nulls import finite, true
@@ -118,26 +119,28 @@ def overlap(reference: DataFrame, candidate: DataFrame, prefix: str) -> DataFram
     )
 
 
-def quality(primary: DataFrame, external: DataFrame, check: DataFrame, tiers: DataFrame, sources: list[str], gate: Gate, merge_cautious: bool = True) -> DataFrame:
-    """One decision row per symbol of `primary`.
-
-    `tiers`: symbol, tier ('core' or 'cautious'), caution (text or null).
-    """
-    best = combine(external, sources)
+def gate_statistics(primary: DataFrame, external: DataFrame, check: DataFrame, best: DataFrame, jump: float = 3.0) -> DataFrame:
+    """What the gate asks of each symbol of `primary`; `best` is the external history with one row per date, and a return
+    beyond `jump` is a jump."""
     first = primary.groupBy("symbol").agg(F.min("date").alias("primary_start"))
     w = by_symbol()
     jumps = best.join(first, "symbol").withColumn("r", F.abs(finite(F.try_divide(F.col("close"), F.lag("close").over(w)) - 1)))
     missing = F.col("open").isNull() | F.col("high").isNull() | F.col("low").isNull() | F.col("close").isNull()
     stats = jumps.groupBy("symbol").agg(
         F.count("*").alias("external_rows"), F.count_if(F.col("date") < F.col("primary_start")).alias("rows_added"), F.count_if(missing).alias("missing_core"),
-        F.count_if(F.col("r") > gate.jump).alias("jumps"), F.max("r").alias("max_abs_return"),
+        F.count_if(F.col("r") > jump).alias("jumps"), F.max("r").alias("max_abs_return"),
         F.concat_ws(",", F.array_sort(F.collect_set("data_source"))).alias("sources_used"), F.concat_ws(",", F.array_sort(F.collect_set("data_provider"))).alias("providers_used"),
     )
     repeats = external.groupBy("symbol").agg((F.count("*") - F.countDistinct("date")).alias("duplicate_dates"))
     checked = gaps(check).select("symbol", F.col("gap_count").alias("check_gaps"))
     out = first
-    for part in (stats, repeats, gaps(best), overlap(primary, best, "overlap"), overlap(best, check, "check"), checked, tiers):
+    for part in (stats, repeats, gaps(best), overlap(primary, best, "overlap"), overlap(best, check, "check"), checked):
         out = out.join(part, "symbol", "left")
+    return out
+
+
+def decide(out: DataFrame, gate: Gate, merge_cautious: bool | Column = True) -> DataFrame:
+    """Q4 to Q8: the decision on each row of statistics with `tier` and `caution`. The gate's limits may be columns of the row."""
     zero = ["external_rows", "rows_added", "missing_core", "jumps", "duplicate_dates", "gap_count", "max_gap_days", "overlap_days", "check_days", "check_gaps"]
     has_check = F.col("check_gaps").isNotNull()
     out = out.withColumn("_has_check", has_check).withColumns({c: F.coalesce(c, F.lit(0)) for c in zero}).withColumn("tier", F.coalesce("tier", F.lit("none")))
@@ -178,9 +181,9 @@ def quality(primary: DataFrame, external: DataFrame, check: DataFrame, tiers: Da
     # the first that holds decides: condition, status, reasons, decision, and what is said of the check and as notes
     chain = [
         (F.col("tier") == "none", "not_whitelisted", "symbol_not_in_backfill_whitelist", SAYS["primary_only"], unused, ""),
-        (cautious & F.lit(not merge_cautious), "cautious_holdout", "cautious_tier_not_enabled_for_merge", "cautious_holdout", unused, caution),
+        (cautious & ~F.lit(merge_cautious), "cautious_holdout", "cautious_tier_not_enabled_for_merge", "cautious_holdout", unused, caution),
         (F.col("external_rows") == 0, "no_external_rows", "no_external_rows_available", "rejected", unused, ""),
-        (F.lit(not gate.enabled), "merged", "", approved, F.lit(SAYS["unused_check"]), caution),
+        (~F.lit(gate.enabled), "merged", "", approved, F.lit(SAYS["unused_check"]), caution),
         (F.col("rows_added") < gate.min_rows_added, "insufficient_extension", SAYS["short"], "rejected", unused, ""),
         (reasons != "", "rejected_quality_gate", reasons, "rejected", status, all_notes),
     ]
@@ -192,6 +195,92 @@ def quality(primary: DataFrame, external: DataFrame, check: DataFrame, tiers: Da
     return out.withColumn("merge_applied", F.col("quality_status") == "merged").drop("_has_check", "caution")
 
 
+def quality(primary: DataFrame, external: DataFrame, check: DataFrame, tiers: DataFrame, sources: list[str], gate: Gate, merge_cautious: bool = True) -> DataFrame:
+    """One decision row per symbol of `primary`.
+
+    `tiers`: symbol, tier ('core' or 'cautious'), caution (text or null).
+    """
+    stats = gate_statistics(primary, external, check, combine(external, sources), gate.jump)
+    return decide(stats.join(tiers, "symbol", "left"), gate, merge_cautious)
+
+
+#: Between a set of sources, or a profile, and a symbol in a key; no symbol has it.
+MARK = "\x1f"
+
+
+def profile_table(spark: SparkSession, profiles: dict[str, dict]) -> DataFrame:
+    """Profiles as rows: profile, sources (best first), merge_cautious, and a column for each limit of the gate.
+
+    Each profile gives `sources` and what differs from the published limits.
+    """
+    rows = []
+    for name, given in profiles.items():
+        unknown = set(given) - {"sources", "merge_cautious", *(f.name for f in fields(Gate))}
+        if unknown:
+            raise ValueError(f"unknown settings of profile {name}: {', '.join(sorted(unknown))}")
+        gate = Gate(**{k: v for k, v in given.items() if k not in ("sources", "merge_cautious")})
+        rows.append((name, list(given["sources"]), bool(given.get("merge_cautious", True)), *(list(v) if isinstance(v, tuple) else v for v in (getattr(gate, f.name) for f in fields(gate)))))
+    kinds = {bool: "boolean", int: "long", float: "double"}
+    kind = lambda v: f"array<{kinds[type(v[0])]}>" if isinstance(v, tuple) else kinds[type(v)]
+    limits = ", ".join(f"{f.name} {kind(f.default)}" for f in fields(Gate))
+    return spark.createDataFrame(rows, f"profile string, sources array<string>, merge_cautious boolean, {limits}")
+
+
+def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows once for each key, which goes before the symbol."""
+    return df.withColumn("_k", F.explode(F.array(*map(F.lit, keys)))).withColumn("symbol", F.concat_ws(MARK, "_k", "symbol")).drop("_k")
+
+
+def _best_of(keyed: DataFrame) -> DataFrame:
+    """One row per key, symbol and date: the source that stands first in the key's list, then the provider's name."""
+    place = F.array_position(F.split(F.element_at(F.split("symbol", MARK), 1), ">"), F.col("data_source"))
+    w = Window.partitionBy("symbol", "date").orderBy(F.when(place > 0, place).otherwise(2**31), "data_provider")
+    return keyed.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+
+
+def sweep(primary: DataFrame, external: DataFrame, check: DataFrame, profiles: DataFrame, tiers: DataFrame) -> DataFrame:
+    """A decision for each profile and symbol in one plan. tiers: profile, symbol, tier, caution.
+
+    Statistics are found once for each list of sources, however many profiles share it; the limits of the gate are columns. Profiles
+    whose `jump` differs count as other lists. Profiles are parameters: only their lists pass through the driver.
+    """
+    sets = profiles.select(F.array_join("sources", ">").alias("k"), "jump").distinct().collect()
+    stats = None
+    for jump in sorted({r["jump"] for r in sets}):
+        keys = sorted(r["k"] for r in sets if r["jump"] == jump)
+        far = _keyed(external, keys)
+        one = gate_statistics(_keyed(primary, keys), far, _keyed(check, keys), _best_of(far), jump).withColumn("_jump", F.lit(jump))
+        stats = one if stats is None else stats.unionByName(one)
+    parts = F.split("symbol", MARK)
+    stats = stats.withColumns({"_set": parts[0], "symbol": parts[1]})
+    limit = {f.name: f"limit_{f.name}" for f in fields(Gate)}
+    named = profiles.select("profile", F.array_join("sources", ">").alias("_of"), "merge_cautious", *(F.col(a).alias(b) for a, b in limit.items()))
+    rows = stats.join(named, (F.col("_set") == F.col("_of")) & (F.col("_jump") == F.col("limit_jump"))).join(tiers, ["profile", "symbol"], "left")
+    decided = decide(rows, Gate(**{a: F.col(b) for a, b in limit.items()}), F.col("merge_cautious"))
+    return decided.drop("_set", "_of", "_jump", "merge_cautious", *limit.values())
+
+
+def sweep_summary(decisions: DataFrame) -> DataFrame:
+    """By profile: symbols asked of, approved_core, approved_cautious, rejected, cautious_holdout, merged, rows_added of the merged."""
+    is_ = lambda d: F.count_if(F.col("final_decision") == d).alias(d)
+    return decisions.groupBy("profile").agg(
+        F.count("*").alias("symbols"), *(is_(d) for d in ("approved_core", "approved_cautious", "rejected", "cautious_holdout")),
+        F.count_if("merge_applied").alias("merged"), F.coalesce(F.sum(F.when(F.col("merge_applied"), F.col("rows_added"))), F.lit(0)).alias("merged_rows_added"),
+    )
+
+
+def sweep_histories(primary: DataFrame, external: DataFrame, decisions: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Profile, date, symbol and prices: each profile's merged history; symbols that it does not merge have the primary rows."""
+    named = {r["profile"]: r["sources"] for r in profiles.select("profile", "sources").collect()}
+    order = F.create_map(*(x for p, sources in named.items() for x in (F.lit(p), F.array(*map(F.lit, sources)))))
+    each = F.explode(F.array(*map(F.lit, named)))
+    allowed = external.join(decisions.where("merge_applied").select("profile", "symbol"), "symbol")
+    both = primary.withColumn("profile", each).unionByName(allowed)
+    place = F.array_position(order[F.col("profile")], F.col("data_source"))
+    w = Window.partitionBy("profile", "symbol", "date").orderBy(F.when(place > 0, place).otherwise(2**31), "data_provider")
+    return both.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+
+
 def merge_histories(primary: DataFrame, external: DataFrame, check: DataFrame, tiers: DataFrame, sources: list[str], gate: Gate, merge_cautious: bool = True) -> tuple[DataFrame, DataFrame]:
     """Q9: the merged history of all symbols, and the decision table."""
     decisions = quality(primary, external, check, tiers, sources, gate, merge_cautious)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelrank import fixtures
+from panelrank.functions.tables import stored
 from panelrank.operators import merge
 from panelrank.plans.q_panel import rounds
 
@@ -134,3 +135,84 @@ SELECT symbol, max(date) AS latest, coalesce(max(date) >= DATE '2001-11-01' OR d
 def cache_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fixtures.bars(spark, sf_dir)
     return merge.freshness(rows, F.lit("2001-11-01").cast("date"), 7).join(merge.density(rows, 0.6), "symbol").withColumn("density", F.round("density", 6))
+
+
+#: Profiles: sources, what differs from GATE, and the last core and cautious symbol. A third source repeats days of the first two.
+PROFILES = {
+    "plain": ({}, ("primary", "alternate", "archive", "third"), 18, 22),
+    "third_first": ({}, ("primary", "third", "alternate", "archive"), 18, 22),
+    "strict": ({"max_gap_days": 20, "max_jumps": 3, "min_overlap_corr": 0.999}, ("primary", "alternate", "archive", "third"), 12, 24),
+    "loose": ({"min_overlap_corr": 0.1, "max_overlap_diff": 0.9, "max_overlap_cv": 0.9, "check_rejects": False}, ("primary", "third", "alternate", "archive"), 18, 24),
+    "core_only": ({"merge_cautious": False}, ("primary", "alternate", "archive", "third"), 10, 22),
+    "open": ({"enabled": False}, ("primary", "alternate", "archive", "third"), 18, 22),
+}
+_SHARED = {"max_gaps": 100_000, "max_gap_days": 60, "max_jumps": 50, "min_check_days": 200, "max_duplicates": 1_000_000}
+
+
+def _third(spark, sf_dir):
+    """Every third day of brands up to 20, half a percent dearer."""
+    rows = fixtures.bars(spark, sf_dir).where((F.dayofyear("date") % 3 == 0) & (F.regexp_extract("symbol", r"(\d+)$", 1).cast("int") <= 20))
+    return merge.normalize(rows.withColumns({c: F.col(c) * 1.005 for c in ("open", "high", "low", "close")}), "third", "feed", True)
+
+
+def _sweep(spark, sf_dir):
+    profiles = merge.profile_table(spark, {n: {"sources": sources, **_SHARED, **given} for n, (given, sources, *_) in PROFILES.items()})
+    number = F.regexp_extract("symbol", r"(\d+)$", 1).cast("int")
+    bounds = F.explode(F.array(*(F.struct(F.lit(n).alias("profile"), F.lit(a).alias("a"), F.lit(b).alias("b")) for n, (_, _, a, b) in PROFILES.items())))
+    tiers = fixtures.metadata(spark, sf_dir).select(F.upper("symbol").alias("symbol"), number.alias("n"), bounds.alias("x")).select("symbol", "n", "x.*").where("n <= b")
+    tiers = tiers.select("profile", "symbol", F.when(F.col("n") <= F.col("a"), "core").otherwise("cautious").alias("tier"), F.when(F.col("n") > F.col("a"), "thin market").alias("caution"))
+    primary, external = _primary(spark, sf_dir), _external(spark, sf_dir).unionByName(_third(spark, sf_dir))
+    return primary, external, profiles, merge.sweep(primary, external, _check(spark, sf_dir), profiles, tiers)
+
+
+_SETS = {">".join(p[1]): p[1] for p in PROFILES.values()}
+
+
+def _sweep_sql() -> str:
+    """The gate's statistics over symbols that begin with their set of sources, then q1 to q4 once for each profile with its limits."""
+    sets = "(VALUES " + ", ".join(f"('{k}', [{', '.join(repr(x) for x in v)}])" for k, v in _SETS.items()) + ")"
+    base = BASE.replace("pri AS MATERIALIZED", "pri0 AS MATERIALIZED").replace("ext AS MATERIALIZED", "ext0 AS MATERIALIZED").replace("ck AS MATERIALIZED", "ck0 AS MATERIALIZED")
+    text = base + f""",
+sets(set_, srcs) AS {sets},
+ext1 AS MATERIALIZED (SELECT * FROM ext0 UNION ALL SELECT date, upper(symbol), open * 1.005::DOUBLE, high * 1.005::DOUBLE, low * 1.005::DOUBLE, close * 1.005::DOUBLE, volume, quote_volume, 'third', 'feed' FROM bars WHERE dayofyear(date) % 3 = 0 AND regexp_extract(symbol, '([0-9]+)$', 1)::INT <= 20),
+pri AS MATERIALIZED (SELECT * REPLACE (set_ || '|' || symbol AS symbol) FROM pri0, sets),
+ext AS MATERIALIZED (SELECT * EXCLUDE (r, set_, srcs) FROM (SELECT * REPLACE (set_ || '|' || symbol AS symbol), row_number() OVER (PARTITION BY set_, symbol, date ORDER BY list_position(srcs, data_source) NULLS LAST, data_provider) AS r FROM ext1, sets) WHERE r = 1),
+ck AS MATERIALIZED (SELECT * REPLACE (set_ || '|' || symbol AS symbol) FROM ck0, sets)"""
+    cut = QUALITY.index("q1 AS (")
+    text += QUALITY[:cut].rstrip().rstrip(",")
+    for name, (given, sources, core, cautious) in PROFILES.items():
+        chain = QUALITY[cut:]
+        for a, b in (("n <= 18", f"n <= {core}"), ("n <= 22", f"n <= {cautious}"), ("n > 18", f"n > {core}"), ("FROM st)", f"FROM st WHERE starts_with(symbol, '{'>'.join(sources)}|'))"),
+                     ("max_gap_days > 60", f"max_gap_days > {given.get('max_gap_days', 60)}"), ("jumps > 50", f"jumps > {given.get('max_jumps', 50)}"), ("overlap_corr < 0.97", f"overlap_corr < {given.get('min_overlap_corr', 0.97)}"),
+                     ("overlap_diff > 0.03", f"overlap_diff > {given.get('max_overlap_diff', 0.03)}"), ("overlap_cv > 0.05", f"overlap_cv > {given.get('max_overlap_cv', 0.05)}"),
+                     ("CASE WHEN lc AND (coalesce(check_corr < 0.8", f"CASE WHEN {str(given.get('check_rejects', True)).lower()} AND lc AND (coalesce(check_corr < 0.8"),
+                     ("WHEN external_rows = 0", ("" if given.get("merge_cautious", True) else "WHEN tier = 'cautious' THEN 'cautious_holdout' ") + "WHEN external_rows = 0"),
+                     ("WHEN rows_added < 30", ("" if given.get("enabled", True) else "WHEN true THEN 'merged' ") + "WHEN rows_added < 30")):
+            chain = chain.replace(a, b)
+        for q in ("q1", "q2", "q3", "q4"):
+            chain = chain.replace(f"{q} AS (", f"{q}_{name} AS (").replace(f"FROM {q})", f"FROM {q}_{name})")
+        text += ",\n" + chain
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS profile, regexp_replace(symbol, '^.*[|]', '') AS symbol, tier, quality_status, CASE WHEN quality_status = 'rejected_quality_gate' THEN reasons ELSE '' END AS reasons, rows_added FROM q4_{n}" for n in PROFILES)
+    return text + f""",
+dc AS MATERIALIZED (SELECT *, CASE quality_status WHEN 'not_whitelisted' THEN 'binance_only' WHEN 'cautious_holdout' THEN 'cautious_holdout' WHEN 'merged' THEN CASE tier WHEN 'cautious' THEN 'approved_cautious' ELSE 'approved_core' END ELSE 'rejected' END AS final_decision FROM ({rows}))"""
+
+
+@query("v10_profile_decisions", _sweep_sql() + " SELECT profile, symbol, tier, quality_status, reasons, final_decision FROM dc")
+def profile_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decisions = _sweep(spark, sf_dir)[3]
+    return decisions.select("profile", "symbol", "tier", "quality_status", F.when(F.col("quality_status") == "rejected_quality_gate", F.col("quality_reasons")).otherwise("").alias("reasons"), "final_decision")
+
+
+@query("v10_profile_summary", _sweep_sql() + """, al AS (SELECT p.profile, pri0.* FROM pri0, (SELECT DISTINCT profile FROM dc) p UNION ALL SELECT dc.profile, e.* FROM ext1 e JOIN dc ON dc.symbol = e.symbol AND quality_status = 'merged'),
+od(profile, srcs) AS (VALUES """ + ", ".join(f"('{n}', [{', '.join(repr(x) for x in p[1])}])" for n, p in PROFILES.items()) + """),
+mh AS (SELECT *, row_number() OVER (PARTITION BY profile, symbol, date ORDER BY list_position(srcs, data_source) NULLS LAST, data_provider) AS r FROM al JOIN od USING (profile)),
+ms AS (SELECT profile, count(*) AS history_rows, count(*) FILTER (data_source = 'third') AS third_rows, round(sum(round(close, 6)::DECIMAL(18, 6)), 4)::DOUBLE AS closes FROM mh WHERE r = 1 GROUP BY profile)
+SELECT profile, count(*) AS symbols, count(*) FILTER (final_decision = 'approved_core') AS approved_core, count(*) FILTER (final_decision = 'approved_cautious') AS approved_cautious, count(*) FILTER (final_decision = 'rejected') AS rejected,
+  count(*) FILTER (final_decision = 'cautious_holdout') AS cautious_holdout, count(*) FILTER (quality_status = 'merged') AS merged, coalesce(sum(rows_added) FILTER (quality_status = 'merged'), 0)::BIGINT AS merged_rows_added,
+  any_value(history_rows) AS history_rows, any_value(third_rows) AS third_rows FROM dc JOIN ms USING (profile) GROUP BY profile""")
+def profile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions by profile, and what the merged histories of the profiles hold."""
+    primary, external, profiles, decisions = _sweep(spark, sf_dir)
+    decisions = stored(decisions, "decisions")
+    held = merge.sweep_histories(primary, external, decisions, profiles).groupBy("profile").agg(F.count("*").alias("history_rows"), F.count_if(F.col("data_source") == "third").alias("third_rows"))
+    return merge.sweep_summary(decisions).join(held, "profile")

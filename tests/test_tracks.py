@@ -125,3 +125,40 @@ def test_files_of_other_symbols_are_not_opened(spark, tmp_path):
 @pytest.mark.parametrize("raw", [" AUSDT\n", "\tausdt", " AUSDT "])
 def test_symbols_are_stripped_of_all_white_space(spark, raw):
     assert spark.createDataFrame([(raw,)], "s string").select(contract.symbol(F.col("s"), "USDT").alias("s")).first()["s"] == "AUSDT"
+
+
+def test_sweep_equals_single_gates(spark):
+    """Each profile decides as a gate of its own would, on the same rows."""
+    import random
+
+    from panelrank.operators import merge
+
+    rng = random.Random(2)
+    days = [D(2022, 1, 1) + dt.timedelta(days=i) for i in range(400)]
+    rows = {s: [] for s in ("primary", "one", "two", "check")}
+    for n, symbol in enumerate(("AAA", "BBB", "CCC", "DDD")):
+        price = 100.0
+        for i, d in enumerate(days):
+            price *= 1 + rng.uniform(-0.03, 0.03)
+            for source in rows:
+                if (source == "primary" and i < 150) or (source == "two" and (i % 2 or n == 3)) or (source == "one" and n == 2 and 200 < i < 220):
+                    continue
+                p = price * (1 + rng.uniform(-0.02, 0.02) * n) if source != "primary" else price
+                rows[source].append((d, symbol, p, p, p, p, 1.0, None))
+    schema = "date date, symbol string, open double, high double, low double, close double, volume double, quote_volume double"
+    of = {s: merge.normalize(spark.createDataFrame(r, schema), s, "feed", s != "primary") for s, r in rows.items()}
+    external = of["one"].unionByName(of["two"])
+    given = {"a": {"sources": ("primary", "one", "two"), "max_duplicates": 999}, "b": {"sources": ("primary", "two", "one"), "max_duplicates": 999, "max_gap_days": 30, "min_overlap_corr": 0.5, "merge_cautious": False}, "c": {"sources": ("primary", "one", "two"), "max_duplicates": 0, "jump": 0.01}}
+    tiers = spark.createDataFrame([(p, s, "cautious" if s == "DDD" else "core", None) for p in given for s in ("AAA", "BBB", "CCC", "DDD")], "profile string, symbol string, tier string, caution string")
+    swept = merge.sweep(of["primary"], external, of["check"], merge.profile_table(spark, given), tiers)
+    columns = ["symbol", "quality_status", "quality_reasons", "final_decision", "notes", "jumps", "rows_added"]
+    seen = set()
+    for name, p in given.items():
+        gate = merge.Gate(**{k: v for k, v in p.items() if k not in ("sources", "merge_cautious")})
+        alone = merge.quality(of["primary"], external, of["check"], tiers.where(F.col("profile") == name).drop("profile"), list(p["sources"]), gate, p.get("merge_cautious", True))
+        mine = sorted(map(tuple, swept.where(F.col("profile") == name).select(*columns).collect()))
+        assert mine == sorted(map(tuple, alone.select(*columns).collect())), name
+        seen |= {r[3] for r in mine}
+    assert len(seen) >= 3
+    with pytest.raises(ValueError, match="unknown settings"):
+        merge.profile_table(spark, {"x": {"sources": ("primary",), "max_gap": 3}})

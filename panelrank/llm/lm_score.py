@@ -4,7 +4,8 @@ P(word | history) = P(class | history) * P(word | class). The first factor is a
 features are the last word, the last two words, and the words two and three places back (skips), hashed to rows of
 one weight table. The second is a softmax whose only feature is the word itself, so its weights have a closed form:
 the relative frequency inside the class, plus one. Words outside the most frequent `vocabulary` share one class, in
-which all words seen, and one place for all unseen, count plus one: so the probabilities of all words sum to 1. A text
+which all words seen, and one place for all unseen, count plus one: so the probabilities of all words sum to 1. Words seen once
+are always of that class, so it is learnt whatever the number of words, and its mass is that of new words (Good and Turing). A text
 ends with an end token.
 
 Spark counts all tokens of the training texts; what it gathers grows with them. Texts are then written once as ids,
@@ -265,21 +266,23 @@ class Model:
 
 
 def _vocabulary(counts: DataFrame, vocabulary: int) -> tuple[Words, DataFrame]:
-    """The most frequent words, about `vocabulary` of them, and the counts of all others.
+    """The most frequent words seen twice or more, about `vocabulary` of them, and the counts of all others.
 
-    Frequencies are taken in steps of an eighth of an octave; of the step that is too large, words of the least hashes.
+    Words seen once never have an id, so the class of all other words is learnt at every size: from where words that are new
+    to the texts before them stand. Frequencies are taken in steps of an eighth of an octave; of the step that is too large, words of the least hashes.
     """
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     step = F.floor(F.log2("n") * 8).cast("int")
-    steps = sorted(counts.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["s"])
+    several = counts.where("n > 1")
+    steps = sorted(several.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["s"])
     held, frequent = 0, F.lit(False)
     for r in steps:
         if held + r["n"] > vocabulary:
             share = int((vocabulary - held) / r["n"] * (1 << 20))
-            frequent = frequent | ((step == r["s"]) & (F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < share))
+            frequent = frequent | ((F.col("n") > 1) & (step == r["s"]) & (F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < share))
             break
         held += r["n"]
-        frequent = step >= r["s"]
+        frequent = (F.col("n") > 1) & (step >= r["s"])
     top = counts.where(frequent).toPandas().sort_values(["n", "word"], ascending=[False, True])
     words = Words({bytes(w): i for i, w in enumerate(top["word"])}, top["n"].to_numpy(np.int64), int(sums["n"]), int(sums["v"]))
     return words, counts.where(~frequent)
@@ -289,6 +292,9 @@ def _learnt(coded: DataFrame, words: Words, others: DataFrame, rounds: int) -> M
     """The model from the training texts' ids; each text has its turn in one round."""
     classes = _classes(coded, words)
     weights = np.zeros((BUCKETS + 1, CLUSTERS * (len(BINS) + 1) + 2), np.float32)
+    # the general weights start from the classes' shares, so a class that no text shows is unlikely, not open
+    shown = np.bincount(classes, np.append(words.count, words.total - words.count.sum()), weights.shape[1]) + 1.0
+    weights[BUCKETS] = np.log(shown / shown.sum())
     part = F.pmod(F.xxhash64("ids"), F.lit(rounds))
     for number in range(rounds if len(words.ids) else 0):
         weights = _train_round(coded.where(part == number), classes, weights)

@@ -327,3 +327,42 @@ def test_lm_without_training(spark):
     out = lm_score.score(docs, lm_score.fit(docs, F.lit(False))).collect()
     assert sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in out) == [(1, 3, 0, 0, 0.0), (2, 1, 0, 0, 0.0)]
     assert lm_score.score(docs.limit(0), lm_score.fit(docs, F.lit(True))).count() == 0
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_lm_invented_words_score_below_known_ones(spark, size):
+    """Also where all training words would fit the vocabulary: words that no text shows must not be cheap."""
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet").select("doc_id", "text")
+    known = docs.where("length(text) > 900").orderBy("doc_id").first()["text"].split()[:50]
+    asked = spark.createDataFrame([(-1, " ".join(f"zq{i}xw{7 * i}k" for i in range(50))), (-2, " ".join(known))], docs.schema)
+    rows = {r["doc_id"]: r for r in lm_score.fit_and_score(docs.unionByName(asked), F.col("doc_id") >= 0).where("doc_id < 0").collect()}
+    assert rows[-1]["n_known"] == 1 and rows[-2]["n_known"] == 51
+    assert rows[-1]["score"] < rows[-2]["score"] - 30 and rows[-1]["score"] < -4 * 51
+
+
+def test_lm_score_by_plain_model(spark):
+    """The score of a text from its definition: class shares from the weights of its features, times shares in the class."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 2) for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = lm_score.fit(docs, F.col("doc_id") < 50)
+    found = {r["doc_id"]: r["score"] for r in lm_score.score(docs, model).collect()}
+    rare = {bytes(r["word"]): r["n"] for r in model.counts.collect()}
+    no_id = len(model.words.ids)
+    for number, text in enumerate(texts):
+        own = lm_score.tokens(text)
+        ids = [-1, -1, -1, *(model.words.ids.get(w, no_id) for w in own)]
+        total = 0.0
+        for i, word in enumerate(own, 3):
+            z = model.weights[lm_score.BUCKETS].astype(float).copy()
+            for row in lm_score._features(np.array(ids[i - 3 : i + 1])):
+                z += model.weights[row[0]]
+            p = np.exp(z - z.max())
+            kind = model.classes[ids[i]]
+            total += math.log10(p[kind] / p.sum())
+            if ids[i] < no_id:
+                mine = [j for j in range(no_id) if model.classes[j] == kind]
+                total += math.log10((model.words.count[ids[i]] + 1) / sum(model.words.count[j] + 1 for j in mine))
+            else:
+                total += math.log10((rare.get(word, 0) + 1) / (sum(rare.values()) + len(rare) + 1))
+        assert abs(found[number] - total) < 1e-3 * max(1, len(own))

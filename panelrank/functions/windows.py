@@ -1,10 +1,13 @@
-"""Windows over a symbol's rows with a least count, and ranks inside a date."""
+"""Windows over a symbol's rows with a least count, ranks inside a date, and ranks over all rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelrank.functions.tables import stored
+
+
 def by_symbol() -> Window:
     """A symbol's rows by date; made on use, as windows need a session."""
     return Window.partitionBy("symbol").orderBy("date")
@@ -47,3 +50,16 @@ def first_rank(x: Column | str, *by: str) -> Column:
     """Descending rank, ties by symbol; null where x is null."""
     x = F.col(x) if isinstance(x, str) else x
     return F.when(x.isNotNull(), F.row_number().over(Window.partitionBy(*by).orderBy(x.desc_nulls_last(), "symbol")))
+
+
+def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """The rows with their number from 1 in an order of all rows, without a task that holds them all.
+
+    Rows are dealt out by ranges of the order and written; the ranges are counted, and a row's number is that inside its range
+    after all rows of the ranges before. `order` must be total.
+    """
+    dealt = stored(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = counts.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))  # a row a range
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return dealt.withColumn(name, inside).join(before, "_range").withColumn(name, F.col(name) + F.col("_before")).drop("_range", "_before")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelrank.config import Params, UniverseMode
 from panelrank.functions.nulls import true
 from panelrank.functions.tables import stored
+from panelrank.functions.windows import global_rank
 from panelrank.operators.calendar import calendar, refresh_schedule
 from panelrank.operators.features import liquid_days
 
@@ -147,15 +148,16 @@ def live_candidates(stats: DataFrame, params: Params, previous: DataFrame, least
         & reduce(lambda a, b: a & b, [F.col(f"liquid_days_{n}") >= int(d * RELAXED["days"]) for n, d in zip((90, 180), m.min_days)])
     )
     able = stats if meta is None else stats.join(metadata_filter(meta, params).where("metadata_eligible").select("symbol"), "symbol", "left_semi")
-    keys = [F.desc("ok"), *(F.desc_nulls_last(c) for c in ("avg_quote_vol_180", "avg_quote_vol_90", "avg_quote_vol_30", "liquidity_stability", "tradable_ratio_180", "history_days")), "symbol"]
-    ranked = able.select("*", true(ok).alias("ok")).select("symbol", "ok", F.row_number().over(Window.orderBy(*keys)).alias("r"), F.sum(F.col("ok").cast("int")).over(Window.partitionBy()).alias("n_ok"))
+    keys = [F.desc("ok"), *(F.desc_nulls_last(c) for c in ("avg_quote_vol_180", "avg_quote_vol_90", "avg_quote_vol_30", "liquidity_stability", "tradable_ratio_180", "history_days")), F.col("symbol")]
+    ranked = global_rank(able.select("*", true(ok).alias("ok")), keys, "r").select("symbol", "ok", "r")
+    ranked = ranked.join(ranked.agg(F.count_if("ok").alias("n_ok")))  # one row
     target = F.least(F.greatest(F.col("n_ok"), F.lit(least), F.lit(1)), F.lit(most))
     old = previous.select(F.col("symbol").alias("old")).distinct()
     met = ranked.join(old, F.col("symbol") == F.col("old"), "full")
     first = F.lit(params.benchmark)
     rows = met.where(F.coalesce("ok", F.lit(False)) | F.coalesce(F.col("r") <= target, F.lit(False)) | F.col("old").isNotNull()).select(F.coalesce("symbol", "old").alias("symbol"), "r", F.when(true(F.col("ok") | (F.col("r") <= target)), "ranked").otherwise("previous").alias("source"))
-    every = rows.where(F.col("symbol") != first).unionByName(stats.sparkSession.range(1).select(first.alias("symbol"), F.lit(0).alias("r"), F.lit("benchmark").alias("source")))
-    return every.select("symbol", "source", F.row_number().over(Window.orderBy(F.asc_nulls_last("r"), "symbol")).alias("place"))
+    every = rows.where(F.col("symbol") != first).unionByName(stats.sparkSession.range(1).select(first.alias("symbol"), F.lit(0).cast("long").alias("r"), F.lit("benchmark").alias("source")))
+    return global_rank(every, [F.asc_nulls_last("r"), F.col("symbol")], "place").select("symbol", "source", F.col("place").cast("int").alias("place"))
 
 
 def download_candidates(meta: DataFrame, stats: DataFrame, tickers: DataFrame, params: Params, extra_bases: tuple[str, ...] = (), top: int | None = None) -> DataFrame:
@@ -167,6 +169,9 @@ def download_candidates(meta: DataFrame, stats: DataFrame, tickers: DataFrame, p
     numbers = ["avg_quote_vol_180", "avg_quote_vol_90", "avg_quote_vol_30", "liquidity_stability", "tradable_ratio_180", "history_days", "ticker_volume", "trades"]
     filled = joined.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numbers})
     keys = [F.desc("has_history"), *(F.desc(c) for c in numbers), "symbol"]
-    ranked = filled.withColumn("has_history", F.col("history_days") > 0).withColumn("download_rank", F.row_number().over(Window.orderBy(*keys)))
-    placed = ranked.withColumn("place", F.row_number().over(Window.orderBy(F.desc("is_benchmark"), "download_rank")))
-    return (placed if top is None else placed.where(F.col("place") <= top)).select("symbol", "download_rank", "place", *numbers)
+    ranked = global_rank(filled.withColumn("has_history", F.col("history_days") > 0), [k if isinstance(k, Column) else F.col(k) for k in keys], "download_rank")
+    head = ranked.agg(F.max(F.when(F.col("is_benchmark"), F.col("download_rank"))).alias("first"))  # one row: the benchmark's rank, null without it
+    moved = F.when(F.col("is_benchmark"), 1).otherwise(F.col("download_rank") + F.coalesce((F.col("download_rank") < F.col("first")).cast("int"), F.lit(0)))
+    placed = ranked.join(head).withColumn("place", moved)
+    cut = placed if top is None else placed.where(F.col("place") <= top)
+    return cut.select("symbol", *(F.col(c).cast("int").alias(c) for c in ("download_rank", "place")), *numbers)

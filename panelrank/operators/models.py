@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelrank.functions.nulls import finite
+from panelrank.functions.tables import stored
 from panelrank.operators.calendar import calendar
 
 #: Penalties of the linear models, and the shape of the trees.
@@ -71,13 +72,12 @@ def fit_predict(train: DataFrame, score: DataFrame, columns: list[str], target:
             raise ValueError(f"{n} training rows, {min_rows} are needed")
         return score.withColumns({"linear_score_raw": empty, "ml_score_raw": empty})
     medians = train_medians(usable, columns)
-    known, asked = _vectors(usable, medians).cache(), _vectors(score, medians)
+    known, asked = _vectors(stored(usable, "training"), medians), _vectors(score, medians)
     out = linear(known, target, linear_kind).transform(asked).withColumnRenamed("prediction", "linear_score_raw")
     if tree_kind is None:
         out = out.withColumn("ml_score_raw", empty)
     else:
         out = trees(known, target, tree_kind, **tree_options).transform(out).withColumnRenamed("prediction", "ml_score_raw")
-    known.unpersist()
     return out.drop("features")
 
 

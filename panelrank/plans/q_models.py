@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelrank import fixtures
 from panelrank.config import TEST
+from panelrank.functions.tables import stored
 from panelrank.functions.windows import by_symbol
 from panelrank.operators import calendar, features, history, models, walkforward
 from panelrank.plans.q_panel import WINDOWS_SQL
@@ -26,13 +27,18 @@ def add(name: str, oracle: str | None = None):
     return register
 
 
-def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bars with three features and the 30-row future return, in the roles of each window."""
+def features_and_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars with three features, the 30-row future return and the date it is of."""
     bars = features.averages(fixtures.bars(spark, sf_dir))
     w = by_symbol()
     made = bars.withColumns({"price_sma": F.round(F.col("close") / F.col("sma20") - 1, 6), "target": F.round(F.lead("close", 30).over(w) / F.col("close") - 1, 6), "label_end": F.lead("date", 30).over(w), "roc20": F.round("roc20", 6), "roc60": F.round("roc60", 6)})
-    windows = calendar.walkforward_windows(calendar.calendar(made), TEST)
-    return walkforward.roles(made.select("date", "symbol", *FEATURES, "target", "label_end"), windows)
+    return made.select("date", "symbol", *FEATURES, "target", "label_end")
+
+
+def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in the roles of each window."""
+    made = features_and_target(spark, sf_dir)
+    return walkforward.roles(made, calendar.walkforward_windows(calendar.calendar(made), TEST))
 
 
 ROWS = "WITH " + fixtures.bars_sql() + "," + WINDOWS_SQL + """,
@@ -117,10 +123,39 @@ def streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.trailing_streaks(_slots(spark, sf_dir), "failed", 2)
 
 
+_LIVE = ROWS.split(",\nrl AS")[0] + """,
+lv AS (SELECT *, roc60 IS NOT NULL AS in_universe FROM fr), ao AS (SELECT max(date) AS d FROM lv WHERE in_universe),
+lp AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS p FROM (SELECT DISTINCT date FROM lv WHERE date <= (SELECT d FROM ao))),
+lt AS (SELECT lv.* FROM lv JOIN lp USING (date) WHERE in_universe AND p <= (SELECT max(p) FROM lp) - 30 AND p > (SELECT max(p) FROM lp) - 30 - 720)"""
+
+
+def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features_and_target(spark, sf_dir).withColumn("in_universe", F.col("roc60").isNotNull())
+
+
+@add("m10_m11_live_window", _LIVE + " SELECT 'train' AS part, date, symbol, roc20, target FROM lt UNION ALL SELECT 'score', date, symbol, roc20, target FROM lv WHERE in_universe AND date = (SELECT d FROM ao)")
+def live_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that a live run trains on and scores."""
+    made = stored(_live(spark, sf_dir), "live")
+    train, score = models.live_window(made, models.scoring_date(made), TEST.train_days, 30)
+    part = lambda df, name: df.select(F.lit(name).alias("part"), "date", "symbol", "roc20", "target")
+    return part(train, "train").unionByName(part(score, "score"))
+
+
+@add("j5_merged_predictions", _LIVE + """, pd AS (SELECT date, symbol, roc20 AS linear_score_raw, CASE WHEN day(date) % 2 = 0 THEN roc60 END AS ml_score_raw, day(date) % 4 AS n FROM lv WHERE in_universe AND day(date) % 3 = 0)
+SELECT date, symbol, linear_score_raw, ml_score_raw, coalesce(n, 0) AS prediction_window_count FROM lv LEFT JOIN pd USING (date, symbol)""")
+def merged_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel with predictions for every third day: nulls and no window where there are none."""
+    made = _live(spark, sf_dir)
+    day = F.dayofmonth("date")
+    predicted = made.where(F.col("in_universe") & (day % 3 == 0)).select("date", "symbol", F.col("roc20").alias("linear_score_raw"), F.when(day % 2 == 0, F.col("roc60")).alias("ml_score_raw"), (day % 4).cast("long").alias("prediction_window_count"))
+    return models.merge_predictions(made.select("date", "symbol"), predicted)
+
+
 @add("m2_m7_m10_m11_j5_live_fit")
 def live_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ridge and a forest fitted on the window that a live run would take, and the scores of the last date."""
-    made = rows(spark, sf_dir).select("date", "symbol", *FEATURES, "target").distinct().withColumn("in_universe", F.col("roc60").isNotNull())
+    made = stored(_live(spark, sf_dir), "live")
     as_of = models.scoring_date(made)
     train, score = models.live_window(made, as_of, TEST.train_days, 30)
     scored = models.fit_predict(train, score, FEATURES, "target", tree_kind="forest", numTrees=20)

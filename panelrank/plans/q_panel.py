@@ -220,6 +220,18 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(P.labelled_panel(spark, sf_dir, columns=()).where("in_universe"), KEY, _LABELS, 5)
 
 
+#: Every target that a model may be trained on.
+_TARGETS = ("blended_rank_pct", *(f"{kind}_{h}" for h in TEST.horizons for kind in ("future_rank_pct", "future_return", "future_topk_label")))
+
+
+@query("l5_targets", P.sql("labels", f"""SELECT date, symbol, unnest([{', '.join(f"'{t}'" for t in _TARGETS)}]) AS target, round(unnest([{', '.join('blended_target' if t == 'blended_rank_pct' else t for t in _TARGETS)}]), 5) AS value FROM lab WHERE in_universe"""))
+def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The column that each target's name selects."""
+    panel = P.labelled_panel(spark, sf_dir, columns=()).where("in_universe")
+    each = F.explode(F.array(*(F.struct(F.lit(t).alias("target"), F.round(scores.target(t, TEST), 5).alias("value")) for t in _TARGETS)))
+    return panel.select(*KEY, each.alias("x")).select(*KEY, "x.*")
+
+
 @query("l6_label_ends", P.sql("labels", "SELECT date, max(CASE WHEN in_universe THEN greatest(end_30, end_60, end_90) END) AS label_end FROM lab GROUP BY date"))
 def label_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.label_ends(P.universe_panel(spark, sf_dir, columns=()), TEST)

@@ -16,7 +16,7 @@ STAGES = [
     ("byte_bpe", stages.tokenized),
 ]
 
-#: SQL cannot express the first and last stages; tests compare `run` with a plain version.
+#: SQL cannot express the first and last stages; their operators have brute-force tests, and `run` is tested on planted documents.
 ORACLE_SQL = None
 
 

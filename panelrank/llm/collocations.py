@@ -29,6 +29,8 @@ from panelrank.llm.common import arrow_batches, discard, stored
 END = b"\xff"
 _BYTES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", END * 10 + b" abcdefghijklmnopqrstuvwxyz")
 LONGEST = 4
+#: Parts of a language that are ranked apart before the first of each meet.
+PARTS = 64
 
 
 def words_and_ends(text: str) -> list[bytes]:
@@ -333,7 +335,7 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, block_words:
 
     Candidates are phrases of 2 to 4 words found `least` times or more; the score of one is floor(2000000 a / (l + r)) of its
     worst cut. Those that lie in a longer candidate with 80 of 100 of their occurrences or more are left out. Ranks go by
-    score, a (both descending) and phrase; each task sorts only the first `top` of a language before they meet.
+    score, a (both descending) and phrase; a language's phrases are ranked in parts, of which the first `top` meet in one task.
     """
     words, frequent = frequent_phrases(docs, least, block_words, most_shared)
     spelled = words.where(F.col("n") >= least).select("lang", "word", "w")
@@ -348,8 +350,10 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, block_words:
             side = spelled.select(F.col("w").alias("_w"), F.col("word").alias(f"s{i}"), *(["lang"] if i == 1 else []))
             rows = rows.join(side, F.col(f"w{i}") == F.col("_w")).drop("_w")
         chosen.append(rows.select("lang", F.concat_ws(" ", *(f"s{i}" for i in range(1, k + 1))).alias("phrase"), "a", "l", "r", "score"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = reduce(DataFrame.unionByName, chosen).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    first = reduce(DataFrame.unionByName, chosen).withColumn("_r", F.row_number().over(Window.partitionBy("lang", part).orderBy(*order))).where(F.col("_r") <= top).drop("_r")
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     totals = words.groupBy(F.col("lang").alias("of")).agg(F.sum("n").alias("n"))
     ranked = stored(ranked, "ranked")
     for groups in frequent[1:]:

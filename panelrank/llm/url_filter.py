@@ -8,7 +8,8 @@ list's name. An IP address, of version 6 in brackets, has no parent domains.
 
 Null, empty or unparsable URLs, and captures without a date, match nothing and are allowed. Entries without a
 domain, list or date are ignored. Several changes on one day: 'remove' comes last. Every capture gives one row,
-repeated rows and ids included. The captures' join is a sort-merge join that Spark splits at hot hosts.
+repeated rows and ids included. The captures' join is a sort-merge join by host; Spark
+can split a hot host only on the side of the captures.
 """
 
 from __future__ import annotations

@@ -57,7 +57,7 @@ kpf AS (SELECT *, CASE WHEN volatility > 0 THEN mean / volatility END AS sharpe,
 
 _DIGITS = {"cagr": 4, "volatility": 5, "sharpe": 4, "sortino": 4, "max_drawdown": 5, "calmar": 4, "win_rate": 6, "turnover": 4}
 #: Four scores of the momentum panel, as SQL that both engines read.
-SCORES = {"rule_score": "score", "linear_score": "round(-vol20, 9)", "ml_score": "CASE WHEN day(date) % 5 <> 0 THEN round(score / vol20, 9) END", "final_score": "round(score - vol20, 9)"}
+SCORES = {"rule_score": "score", "linear_score": "round(-vol20, 9)", "ml_score": "CASE WHEN day(date) % 5 <> 0 THEN round(score / nullif(vol20, 0), 9) END", "final_score": "round(score - vol20, 9)"}
 
 
 @query("b13_score_suite", MOMENTUM + ",\nkp AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT '{n}' AS run, * REPLACE ({e} AS score) FROM mp" for n, e in SCORES.items()) + ")" + RUNS

@@ -12,6 +12,7 @@ from panelrank.config import TEST
 from panelrank.functions.tables import shared_dir, stored
 from panelrank.operators.calendar import calendar, schedule
 from panelrank.plans import panel as P
+from panelrank.plans.q_returns import MOMENTUM, momentum_panel
 from panelrank.sources import landed, published, sinks
 
 QUERIES: dict = {}
@@ -208,12 +209,12 @@ def published_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("version", "form", F.get_json_object("payload", "$.pool_size").cast("int").alias("pool_size"), F.when(F.col("form") == "list", listed).otherwise(mapped).alias("symbols"))
 
 
-@query("k6_p12_published_lifecycle", P.sql("rules", "SELECT date, symbol, in_universe, round(final_score, 6) AS final_score, round(close, 6) AS close FROM scored WHERE date < DATE '1998-08-01'"))
+@query("k6_p12_published_lifecycle", MOMENTUM + " SELECT date, symbol, in_universe, round(score, 6) AS final_score, round(close, 6) AS close FROM mp WHERE date < DATE '1998-08-01'")
 def published_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lifecycle panel as published after its checks; the next version, held to more dates than there are, is refused."""
-    panel, path = P.scored_panel(spark, sf_dir, columns=("close",)), _folder(spark, "lifecycle")
-    today, references = F.lit("1998-08-01").cast("date"), ("BRAND#1", "BRAND#2")
-    sinks.publish_lifecycle(panel, path, "first", today, references, min_dates=1, min_members=0, min_reference=1, min_coverage=0.0, fresh_days=31)
+    panel, path = momentum_panel(spark, sf_dir).withColumnRenamed("score", "final_score"), _folder(spark, "lifecycle")
+    today, references = F.lit("1998-08-01").cast("date"), (TEST.benchmark.upper(),)
+    sinks.publish_lifecycle(panel, path, "first", today, references, min_dates=500, min_members=0, min_reference=500)
     sinks.publish_lifecycle(panel.where("in_universe"), path, "second", today, references, min_dates=10**6)
     rows = published.current(spark, path)
     return rows.select("date", "symbol", "in_universe", F.round("final_score", 6).alias("final_score"), F.round("close", 6).alias("close"))

@@ -44,6 +44,8 @@ def _key(lang: bytes, word: bytes, seed: int) -> int:
 
 
 def _languages(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
+    """Language and words of each text; Arrow's memory goes back to the system when it is freed."""
+    pa.set_memory_pool(pa.system_memory_pool())
     for at in range(0, batch.num_rows, 64):
         few = batch.slice(at, 64)
         for lang, text in zip(few.column(0).to_pylist(), few.column(1).to_pylist()):
@@ -76,7 +78,7 @@ def vocabulary(docs: DataFrame) -> tuple[DataFrame, int]:
                     known.update(words)
                     known.pop(END, None)
                     held += len(known) - before
-                    if held > 200_000:
+                    if held > 100_000:
                         yield from rows()
                         held = 0
             yield from rows()
@@ -271,7 +273,7 @@ def _semi_joined(relation: DataFrame, groups: DataFrame, columns: list[str], mos
     return stored(relation.join(lists, F.col("block") == F.col("of")).drop("of").mapInArrow(keep_own, RELATION), "relation")
 
 
-def frequent_phrases(docs: DataFrame, least: int = 30, block_words: int = 1 << 19, most_shared: int = 2_000_000) -> tuple[DataFrame, list[DataFrame]]:
+def frequent_phrases(docs: DataFrame, least: int = 30, block_words: int = 1 << 18, most_shared: int = 2_000_000) -> tuple[DataFrame, list[DataFrame]]:
     """((lang, word, w, n), [of each length from 1 to 4: w1 ... wk, n]): all words, and the phrases found `least` times or more."""
     spark = docs.sparkSession
     with arrow_batches(spark):
@@ -330,7 +332,7 @@ def _covered(frequent: list[DataFrame], k: int) -> DataFrame | None:
     return reduce(DataFrame.unionByName, inside).groupBy(*(f"c{i}" for i in range(1, k + 1))).agg(F.max("n").alias("longest_n"))
 
 
-def collocations(docs: DataFrame, least: int = 30, top: int = 2000, block_words: int = 1 << 19, most_shared: int = 2_000_000) -> DataFrame:
+def collocations(docs: DataFrame, least: int = 30, top: int = 2000, block_words: int = 1 << 18, most_shared: int = 2_000_000) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the `top` phrases of each language.
 
     Candidates are phrases of 2 to 4 words found `least` times or more; the score of one is floor(2000000 a / (l + r)) of its

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,7 +146,13 @@ def lifecycle_report(panel: DataFrame, today: Column, references: tuple[str, ...
 
 
 def fingerprint(table: DataFrame, columns: list[str]) -> DataFrame:
-    """Q15: one row that tells a table's content whatever its order: rows, and sum and exclusive-or of row hashes of the columns as JSON."""
+    """Q15: one row that tells a table's content whatever its order: rows, and sum and exclusive-or of row hashes of the columns as JSON.
+
+    The sum is exact, then taken modulo 2^64 as a signed number: the hashes of some 65,000 rows pass 63 bits.
+    """
     row = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
     number = F.conv(F.substring(row, 1, 12), 16, 10).cast("long")
-    return table.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(number), F.lit(0)).alias("sum_hash"), F.coalesce(F.bit_xor(number), F.lit(0)).alias("xor_hash"))
+    whole = F.lit(Decimal(1 << 64))
+    rest = F.sum(number.cast("decimal(15,0)")) % whole
+    signed = F.when(rest < F.lit(Decimal(1 << 63)), rest).otherwise(rest - whole).cast("long")
+    return table.agg(F.count("*").alias("n_rows"), F.coalesce(signed, F.lit(0)).alias("sum_hash"), F.coalesce(F.bit_xor(number), F.lit(0)).alias("xor_hash"))

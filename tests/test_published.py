@@ -44,6 +44,21 @@ def test_fingerprint_of_the_published_rows(spark, path):
     assert published.state(spark, path)["fingerprint"] == fingerprint(good, good.columns).first().asDict()
 
 
+def test_fingerprint_of_more_rows_than_63_bits_hold(spark):
+    """200,000 hashes of 48 bits: their sum passes 63 bits and is taken modulo 2^64."""
+    import hashlib
+
+    n = 200_000
+    hashes = [int(hashlib.sha256(f'{{"id":{i}}}'.encode()).hexdigest()[:12], 16) for i in range(n)]
+    total, x = sum(hashes), 0
+    for h in hashes:
+        x ^= h
+    assert total > 2**63
+    row = fingerprint(spark.range(n), ["id"]).first()
+    assert tuple(row) == (n, (total + 2**63) % 2**64 - 2**63, x)
+    assert tuple(fingerprint(spark.range(0), ["id"]).first()) == (0, 0, 0)
+
+
 def test_partitions_of_a_version_replace_their_own(spark, path):
     published.release(ranks(spark, ("2024-01-31", "a", 1), ("2024-02-29", "b", 1)), path, "v1", "as_of_date", whole)
     published.release(ranks(spark, ("2024-02-29", "c", 1), ("2024-03-31", "d", 1)), path, "v2", "as_of_date", whole, whole=False)

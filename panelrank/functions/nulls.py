@@ -35,3 +35,13 @@ def true(condition: Column) -> Column:
 def truthy(x: Column | str) -> Column:
     """Text such as 'true', '1' or 'yes' to a boolean."""
     return true(F.lower(F.trim((F.col(x) if isinstance(x, str) else x).cast("string"))).isin("1", "true", "t", "yes", "y"))
+
+
+def rounded(x: Column | str, digits: int) -> Column:
+    """`x` rounded half up as a binary number: scaled, rounded to a whole number and scaled back, as DuckDB's `round` does.
+
+    `F.round` rounds the shortest decimal text instead, which differs where an already rounded number ends in a 5 that its binary
+    value does not reach: -0.1284415 times 10^6 is above -128441.5.
+    """
+    x = F.col(x) if isinstance(x, str) else x
+    return F.round(x * F.lit(10.0**digits)) / F.lit(10.0**digits)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelrank import fixtures
 from panelrank.config import TEST
+from panelrank.functions.nulls import rounded
 from panelrank.functions.tables import shared_dir, stored
 from panelrank.operators.calendar import calendar, schedule
 from panelrank.plans import panel as P
@@ -217,4 +218,4 @@ def published_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.publish_lifecycle(panel, path, "first", today, references, min_dates=500, min_members=0, min_reference=500)
     sinks.publish_lifecycle(panel.where("in_universe"), path, "second", today, references, min_dates=10**6)
     rows = published.current(spark, path)
-    return rows.select("date", "symbol", "in_universe", F.round("final_score", 6).alias("final_score"), F.round("close", 6).alias("close"))
+    return rows.select("date", "symbol", "in_universe", *(rounded(c, 6).alias(c) for c in ("final_score", "close")))

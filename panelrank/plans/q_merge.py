@@ -26,21 +26,22 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
-def _primary(spark, sf_dir):
-    return merge.normalize(fixtures.bars(spark, sf_dir).where("date >= '1996-01-01'"), "primary", "primary", False)
+def _histories(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The primary, external, check and third histories. The bars are derived and written once each, as the gate reads a history many times:
+    the lines are read three times, whatever is asked of the histories."""
+    near, far, lines_a = (stored(fixtures.bars(spark, sf_dir, *given), name) for name, given in {"near": (), "far": ("o_orderdate",), "check": ("l_shipdate", "A")}.items())
+    return _primary(near), _external(near, far), merge.normalize(lines_a, "archive", "check", True), _third(near)
 
 
-def _external(spark, sf_dir):
-    number = F.regexp_extract("symbol", r"(\d+)$", 1).cast("int")
-    factor = 1 + 0.001 * (F.dayofmonth("date") % 3 - 1)
-    near = fixtures.bars(spark, sf_dir).where(number <= 15)
-    near = near.withColumns({c: F.col(c) * factor for c in ("open", "high", "low", "close")})
-    far = fixtures.bars(spark, sf_dir, "o_orderdate").where(number > 15)
-    return merge.normalize(near, "alternate", "feed", True).unionByName(merge.normalize(far, "archive", "feed", True))
+def _primary(near):
+    return merge.normalize(near.where("date >= '1996-01-01'"), "primary", "primary", False)
 
 
-def _check(spark, sf_dir):
-    return merge.normalize(fixtures.bars(spark, sf_dir, returnflag="A"), "archive", "check", True)
+def _external(near, far):
+    number = F.regexp_extract("symbol", r"(\d+)$", 1).cast("int")
+    factor = 1 + 0.001 * (F.dayofmonth("date") % 3 - 1)
+    close = near.where(number <= 15).withColumns({c: F.col(c) * factor for c in ("open", "high", "low", "close")})
+    return merge.normalize(close, "alternate", "feed", True).unionByName(merge.normalize(far.where(number > 15), "archive", "feed", True))
 
 
 def _tiers(spark, sf_dir):
@@ -86,7 +87,8 @@ _COUNTS = ["external_rows", "rows_added", "jumps", "gap_count", "overlap_days",
   CASE quality_status WHEN 'not_whitelisted' THEN 'symbol_not_in_backfill_whitelist' WHEN 'no_external_rows' THEN 'no_external_rows_available' WHEN 'insufficient_extension' THEN 'insufficient_pre_binance_extension' WHEN 'rejected_quality_gate' THEN reasons ELSE '' END AS quality_reasons,
   CASE quality_status WHEN 'not_whitelisted' THEN 'binance_only' WHEN 'merged' THEN CASE tier WHEN 'cautious' THEN 'approved_cautious' ELSE 'approved_core' END ELSE 'rejected' END AS final_decision FROM q4""")
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = merge.quality(_primary(spark, sf_dir), _external(spark, sf_dir), _check(spark, sf_dir), _tiers(spark, sf_dir), SOURCES, GATE)
+    primary, external, check, _ = _histories(spark, sf_dir)
+    out = merge.quality(primary, external, check, _tiers(spark, sf_dir), SOURCES, GATE)
     return out.select("symbol", *(F.col(c).cast("long").alias(c) for c in _COUNTS), *(F.round(c, 5).alias(c) for c in _STATS), "tier", "check_status", "notes", "quality_status", "quality_reasons", "final_decision")
 
 
@@ -98,7 +100,8 @@ mg AS (SELECT * FROM mr WHERE r = 1)"""
 
 @query("q1_q3_q9_merged_history", BASE + QUALITY + MERGED + " SELECT date, symbol, round(close, 6) AS close, data_source, data_provider FROM mg")
 def merged_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged, _ = merge.merge_histories(_primary(spark, sf_dir), _external(spark, sf_dir), _check(spark, sf_dir), _tiers(spark, sf_dir), SOURCES, GATE)
+    primary, external, check, _ = _histories(spark, sf_dir)
+    merged, _ = merge.merge_histories(primary, external, check, _tiers(spark, sf_dir), SOURCES, GATE)
     return merged.select("date", "symbol", F.round("close", 6).alias("close"), "data_source", "data_provider")
 
 
@@ -107,8 +110,8 @@ SELECT symbol, primary_start, primary_rows, merged_start, merged_rows, rows_by_s
 FROM (SELECT symbol, min(date) AS primary_start, count(*) AS primary_rows FROM pri GROUP BY symbol)
 JOIN (SELECT symbol, min(f) AS merged_start, sum(n)::BIGINT AS merged_rows, '{' || string_agg('"' || data_source || '":' || n, ',' ORDER BY data_source) || '}' AS rows_by_source FROM bs GROUP BY symbol) USING (symbol)""")
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    primary = _primary(spark, sf_dir)
-    merged, _ = merge.merge_histories(primary, _external(spark, sf_dir), _check(spark, sf_dir), _tiers(spark, sf_dir), SOURCES, GATE)
+    primary, external, check, _ = _histories(spark, sf_dir)
+    merged, _ = merge.merge_histories(primary, external, check, _tiers(spark, sf_dir), SOURCES, GATE)
     return merge.coverage(primary, merged)
 
 
@@ -149,9 +152,9 @@ PROFILES = {
 _SHARED = {"max_gaps": 100_000, "max_gap_days": 60, "max_jumps": 50, "min_check_days": 200, "max_duplicates": 1_000_000}
 
 
-def _third(spark, sf_dir):
+def _third(near):
     """Every third day of brands up to 20, half a percent dearer."""
-    rows = fixtures.bars(spark, sf_dir).where((F.dayofyear("date") % 3 == 0) & (F.regexp_extract("symbol", r"(\d+)$", 1).cast("int") <= 20))
+    rows = near.where((F.dayofyear("date") % 3 == 0) & (F.regexp_extract("symbol", r"(\d+)$", 1).cast("int") <= 20))
     return merge.normalize(rows.withColumns({c: F.col(c) * 1.005 for c in ("open", "high", "low", "close")}), "third", "feed", True)
 
 
@@ -161,8 +164,9 @@ def _sweep(spark, sf_dir):
     bounds = F.explode(F.array(*(F.struct(F.lit(n).alias("profile"), F.lit(a).alias("a"), F.lit(b).alias("b")) for n, (_, _, a, b) in PROFILES.items())))
     tiers = fixtures.metadata(spark, sf_dir).select(F.upper("symbol").alias("symbol"), number.alias("n"), bounds.alias("x")).select("symbol", "n", "x.*").where("n <= b")
     tiers = tiers.select("profile", "symbol", F.when(F.col("n") <= F.col("a"), "core").otherwise("cautious").alias("tier"), F.when(F.col("n") > F.col("a"), "thin market").alias("caution"))
-    primary, external = _primary(spark, sf_dir), _external(spark, sf_dir).unionByName(_third(spark, sf_dir))
-    return primary, external, profiles, merge.sweep(primary, external, _check(spark, sf_dir), profiles, tiers)
+    primary, external, check, third = _histories(spark, sf_dir)
+    external = external.unionByName(third)
+    return primary, external, profiles, merge.sweep(primary, external, check, profiles, tiers)
 
 
 _SETS = {">".join(p[1]): p[1] for p in PROFILES.values()}

@@ -186,3 +186,13 @@ def test_sweep_equals_single_gates(spark):
     assert len(seen) >= 3
     with pytest.raises(ValueError, match="unknown settings"):
         merge.profile_table(spark, {"x": {"sources": ("primary",), "max_gap": 3}})
+
+
+def test_histories_are_derived_once(spark, sf):
+    """The gate reads a history many times; the lines it is made of must not be read again with it."""
+    from panelrank.plans import q_merge
+
+    primary, external, _, decisions = q_merge._sweep(spark, sf)
+    single = [q_merge.QUERIES[name](spark, sf) for name in ("q4_q8_a7_a11_quality_gate", "q1_q3_q9_merged_history", "j11_coverage")]
+    for df in (primary, external, decisions, *single):
+        assert not [f for f in df.inputFiles() if "lineitem" in f or "orders" in f]

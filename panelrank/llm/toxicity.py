@@ -47,8 +47,8 @@ STRETCHES = (1, 5, 20)
 RIDGE = 0.05
 #: Shingle length of the near-copy key.
 SHINGLE = 5
-#: Words that a task counts before it passes them on, and words whose difference a worker remembers.
-HELD_WORDS, WORD_MEMORY = 100_000, 300_000
+#: Words that a task counts before it passes them on, words whose difference a worker remembers, and contexts of characters.
+HELD_WORDS, WORD_MEMORY, CONTEXT_MEMORY = 100_000, 300_000, 2_000_000
 #: Texts and characters handled together.
 TOGETHER, CHARS = 200, 1 << 17
 START, END = "\x02", "\x03"
@@ -114,6 +114,28 @@ def _discounts(seen: np.ndarray) -> np.ndarray:
     return np.array([0, np.clip(1 - 2 * y * n2 / n1, 0.1, 1), np.clip(2 - 3 * y * n3 / n2, 0.1, 2), np.clip(3 - 4 * y * n4 / n3, 0.1, 3)])
 
 
+class Contexts:
+    """What characters in their contexts say, by the hash of the context; forgotten when there are more than CONTEXT_MEMORY."""
+
+    def __init__(self):
+        self.key, self.value = np.zeros(0, np.uint64), np.zeros(0)
+
+    def recall(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What each says, and the places of those that are not known."""
+        if not len(self.key):
+            return np.zeros(len(context)), np.arange(len(context))
+        at = np.minimum(np.searchsorted(self.key, context), len(self.key) - 1)
+        return self.value[at], np.flatnonzero(self.key[at] != context)
+
+    def learn(self, key: np.ndarray, value: np.ndarray) -> None:
+        """Adds sorted keys that are not known yet."""
+        if len(self.key) + len(key) > CONTEXT_MEMORY:
+            self.key, self.value = key, value
+        else:
+            at = np.searchsorted(self.key, key)
+            self.key, self.value = np.insert(self.key, at, key), np.insert(self.value, at, value)
+
+
 @dataclass
 class Model:
     """The n-grams of both classes, by order from 0 on, and the regression over the means of differences."""
@@ -124,15 +146,32 @@ class Model:
     weight: np.ndarray
     bias: float
 
-    def word_differences(self, words: list[str]) -> np.ndarray:
-        """Log-likelihoods of each word, toxic minus ordinary."""
+    def word_differences(self, words: list[str], met: Contexts | None = None) -> np.ndarray:
+        """Log-likelihoods of each word, toxic minus ordinary; `met` remembers those of characters between calls."""
         number, place, keys = _grams(words)
-        shared = np.full(len(number), 1 / (len(self.tables[1].key) + 1))
+        # what stands up to ORDER characters back, from the start of the word on, decides all of a character's n-grams
+        context = keys[-1].copy()
+        for k in range(ORDER - 1):
+            at = np.flatnonzero(place == k)
+            context[at] = keys[k][at]
+        met = Contexts() if met is None else met
+        said, new = met.recall(context)
+        if len(new):
+            key, first, group = np.unique(context[new], return_index=True, return_inverse=True)
+            value = self._differences(new[first], place, keys)
+            said[new] = value[group]
+            met.learn(key, value)
+        return np.bincount(number, said, len(words))
+
+    def _differences(self, i: np.ndarray, place: np.ndarray, keys: list[np.ndarray]) -> np.ndarray:
+        """Log-likelihoods of the characters `i` given those before them, toxic minus ordinary."""
+        shared = np.full(len(i), 1 / (len(self.tables[1].key) + 1))
         own = np.stack([shared, shared])
-        history = np.where(place > 0, 0, -1)
+        before = np.maximum(i - 1, 0)
+        history = np.where(place[i] > 0, 0, -1)
         for k in range(1, ORDER + 1):
             level, table = self.tables[k - 1], self.tables[k]
-            at = np.where(place >= k - 1, table.find(keys[k - 1]), -1)
+            at = np.where(place[i] >= k - 1, table.find(keys[k - 1][i]), -1)
             ok = np.flatnonzero(history >= 0)
             ok = ok[level.kinds[history[ok]] > 0]
             h, x = history[ok], at[ok]
@@ -142,9 +181,8 @@ class Model:
             kept = np.maximum(n - np.stack([d[np.minimum(c, 3)] for c, d in zip(n, table.discount)]), 0)
             own[:, ok] = (kept + (level.freed[:, h] + SHARED) * 0.5 * (p + own[:, ok])) / (total + SHARED)
             shared[ok] = p
-            history = np.append(-1, at[:-1])
-            history[place == 0] = -1
-        return np.bincount(number, np.log(own[1]) - np.log(own[0]), len(words))
+            history = np.where((place[i] > 0) & (place[before] >= k - 1), table.find(keys[k - 1][before]), -1)
+        return np.log(own[1]) - np.log(own[0])
 
     def score(self, rows: np.ndarray) -> np.ndarray:
         z = ((rows - self.mean) / self.scale) @ self.weight + self.bias
@@ -157,6 +195,7 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.known: dict[str, float] = {}
+        self.contexts = Contexts()
 
     def features(self, texts: list[str | None]) -> np.ndarray:
         out = np.zeros((len(texts), len(STRETCHES) + 3))
@@ -180,7 +219,7 @@ class Scorer:
             part.append(word)
             room -= len(word) + 2
             if room < 0 or i == len(new) - 1:
-                self.known.update(zip(part, self.model.word_differences(part).tolist()))
+                self.known.update(zip(part, self.model.word_differences(part, self.contexts).tolist()))
                 part, room = [], CHARS
 
 

@@ -263,6 +263,19 @@ def test_toxicity_model_by_brute_force():
     assert np.allclose(model.word_differences(tests), want, atol=1e-4)
 
 
+def test_toxicity_contexts_are_looked_up_once(spark, monkeypatch):
+    """Contexts that were met are not looked up again, and say the same after other words and after a clearing."""
+    model = toxicity.fit(*labelled(spark, 300))
+    tests = ["c1", "c17x", "abcabcabcabc", "zzz", "a", "", "c1c1c1"]
+    met, looked, find = toxicity.Contexts(), [], toxicity.Table.find
+    monkeypatch.setattr(toxicity.Table, "find", lambda table, keys: looked.append(len(keys)) or find(table, keys))
+    first = model.word_differences(tests, met)
+    asked = sum(looked)
+    assert asked and np.array_equal(model.word_differences(tests[::-1] + tests, met), np.append(first[::-1], first)) and sum(looked) == asked
+    monkeypatch.setattr(toxicity, "CONTEXT_MEMORY", 5)
+    assert np.array_equal(np.concatenate([model.word_differences([w], met) for w in tests]), first)
+
+
 def test_toxicity_long_texts_and_names(spark):
     docs, labels = labelled(spark, 300)
     model = toxicity.fit(docs, labels)

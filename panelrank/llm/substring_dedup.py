@@ -20,7 +20,7 @@ results pass through.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +35,8 @@ WINDOW = 50
 ROUNDS, SPAN = 6, 10
 #: Symbols of fewer words are too common to tell much and aren't reported.
 LEAST_WORDS = 5
-#: Characters of text parsed at a time, and words whose hashes a worker remembers.
-CHUNK_CHARS, WORD_MEMORY = 1_000_000, 250_000
+#: Characters of text parsed at a time, and bytes of a word above which its hash is made alone.
+CHUNK_CHARS, LONG_WORD = 1_000_000, 128
 
 _A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
 
@@ -48,29 +48,52 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+def _spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin and end in bytes whose last one is a separator: space or 9 to 13."""
+    inside = (data != 0x20) & ((data < 0x09) | (data > 0x0D))
+    turn = np.flatnonzero(np.diff(inside, prepend=False))
+    return turn[::2], turn[1::2]
 
-        if len(self) >= WORD_MEMORY:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
 
+def _word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each word: lanes of 8 bytes, the last filled up with zeros, are mixed in turn; long words go one by one."""
+    import xxhash
 
-_hashes = _WordHashes()
+    size = stop - start
+    out = _mix(size.astype(np.uint64) + _A)
+    padded = np.append(data, np.zeros(8, np.uint8))
+    left = np.flatnonzero(size <= LONG_WORD)
+    lane = 0
+    while len(left):
+        at, n = start[left] + lane, np.minimum(size[left] - lane, 8)
+        value = np.zeros(len(left), np.uint64)
+        for k in range(8):
+            value |= np.where(k < n, padded[at + k], 0).astype(np.uint64) << np.uint64(8 * k)
+        out[left] = _mix(out[left] * _A ^ _mix(value + _D))
+        lane += 8
+        left = left[size[left] > lane]
+    for i in np.flatnonzero(size > LONG_WORD):
+        out[i] = xxhash.xxh64_intdigest(data[start[i] : stop[i]].tobytes())
+    return out
 
 
 class Chunk:
     """Some documents' words as hashes: `first` and `last` bound each document, `doc` tells each word's document."""
 
     def __init__(self, texts: list[str], lower: bool = False):
-        self.words = [(t.encode("utf-8").lower() if lower else t.encode("utf-8")).split() for t in texts]
-        lengths = np.array([len(w) for w in self.words], np.int64)
-        self.last = np.cumsum(lengths)
+        self.texts = [t.encode("utf-8").lower() if lower else t.encode("utf-8") for t in texts]
+        data = np.frombuffer(b" ".join(self.texts) + b" ", np.uint8)
+        start, stop = _spans(data)
+        ends = np.cumsum(np.array([len(t) + 1 for t in self.texts], np.int64))
+        self.last = np.searchsorted(start, ends).astype(np.int64)
+        lengths = np.diff(self.last, prepend=0)
         self.first = self.last - lengths
         self.doc = np.repeat(np.arange(len(texts)), lengths)
-        self.hash = np.fromiter(map(_hashes.__getitem__, chain.from_iterable(self.words)), np.uint64, int(lengths.sum()))
+        self.hash = _word_hashes(data, start, stop)
+
+    @cached_property
+    def words(self) -> list[list[bytes]]:
+        return [t.split() for t in self.texts]
 
     def symbols(self, rounds: int = ROUNDS, span: int = SPAN):
         """Names, starts, stops, reach from and to, and documents of the symbols after the rounds."""
@@ -251,7 +274,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, removed: DataFrame |
                     lost.append(n)
                     texts.append(b" ".join([w for w, m in zip(words, mask) if not m] if n else words).decode("utf-8"))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in kept), pa.array(texts, pa.string()), pa.array([len(w) for w in chunk.words], pa.int64()), pa.array(lost, pa.int64())], schema.names
+                    [*(part.column(c) for c in kept), pa.array(texts, pa.string()), pa.array(chunk.last - chunk.first, pa.int64()), pa.array(lost, pa.int64())], schema.names
                 )
 
     cut_docs = joined.mapInArrow(cut, schema)

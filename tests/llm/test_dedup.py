@@ -328,3 +328,21 @@ def test_word_split_is_ascii_white_space_only():
     text = "a\x0bb c\x1cd e\tf\x85g"
     assert [w.decode() for w in substring_dedup.Chunk([text]).words[0]] == split(text)
     assert defaultdict(int) is not None
+
+
+def test_word_hashes_stand_for_the_bytes_of_words():
+    """Equal words have equal hashes wherever they stand, different ones different hashes; words are not made as objects for that."""
+    rng = random.Random(5)
+    known = ["".join(rng.choices("abé", k=rng.choice((1, 2, 7, 8, 9, 16, 17, 127, 128, 129, 400)))) for _ in range(300)]
+    texts = ["".join(w + rng.choice((" ", "\n", "\t\x0b ", "\r\x0c")) for w in rng.choices(known, k=rng.randrange(60))) for _ in range(40)]
+    texts += ["", " \n ", known[0], "x" * 8 + " " + "x" * 8 + "\x00", "\x00 \x00\x00"]
+    chunk = substring_dedup.Chunk(texts)
+    hashes = chunk.hash.tolist()
+    assert len(chunk.symbols()[0]) and "words" not in vars(chunk)
+    assert (chunk.last - chunk.first).tolist() == [len(w) for w in chunk.words]
+    flat = [w for words in chunk.words for w in words]
+    meant = dict(zip(flat, hashes))
+    assert [meant[w] for w in flat] == hashes and len(set(hashes)) == len(meant)
+    alone = substring_dedup.Chunk([w.decode() for w in meant])
+    assert alone.hash.tolist() == list(meant.values())
+    assert not len(substring_dedup.Chunk([]).hash)

@@ -3,7 +3,12 @@
 A relation holds the occurrences of one length, sorted by piece and position. It is kept in blocks of whole pieces of one language;
 positions number the words of a block and jump at the end of a piece, so words at adjacent positions share a piece. A block
 extends a relation by a merge join with the words one place on and counts its groups; Spark adds the counts of all blocks up,
-and what is not frequent leaves the relation before the next length (semi-join).
+and what is not frequent leaves the relation before the next length (semi-join). Groups that are too many to share with tasks
+are shared as a table of bits (`Sieve`), which keeps all frequent groups and lets a few others through; what these make is counted
+exactly in the next length, like all else, and is not frequent either, so results are the same.
+
+Disk: a block keeps places as bits and its words in as few bytes as they need, groups of words that are shared travel as numbers, two to
+a long, and each step's shuffle files go when it ends.
 
 Null texts count as empty and null languages as `und`. Empty and blank texts have no words. Repeated rows count once each.
 A language without a frequent phrase has no row; an empty table gives no rows. Only `text` and `lang` are read, so other columns,
@@ -23,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelrank.llm.common import arrow_batches, discard, stored
+from panelrank.llm.common import arrow_batches, discard, lean_disk, stored
 
 #: Piece separators become a byte that UTF-8 never has, tabs become spaces, A-Z become a-z.
 END = b"\xff"
@@ -84,9 +89,9 @@ def vocabulary(docs: DataFrame) -> tuple[DataFrame, int]:
             yield from rows()
 
         parts = docs.select("lang", "text").mapInArrow(count, "lang string, word string, w long, n long")
-        words = stored(parts.groupBy("lang", "w").agg(F.min("word").alias("word"), F.max("word").alias("other"), F.sum("n").alias("n")), "words")
-        if not words.where("word <> other").head(1) and not words.groupBy("w").agg(F.count("*").alias("k")).where("k > 1").head(1):
-            return words.drop("other"), seed
+        words = stored(parts.groupBy("lang", "word", "w").agg(F.sum("n").alias("n")), "words")
+        if not words.groupBy("w").agg(F.count("*").alias("k")).where("k > 1").head(1):
+            return words, seed
         discard(spark, words)
         seed += 1
 
@@ -119,6 +124,63 @@ class Groups:
         return known
 
 
+def _mixed(columns: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit hash of each row of the columns."""
+    code = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        code = (code ^ c.astype(np.int64, copy=False).view(np.uint64)) + np.uint64(0x9E3779B97F4A7C15)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            code = (code ^ (code >> np.uint64(shift))) * np.uint64(factor)
+        code ^= code >> np.uint64(31)
+    return code
+
+
+class Sieve:
+    """Groups as a table of 2^`power` bits, two for each group: `have` misses no group, and takes a few others for one."""
+
+    #: Bits of a slice, which one task fills; bits of the largest table (32 MB).
+    SLICE, MOST = 19, 28
+
+    def __init__(self, table: np.ndarray, power: int):
+        self.table, self.power = table, power
+
+    @staticmethod
+    def power_for(groups: int) -> int:
+        """16 bits a group or more, up to the largest table."""
+        return min(max(16 * groups, 1 << Sieve.SLICE).bit_length(), Sieve.MOST)
+
+    @staticmethod
+    def bits(columns: list[np.ndarray], power: int) -> tuple[np.ndarray, np.ndarray]:
+        """The two bits of each row of the columns."""
+        code = _mixed(columns)
+        return (code >> np.uint64(64 - power)).astype(np.int64), (code & np.uint64((1 << power) - 1)).astype(np.int64)
+
+    def have(self, columns: list[np.ndarray]) -> np.ndarray:
+        one, two = ((self.table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 for at in self.bits(columns, self.power))
+        return (one & two).astype(bool)
+
+    @classmethod
+    def of(cls, groups: DataFrame, columns: list[str], count: int) -> Sieve:
+        power = cls.power_for(count)
+
+        def bits(batches):
+            for batch in batches:
+                at = np.concatenate(cls.bits([batch.column(c).to_numpy() for c in columns], power))
+                yield pa.RecordBatch.from_arrays([pa.array(at >> cls.SLICE), pa.array((at & ((1 << cls.SLICE) - 1)).astype(np.int32))], ["slice", "bit"])
+
+        def fill(key, rows):
+            mask = np.zeros(1 << cls.SLICE, bool)
+            mask[rows.column("bit").to_numpy()] = True
+            return pa.table({"slice": pa.array([key[0].as_py()], pa.int64()), "table": pa.array([np.packbits(mask, bitorder="little").tobytes()], pa.binary())})
+
+        made = groups.select(*columns).mapInArrow(bits, "slice long, bit int").groupBy("slice").applyInArrow(fill, "slice long, table binary").toArrow()
+        table = np.zeros((1 << power) >> 3, np.uint8)
+        size = (1 << cls.SLICE) >> 3
+        for number, part in zip(made.column("slice").to_pylist(), made.column("table")):
+            table[number * size : (number + 1) * size] = np.frombuffer(part.as_buffer(), np.uint8)
+        return cls(table, power)
+
+
 class Block:
     """Occurrences of a block: `keys` numbers its words; word `ids[i]` stands at `places[i]`; phrases of `length` start at `starts`."""
 
@@ -144,7 +206,7 @@ class Block:
             chosen = [distinct]
         return [self.keys[c] for c in chosen], group
 
-    def kept(self, frequent: Groups) -> Block:
+    def kept(self, frequent: Groups | Sieve) -> Block:
         """The semi-join: phrases whose group is frequent, and the words that they cover."""
         columns, group = self.groups()
         starts = self.starts[frequent.have(columns)[group]] if len(self.starts) else self.starts
@@ -156,22 +218,37 @@ class Block:
         return Block(self.keys[used], self.places[covered], ids.astype(np.int32), starts, self.length)
 
 
-RELATION = "block long, lang string, keys binary, places binary, ids binary, starts binary, length int"
+#: places: a bit for each place up to the last; starts: a bit for each of the places; ids: in the least bytes that hold them.
+RELATION = "keys binary, places binary, ids binary, starts binary, length int"
+
+
+def _bits(chosen: np.ndarray, size: int) -> bytes:
+    mask = np.zeros(size, bool)
+    mask[chosen] = True
+    return np.packbits(mask).tobytes()
 
 
-def _rows(blocks: Iterator[tuple[int, str, Block]]) -> Iterator[pa.RecordBatch]:
-    for number, lang, b in blocks:
+def _chosen(bits: pa.Scalar) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(np.frombuffer(bits.as_buffer(), np.uint8))).astype(np.int32)
+
+
+def _rows(blocks: Iterator[Block]) -> Iterator[pa.RecordBatch]:
+    for b in blocks:
         if len(b.starts):
-            data = [[x.tobytes()] for x in (b.keys, b.places.astype(np.int32), b.ids.astype(np.int32), b.starts.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([lang]), *(pa.array(x, pa.binary()) for x in data), pa.array([b.length], pa.int32())], ["block", "lang", "keys", "places", "ids", "starts", "length"])
+            places = _bits(b.places, int(b.places[-1]) + 1)
+            ids = b.ids.astype(np.min_scalar_type(len(b.keys)))
+            starts = _bits(np.searchsorted(b.places, b.starts), len(b.places))
+            data = [[x] for x in (b.keys.tobytes(), places, ids.tobytes(), starts)]
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.binary()) for x in data), pa.array([b.length], pa.int32())], ["keys", "places", "ids", "starts", "length"])
 
 
-def _read(batches) -> Iterator[tuple[int, str, Block, dict]]:
+def _read(batches) -> Iterator[Block]:
     for batch in batches:
         for row in range(batch.num_rows):  # a block at a time: its arrays are megabytes
             r = {n: batch.column(i)[row] for i, n in enumerate(batch.schema.names)}
-            ints = [np.frombuffer(r[n].as_buffer(), np.int32) for n in ("places", "ids", "starts")]
-            yield r["block"].as_py(), r["lang"].as_py(), Block(np.frombuffer(r["keys"].as_buffer(), np.int64), *ints, r["length"].as_py()), r
+            keys, places = np.frombuffer(r["keys"].as_buffer(), np.int64), _chosen(r["places"])
+            ids = np.frombuffer(r["ids"].as_buffer(), np.min_scalar_type(len(keys))).astype(np.int32)
+            yield Block(keys, places, ids, places[_chosen(r["starts"])], r["length"].as_py())
 
 
 class _Numbers(dict):
@@ -182,12 +259,15 @@ class _Numbers(dict):
         return number
 
 
-def _built(docs: DataFrame, seed: int, block_words: int, frequent=None) -> DataFrame:
-    """Relation of single words; with `frequent` (a broadcast of Groups) that of the frequent ones."""
+def _numbered(keys: np.ndarray, frequent: Groups) -> np.ndarray:
+    """The numbers of frequent words: their places among the keys of all frequent words, sorted."""
+    return np.searchsorted(frequent.levels[0][0], keys)
 
-    def build(batches):
-        from pyspark import TaskContext
 
+def _built(docs: DataFrame, seed: int, block_words: int, frequent) -> DataFrame:
+    """Relation of frequent single words; `frequent`: a broadcast of Groups, by which words are numbered, or of a Sieve."""
+
+    def build(batches):
         held: dict[str, tuple[_Numbers, array]] = {}
 
         def flush():
@@ -195,8 +275,10 @@ def _built(docs: DataFrame, seed: int, block_words: int, frequent=None) -> DataF
                 ids = np.frombuffer(numbers, np.int32)
                 places = np.flatnonzero(ids != local[END]).astype(np.int32)
                 tag = lang.encode()
-                block = Block(np.array([_key(tag, w, seed) for w in local], np.int64), places, ids[places], places, 1)
-                yield lang, block if frequent is None else block.kept(frequent.value)
+                block = Block(np.array([_key(tag, w, seed) for w in local], np.int64), places, ids[places], places, 1).kept(frequent.value)
+                if isinstance(frequent.value, Groups):
+                    block.keys = _numbered(block.keys, frequent.value)
+                yield block
             held.clear()
 
         def blocks():
@@ -212,87 +294,77 @@ def _built(docs: DataFrame, seed: int, block_words: int, frequent=None) -> DataF
                         size = 0
             yield from flush()
 
-        first = TaskContext.get().partitionId() << 40
-        return _rows((first + i, lang, block) for i, (lang, block) in enumerate(blocks()))
+        return _rows(blocks())
 
     return docs.select("lang", "text").mapInArrow(build, RELATION)
 
 
-def _counted(relation: DataFrame, columns: list[str], least: int) -> DataFrame:
-    """The merge join and the group count: phrases one word longer than the relation's, found `least` times or more."""
+def _counted(relation: DataFrame, columns: list[str], least: int, numbered: bool) -> DataFrame:
+    """The merge join and the group count: phrases one word longer than the relation's, found `least` times or more.
+
+    Numbers of words are under 2^31, so two of them travel as one long.
+    """
+    sent = [f"p{i}" for i in range(0, len(columns), 2)] if numbered else columns
 
     def count(batches):
-        for _, _, block, _ in _read(batches):
+        for block in _read(batches):
             longer = block.extended()
             if len(longer.starts):
                 keys, group = longer.groups()
-                yield pa.RecordBatch.from_arrays([*(pa.array(k) for k in keys), pa.array(np.bincount(group))], [*columns, "n"])
+                if numbered:
+                    keys = [(keys[i] << 32) + keys[i + 1] if i + 1 < len(keys) else keys[i] for i in range(0, len(keys), 2)]
+                yield pa.RecordBatch.from_arrays([*(pa.array(k) for k in keys), pa.array(np.bincount(group))], [*sent, "n"])
 
-    parts = relation.mapInArrow(count, ", ".join(f"{c} long" for c in [*columns, "n"]))
-    return stored(parts.groupBy(*columns).agg(F.sum("n").alias("n")).where(F.col("n") >= least), "frequent")
+    parts = relation.mapInArrow(count, ", ".join(f"{c} long" for c in [*sent, "n"]))
+    found = parts.groupBy(*sent).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    if numbered:
+        pairs = [w for i, p in enumerate(sent) for w in ([F.shiftright(p, 32), F.col(p).bitwiseAND(F.lit((1 << 32) - 1))] if 2 * i + 1 < len(columns) else [F.col(p)])]
+        found = found.select(*(w.alias(c) for w, c in zip(pairs, columns)), "n")
+    return stored(found, "frequent")
 
 
 def _shared(groups: DataFrame, columns: list[str], most: int):
-    """A broadcast of Groups, or None if there are more than `most`."""
-    if groups.count() > most:
-        return None
+    """A broadcast of Groups, or of their Sieve if there are more than `most`."""
+    count = groups.count()
+    if count > most:
+        return groups.sparkSession.sparkContext.broadcast(Sieve.of(groups, columns, count))
     table = groups.select(*columns).toArrow()
     return groups.sparkSession.sparkContext.broadcast(Groups([table.column(c).to_numpy() for c in columns]))
 
 
 def _semi_joined(relation: DataFrame, groups: DataFrame, columns: list[str], most: int) -> DataFrame:
-    """The semi-join: the relation one word longer, with the occurrences of frequent groups only.
-
-    Up to `most` groups go to all tasks. Beyond that each block is joined to its own groups, found by a join on the group.
-    A relation of single words that is not filtered yet stays at its length.
-    """
+    """The semi-join: the relation one word longer, with the occurrences of frequent groups; of others, those that a Sieve lets through."""
     held = _shared(groups, columns, most)
-    k = len(columns)
-    longer = lambda block: block if block.length == k else block.extended()
-    if held is not None:
-
-        def keep(batches):
-            return _rows((number, lang, longer(block).kept(held.value)) for number, lang, block, _ in _read(batches))
-
-        return stored(relation.mapInArrow(keep, RELATION), "relation")
-
-    def own(batches):
-        for number, _, block, _ in _read(batches):
-            keys, _ = longer(block).groups()
-            if len(keys[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys[0]), number)), *(pa.array(x) for x in keys)], ["of", *columns])
 
-    def keep_own(batches):
-        def frequent(rows: list[dict]) -> Groups:
-            return Groups([np.array([r[c] for r in rows], np.int64) for c in columns])
+    def keep(batches):
+        return _rows(block.extended().kept(held.value) for block in _read(batches))
 
-        return _rows((number, lang, longer(block).kept(frequent(row["own"].as_py()))) for number, lang, block, row in _read(batches))
-
-    met = relation.mapInArrow(own, ", ".join(f"{c} long" for c in ["of", *columns])).join(groups, columns, "left_semi")
-    lists = met.groupBy("of").agg(F.collect_list(F.struct(*columns)).alias("own"))
-    return stored(relation.join(lists, F.col("block") == F.col("of")).drop("of").mapInArrow(keep_own, RELATION), "relation")
+    return stored(relation.mapInArrow(keep, RELATION), "relation")
 
 
 def frequent_phrases(docs: DataFrame, least: int = 30, block_words: int = 1 << 18, most_shared: int = 2_000_000) -> tuple[DataFrame, list[DataFrame]]:
-    """((lang, word, w, n), [of each length from 1 to 4: w1 ... wk, n]): all words, and the phrases found `least` times or more."""
+    """((lang, word, w, n), [of each length from 1 to 4: w1 ... wk, n]): all words, and the phrases found `least` times or more.
+
+    w1 ... wk stand for words as w does for those found `least` times or more.
+    """
     spark = docs.sparkSession
-    with arrow_batches(spark):
+    with arrow_batches(spark), lean_disk(spark):
         return _frequent(spark, docs, least, block_words, most_shared)
 
 
 def _frequent(spark, docs: DataFrame, least: int, block_words: int, most_shared: int) -> tuple[DataFrame, list[DataFrame]]:
     words, seed = vocabulary(docs)
+    held = _shared(words.where(F.col("n") >= least), ["w"], most_shared)
+    numbered = isinstance(held.value, Groups)
+    relation = stored(_built(docs, seed, block_words, held), "relation")
+    if numbered:
+        hashed = words
+        words = stored(hashed.mapInArrow(lambda batches: (b.set_column(2, "w", pa.array(_numbered(b.column(2).to_numpy(), held.value))) for b in batches), hashed.schema), "words")
+        discard(spark, hashed)
     frequent = [words.where(F.col("n") >= least).select(F.col("w").alias("w1"), "n")]
-    held = _shared(frequent[0], ["w1"], most_shared)
-    if held is not None:
-        relation = stored(_built(docs, seed, block_words, held), "relation")
-    else:
-        every = stored(_built(docs, seed, block_words), "relation")
-        relation = _semi_joined(every, frequent[0], ["w1"], most_shared)
-        discard(spark, every)
     for k in range(2, LONGEST + 1):
         columns = [f"w{i}" for i in range(1, k + 1)]
-        frequent.append(_counted(relation, columns, least))
+        frequent.append(_counted(relation, columns, least, numbered))
         before = relation
         if k < LONGEST:
             relation = _semi_joined(before, frequent[-1], columns, most_shared)
@@ -339,6 +411,7 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, block_words:
     worst cut. Those that lie in a longer candidate with 80 of 100 of their occurrences or more are left out. Ranks go by
     score, a (both descending) and phrase; a language's phrases are ranked in parts, of which the first `top` meet in one task.
     """
+    spark = docs.sparkSession
     words, frequent = frequent_phrases(docs, least, block_words, most_shared)
     spelled = words.where(F.col("n") >= least).select("lang", "word", "w")
     chosen = []
@@ -357,8 +430,10 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, block_words:
     first = reduce(DataFrame.unionByName, chosen).withColumn("_r", F.row_number().over(Window.partitionBy("lang", part).orderBy(*order))).where(F.col("_r") <= top).drop("_r")
     ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     totals = words.groupBy(F.col("lang").alias("of")).agg(F.sum("n").alias("n"))
-    ranked = stored(ranked, "ranked")
-    for groups in frequent[1:]:
-        discard(docs.sparkSession, groups)
     out = ranked.join(totals, F.col("lang") == F.col("of"))
-    return out.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
+    out = out.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
+    with lean_disk(spark):
+        out = stored(out, "ranked")
+    for done in (words, *frequent[1:]):
+        discard(spark, done)
+    return out

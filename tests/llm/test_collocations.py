@@ -1,11 +1,15 @@
 """Collocations against a plain count of all phrases."""
 
+import os
 import random
 import re
+import time
 from collections import Counter
 
+import numpy as np
 import pytest
 
+from panelrank.functions.tables import shared_dir
 from panelrank.llm import collocations as C
 
 SCHEMA = "lang string, text string"
@@ -75,3 +79,55 @@ def test_scores_past_64_bits(spark):
     f2 = spark.createDataFrame([(1, 2, a)], "w1 long, w2 long, n long")
     row = C._scored([f1, f2], 2).first()
     assert row["score"] == 2000000 * a // (a + 1 + 3 * a)
+
+
+def test_words_shared_and_phrases_sieved(spark):
+    """More frequent phrases than tasks share, but not more frequent words."""
+    rows = made()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    words, frequent = C.frequent_phrases(df, 2, 40)
+    most = words.where("n >= 2").count()
+    assert most < frequent[1].count()
+    assert sorted(map(tuple, C.collocations(df, 2, 12, 40, most).collect())) == plain(rows, 2, 12)
+
+
+def test_sieve_that_lets_all_through(spark, monkeypatch):
+    """What a sieve does not hold back is counted, and is not frequent."""
+    rows = made()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    monkeypatch.setattr(C, "_shared", lambda groups, columns, most: spark.sparkContext.broadcast(C.Sieve(np.full(1 << 16, 255, np.uint8), 19)))
+    assert sorted(map(tuple, C.collocations(df, 3, 12, 40).collect())) == plain(rows, 3, 12)
+
+
+def test_sieve_misses_no_group(spark):
+    df = spark.range(40_000).selectExpr("id * 7919 as w1", "id % 97 as w2").repartition(3)
+    sieve = C.Sieve.of(df, ["w1", "w2"], 40_000)
+    one, two = np.arange(40_000) * 7919, np.arange(40_000) % 97
+    assert sieve.have([one, two]).all() and sieve.have([one, two + 1]).mean() < 0.05
+
+
+@pytest.mark.parametrize("most_shared", [2_000_000, 0])
+def test_disk_stays_a_few_times_the_input(spark, tmp_path, monkeypatch, most_shared):
+    """Tables and shuffle files after each step, with groups shared and with more groups than are shared."""
+
+    def files():
+        tops = [spark.sparkContext.getConf().get("spark.local.dir"), shared_dir(spark)]
+        return {os.path.join(d, f) for top in tops for d, _, names in os.walk(top) for f in names}
+
+    rng = np.random.default_rng(5)
+    words = np.array([f"{rng.integers(1 << 30):x}" for _ in range(20_000)])
+    texts = [(str(i % 2), " ".join(words[np.minimum(rng.zipf(1.25, 300), 20_000) - 1]) + ".") for i in range(3000)]
+    spark.createDataFrame(texts, SCHEMA).repartition(8).write.parquet(str(tmp_path / "docs"))
+    size = sum(f.stat().st_size for f in (tmp_path / "docs").glob("*.parquet"))
+    before, most = files(), []
+    stored = C.stored
+
+    def watched(df, label):
+        out = stored(df, label)
+        time.sleep(0.5)  # files of a shuffle go soon after the job
+        most.append(sum(os.path.getsize(f) for f in files() - before if os.path.exists(f)))
+        return out
+
+    monkeypatch.setattr(C, "stored", watched)
+    assert C.collocations(spark.read.parquet(str(tmp_path / "docs")), 5, 2000, 1 << 14, most_shared).count() > 100
+    assert max(most) < 2 * size

@@ -116,3 +116,68 @@ def test_copies_within_articles_stay(spark):
     df = spark.createDataFrame([(i, "https://a.example/", f"<div>Follow us on all the networks and more {i % 2}</div>{body}") for i in range(4)], SCHEMA)
     assert {r["text"] for r in H.extract(df).collect()} == {("the same long words in every article here " * 3).strip()}
     assert H.extract(df.where("false")).count() == 0
+
+
+def whole(rows, n):
+    """(text, n_outside, n_repeated, n_article, n_copied) of each row, by comparing all windows of all pages of a host, articles too."""
+    hosts = {}
+    for i, (_, url, html) in enumerate(rows):
+        parts = H.blocks(html)
+        best = max((level for _, _, level, out in parts if not out), default=0)
+        tokens = [(t, best and level == best and not out, b, out) for b, (e, text, level, out) in enumerate(parts) for t in [f"<{e}>", *text.split(" ")]]
+        hosts.setdefault((url or "").split("/")[2] if (url or "").startswith("http") else "", {})[i] = tokens
+    found = {}
+    for pages in hosts.values():
+        at = {}
+        for tokens in pages.values():
+            for j in range(len(tokens) - n + 1):
+                w = tokens[j : j + n]
+                at.setdefault(tuple(t for t, *_ in w), set()).add((tuple(tokens), all(main for _, main, _, _ in w)))
+        for i, tokens in pages.items():
+            cover, gone, told = set(), set(), set()
+            for j in range(len(tokens) - n + 1):
+                on = at[tuple(t for t, *_ in tokens[j : j + n])]
+                if len({page for page, _ in on}) > 1:
+                    cover |= set(range(j, j + n))
+                if len({page for page, inside in on if not inside}) > 1:
+                    gone |= set(range(j, j + n))
+                if any(inside for _, inside in on):
+                    told |= set(range(j, j + n))
+            article, kept = any(main for _, main, _, _ in tokens), {}
+            for j, (t, main, b, out) in enumerate(tokens):
+                first = not j or tokens[j - 1][2] != b
+                if not first and (main if article else not out and j not in gone - told):
+                    kept.setdefault(b, []).append(t)
+            mains = {j for j, (_, main, _, _) in enumerate(tokens) if main}
+            found[i] = ("\n\n".join(" ".join(kept[b]) for b in sorted(kept)), len(tokens) - len(mains), len(cover - mains), len(mains), len(cover & mains))
+    return found
+
+
+@pytest.mark.parametrize("shard_tokens", [1 << 21, 60])
+def test_whole_pages_by_plain_search(spark, shard_tokens):
+    """Words of articles join the arrays: they are counted, tell pages apart and keep their text on pages without an article."""
+    rng = random.Random(7)
+    rows = [(i, url, html) for i, (_, url, html) in enumerate(made(6))]
+    for i, url, html in rows[::2]:
+        other = rng.choice(rows)[2] or ""
+        rows[i] = (i, url, f"<div>{rng.choice(['Follow us on all the networks', 'x'])}</div><article>{html}<nav>in the article a menu of words</nav></article><p>{other}")
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    found = {r["page_id"]: (r["text"], r["n_outside"], r["n_repeated"], r["n_article"], r["n_copied"]) for r in H.extract(df, 5, shard_tokens).collect()}
+    assert found == whole(rows, 5)
+    assert sum(f[4] for f in found.values()) > 100
+
+
+def test_the_same_boilerplate_around_articles_is_found(spark):
+    """Pages that differ in their articles only are not copies of one page; a print version of an article keeps its text."""
+    around = "<div>" + " ".join(f"b{i}" for i in range(20)) + "</div>"
+    own = lambda i: " ".join(f"own{i}x{k}" for k in range(30))
+    rows = [(i, "https://a.example/", f"{around}<article>{own(i)}</article>") for i in range(4)]
+    rows += [(4, "https://a.example/", around), (5, "https://a.example/", f"{around}<p>{own(1)}"), (6, "https://a.example/", f"{around}<p>{own(1)}<p>printed")]
+    found = {r["page_id"]: r for r in H.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [found[i]["n_repeated"] for i in range(4)] == [21] * 4 and [found[i]["text"] for i in range(4)] == [own(i) for i in range(4)]
+    assert [found[i]["text"] for i in (4, 5, 6)] == ["", own(1), own(1) + "\n\nprinted"]
+
+
+def test_pages_without_blocks(spark):
+    found = H.extract(spark.createDataFrame([(1, None, None)], SCHEMA)).collect()
+    assert [tuple(r) for r in found] == [(1, None, "", 0, 0, 0, 0)]
